@@ -2,7 +2,7 @@
 
 Every rule is a plain ``Column -> Column`` expression on built-in functions, so a
 cleaning pass stays one projection inside whole-stage codegen. Text rules use
-``translate`` / ``btrim`` / ``instr`` rather than regular expressions where the
+``replace`` / ``btrim`` / ``instr`` rather than regular expressions where the
 semantics allow: those run on the UTF-8 bytes without a regex engine per row.
 """
 
@@ -51,8 +51,13 @@ def strip(c: Column) -> Column:
 
 
 def clean_key(c: Column) -> Column:
-    """Delete invisible characters anywhere in a key, then strip it."""
-    return strip(F.translate(c, KEY_JUNK, ""))
+    """Delete invisible characters anywhere in a key, then strip it.
+
+    One literal replace per character: a byte search that leaves clean text untouched.
+    """
+    for junk in KEY_JUNK:
+        c = F.replace(c, F.lit(junk), F.lit(""))
+    return strip(c)
 
 
 def after_colon(c: Column) -> Column:
@@ -77,27 +82,35 @@ def state_prefix(c: Column) -> Column:
     return out.otherwise(c)
 
 
-def to_date_lenient(c: Column) -> Column:
+def date_text(c: Column) -> Column:
+    """Text of a date without its time of day."""
+    text = strip(c.cast("string"))
+    return F.when(F.instr(text, ":") > 0, F.regexp_replace(text, r"[T ]+\d{1,2}:.*$", "")).otherwise(text)
+
+
+def date_from_text(c: Column) -> Column:
     """Date from text in mixed layouts, null when none fits.
 
-    The layout is picked by shape first, so each value is parsed once at most.
-    A time of day behind the date is ignored.
+    The layout is picked by shape first, so a value is parsed once at most and the common
+    layouts are met early.
     """
-    text = strip(c.cast("string"))
-    day = F.substring_index(F.substring_index(text, " ", 1), "T", 1)
     return (
-        F.when(day.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(day, "yyyy-M-d"))
-        .when(day.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(day, "M/d/yyyy"))
-        .when(day.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), F.try_to_date(day, "M-d-yyyy"))
-        .when(day.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), F.try_to_date(day, "yyyy/M/d"))
-        .when(day.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), F.try_to_date(day, "M/d/yy"))
-        .when(day.rlike(r"^\d{8}$"), F.try_to_date(day, "yyyyMMdd"))
-        .when(text.rlike(r"^[A-Za-z]{3} \d{1,2}, \d{4}$"), F.try_to_date(F.initcap(text), "MMM d, yyyy"))
-        .when(text.rlike(r"^[A-Za-z]{4,} \d{1,2}, \d{4}$"), F.try_to_date(F.initcap(text), "MMMM d, yyyy"))
-        .when(text.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4}$"), F.try_to_date(F.initcap(text), "d MMM yyyy"))
+        F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(c, "yyyy-M-d"))
+        .when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(c, "M/d/yyyy"))
+        .when(c.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), F.try_to_date(c, "M-d-yyyy"))
+        .when(c.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), F.try_to_date(c, "yyyy/M/d"))
+        .when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), F.try_to_date(c, "M/d/yy"))
+        .when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "yyyyMMdd"))
+        .when(c.rlike(r"^[A-Za-z]{3} \d{1,2}, \d{4}$"), F.try_to_date(F.initcap(c), "MMM d, yyyy"))
+        .when(c.rlike(r"^[A-Za-z]{4,} \d{1,2}, \d{4}$"), F.try_to_date(F.initcap(c), "MMMM d, yyyy"))
+        .when(c.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4}$"), F.try_to_date(F.initcap(c), "d MMM yyyy"))
     )
 
 
+def to_date_lenient(c: Column) -> Column:
+    return date_from_text(date_text(c))
+
+
 def capitalize(c: Column) -> Column:
     """First letter upper, everything else lower (not per word)."""
     return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substr(c, F.lit(2))))
@@ -169,17 +182,20 @@ def category_rollup(c: Column) -> Column:
 COLUMN_RULES = [
     ("comp_sku", after_colon),
     ("state_cd", state_code),
-    ("release_dt", to_date_lenient),
+    ("release_dt", date_text),
+    ("release_dt", date_from_text),
     ("mnf", capitalize),
     ("distr_typ", capitalize),
     ("distr", title_words),
     ("en_sku", to_text),
     ("comp_sku", to_text),
     ("model_no", lambda c: strip(to_text(c))),
-    ("src_updt_dt", to_date_lenient),
+    ("src_updt_dt", date_text),
+    ("src_updt_dt", date_from_text),
     ("category", lambda c: label_fix("category", c)),
     ("promo_reason", lambda c: label_fix("promo_reason", c)),
-    ("quote_dt", to_date_lenient),
+    ("quote_dt", date_text),
+    ("quote_dt", date_from_text),
     ("quantity", round_quantity),
     ("customer", customer_name),
 ]
@@ -196,12 +212,19 @@ SALES_RULES = [
 
 
 def apply_rules(df: DataFrame, rules) -> DataFrame:
-    """One projection holding every rule whose column exists; later rules see earlier ones."""
-    exprs = {name: F.col(f"`{name}`") for name in df.columns}
+    """Apply every rule whose column exists; later rules see the result of earlier ones.
+
+    A column's second rule starts a new projection instead of nesting the first one into
+    it: rules mention their input several times, and nested they would compute it as often.
+    """
+    layer = {}
     for name, rule in rules:
-        if name in exprs:
-            exprs[name] = rule(exprs[name])
-    return df.select(*[e.alias(n) for n, e in exprs.items()])
+        if name not in df.columns:
+            continue
+        if name in layer:
+            df, layer = df.withColumns(layer), {}
+        layer[name] = rule(F.col(f"`{name}`"))
+    return df.withColumns(layer) if layer else df
 
 
 def clean_landing(df: DataFrame, keys: list[str]) -> DataFrame:

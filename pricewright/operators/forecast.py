@@ -12,7 +12,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.operators.ranked import group_medians, running_total
+from pricewright.operators.ranked import group_medians, reliable, running_total
 
 SKU, LABEL, FOLD = "sku_pk", "quantity", "fold"
 
@@ -187,10 +187,10 @@ def grid_search(
 ) -> tuple[PipelineModel, list[dict]]:
     """(model refitted on all rows with the best SMAPE, mean scores per grid point).
 
-    Categories are encoded once per fold on its training rows; every grid point then fits
-    on the same cached vectors, several at a time.
+    The folds are frozen first. Categories are encoded once per fold on its training rows;
+    every grid point then fits on the same cached vectors, several at a time.
     """
-    numeric = df.withColumn(LABEL, F.col(LABEL).cast("double"))
+    numeric = reliable(df.withColumn(LABEL, F.col(LABEL).cast("double")))
     scores = [[] for _ in grid]
     for fold in range(folds):
         train, held = numeric.where(F.col(FOLD) != fold), numeric.where(F.col(FOLD) == fold)
