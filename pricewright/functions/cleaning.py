@@ -45,19 +45,22 @@ LABEL_FIXES = {
 }
 
 
+def _unless_plain(c: Column, cleaned: Column) -> Column:
+    """Text of visible ASCII only has nothing to trim or delete; one scan spares it the rest."""
+    return F.when(c.rlike(r"[^\x21-\x7e]"), cleaned).otherwise(c)
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space from both ends."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    return _unless_plain(c, F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def clean_key(c: Column) -> Column:
-    """Delete invisible characters anywhere in a key, then strip it.
-
-    One literal replace per character: a byte search that leaves clean text untouched.
-    """
+    """Delete invisible characters anywhere in a key, then strip it."""
+    bare = c
     for junk in KEY_JUNK:
-        c = F.replace(c, F.lit(junk), F.lit(""))
-    return strip(c)
+        bare = F.replace(bare, F.lit(junk), F.lit(""))
+    return _unless_plain(c, F.btrim(bare, F.lit(WHITE_SPACE)))
 
 
 def after_colon(c: Column) -> Column:

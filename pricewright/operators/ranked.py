@@ -72,7 +72,7 @@ def group_medians(
     than ``max_values`` distinct values (there are at most rows / max_values of them) are
     ranked in slices, so no aggregation buffer grows with the data.
     """
-    known = counts.where(F.col(value).isNotNull())
+    known = reliable(counts.where(F.col(value).isNotNull()))
     plain = lambda df: df.groupBy(*group).agg(F.percentile(value, F.lit(0.5), F.col(freq)).alias("median"))
     wide = known.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_values).drop("_n")
     if wide.isEmpty():

@@ -16,14 +16,14 @@ SMALL_BOOST = {"trees": [8], "depth": [4], "rate": [0.2], "subsample": [0.8]}
 
 INPUT_SQL = """input AS (
   SELECT CAST(l_partkey AS VARCHAR) AS sku_pk, p_type AS sku_cat, p_brand AS prod_cd,
-    coalesce(nullif(o_orderstatus, 'P'), 'Other') AS proj_type, l_extendedprice / l_quantity AS price,
+    coalesce(nullif(o_orderstatus, 'P'), 'Other') AS proj_type, l_extendedprice AS price,
     l_quantity AS quantity, c_mktsegment AS cust_cat, o_orderpriority AS cust_tier, p_retailprice AS avg_p,
     l_quantity AS avg_q, l_discount AS p_std, l_tax AS q_std, l_discount - l_tax AS ped,
-    CASE WHEN year(l_shipdate) = 1998 THEN l_extendedprice / l_quantity END AS "2023_avg_p",
+    CASE WHEN year(l_shipdate) = 1998 THEN l_extendedprice END AS "2023_avg_p",
     CASE WHEN year(l_shipdate) = 1998 THEN l_quantity END AS "2023_avg_q",
-    CASE WHEN year(l_shipdate) = 1999 THEN l_extendedprice / l_quantity END AS "2024_avg_p",
+    CASE WHEN year(l_shipdate) = 1999 THEN l_extendedprice END AS "2024_avg_p",
     CASE WHEN year(l_shipdate) = 1999 THEN l_quantity END AS "2024_avg_q",
-    CASE WHEN year(l_shipdate) = 2000 THEN l_extendedprice / l_quantity END AS "2025_avg_p",
+    CASE WHEN year(l_shipdate) = 2000 THEN l_extendedprice END AS "2025_avg_p",
     CASE WHEN year(l_shipdate) = 2000 THEN l_quantity END AS "2025_avg_q"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN part ON l_partkey = p_partkey)"""

@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricewright.operators import pricing
-from pricewright.operators.hygiene import snapshot_sheet
-from pricewright.operators.reconcile import UPDATE, new_rows_only, skip_loaded_batch
+from pricewright.operators.hygiene import sheet_date, snapshot_sheet
 from pricewright.plans import jobs
 from pricewright.plans.registry import query
-from pricewright.plans.sample import NBSP, ORDER, WIDE_PRICES, catalog, competitor_landing, price_list, read, sales_landing, text
-from pricewright.schemas import COMPETITOR, INVENTORY, PROMO_HISTORY, QUOTES, SALES
+from pricewright.plans.sample import (
+    NBSP,
+    ORDER,
+    WIDE_PRICES,
+    catalog,
+    competitor_landing,
+    file_order,
+    price_list,
+    read,
+    sales_landing,
+    text,
+)
+from pricewright.schemas import COMPETITOR, INVENTORY, PROMO_HISTORY, QUOTES
+from pricewright.sources.files import spread
 
 LOADED = "1998-07-01"
 LINE_ORDER_SQL = ", ".join(
@@ -98,9 +109,9 @@ def _dates_as_text(df, *columns):
 
 @query("pricing_alerts", f"WITH {CATALOG_SQL}, {COMPETITOR_SQL}" + ALERT_SELECT_SQL.format(rows="batch"))
 def pricing_alerts(spark, sf_dir):
-    batch = jobs.clean_batch(competitor_landing(spark, sf_dir), COMPETITOR, ORDER)
-    day = F.col("release_dt").isNull()
-    alerts = pricing.pricing_alerts(batch.where(day), batch.where(~day), catalog(spark, sf_dir))
+    raw = competitor_landing(spark, sf_dir)
+    channel = lambda status: jobs.clean_batch(raw.where(F.col("mnf_desc") == status), COMPETITOR, ORDER)
+    alerts = pricing.pricing_alerts(channel("O"), channel("F"), catalog(spark, sf_dir))
     return _dates_as_text(alerts, "Competitor Release Date")
 
 
@@ -295,9 +306,7 @@ stored AS (SELECT * FROM raw WHERE l_shipdate < TIMESTAMP '{LOADED}' QUALIFY row
 
 
 def quote_landing(spark, sf_dir):
-    from pricewright.plans.sample import file_order
-
-    raw = file_order(read(spark, sf_dir, "lineitem"))
+    raw = file_order(spread(read(spark, sf_dir, "lineitem")))
     stat = F.concat("l_linestatus", F.round(F.col("l_tax") * 100).cast("int").cast("string"))
     return raw.select(
         F.concat(F.lit("\t "), text("l_partkey")).alias("model_no"),
@@ -346,10 +355,8 @@ SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS month_st,
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY date_trunc('month', l_shipdate), l_partkey
   ORDER BY l_shipdate DESC, l_suppkey DESC, l_linenumber DESC, l_extendedprice DESC, l_quantity DESC) = 1""")
 def promo_history_job(spark, sf_dir):
-    from pricewright.plans.sample import file_order
-
     blank = F.lit(None).cast("string")
-    raw = file_order(read(spark, sf_dir, "lineitem")).select(
+    raw = file_order(spread(read(spark, sf_dir, "lineitem"))).select(
         F.trunc("l_shipdate", "month").alias("month_st"),
         F.last_day("l_shipdate").alias("month_ed"),
         F.concat(F.lit(NBSP), text("l_partkey")).alias("sku"),
@@ -401,8 +408,6 @@ def _inventory_shown(df):
 @query("inventory_snapshot", INVENTORY_SQL)
 def inventory_snapshot(spark, sf_dir):
     sheet = inventory_sheet(spark, sf_dir)
-    from pricewright.operators.hygiene import sheet_date
-
     return _inventory_shown(snapshot_sheet(sheet, sheet_date(sheet.columns[3]), INVENTORY.columns))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricewright.sources.files import spread
+
 NBSP = "\u00a0"
 ORDER = ["_o_ship", "_o_part", "_o_supp", "_o_line", "_o_price", "_o_qty"]
 
@@ -53,7 +55,7 @@ def _case(c, mapping):
 
 
 def sales_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = file_order(read(spark, sf_dir, "lineitem"))
+    lines = file_order(spread(read(spark, sf_dir, "lineitem")))
     orders, customer = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
     nation, part = read(spark, sf_dir, "nation"), read(spark, sf_dir, "part")
     joined = (
@@ -88,7 +90,7 @@ def sales_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def competitor_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = file_order(read(spark, sf_dir, "lineitem"))
+    lines = file_order(spread(read(spark, sf_dir, "lineitem")))
     supplier, nation = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "nation")
     joined = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
         nation, F.col("s_nationkey") == F.col("n_nationkey")
@@ -174,7 +176,7 @@ def price_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consolidated sales lines as the feature builder reads them."""
-    lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    lines, orders = spread(read(spark, sf_dir, "lineitem")), read(spark, sf_dir, "orders")
     customer, part = read(spark, sf_dir, "customer"), read(spark, sf_dir, "part")
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -198,9 +200,9 @@ CATEGORIES = list(RAW_CATEGORY)
 
 def model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions with the forecast's columns; the SKU is the part."""
-    lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    lines, orders = spread(read(spark, sf_dir, "lineitem")), read(spark, sf_dir, "orders")
     customer, part = read(spark, sf_dir, "customer"), read(spark, sf_dir, "part")
-    price = F.col("l_extendedprice") / F.col("l_quantity")
+    price = F.col("l_extendedprice")
     year = F.year("l_shipdate")
     when_year = lambda y, v: F.when(year == y, v)
     return (

@@ -78,6 +78,16 @@ def read_flat(
     return with_position(df)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of a scan with fewer splits than cores among all cores.
+
+    A single small file would otherwise be cleaned by one task. Scans of many files have
+    more splits than that and pass through as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_folder(
     spark: SparkSession, folder: str, schema: StructType, fmt: str = "csv", level: str | None = "month", **kw
 ) -> DataFrame:
