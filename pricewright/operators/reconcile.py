@@ -46,6 +46,11 @@ def skip_loaded_batch(source: DataFrame, target: DataFrame, batch: str) -> DataF
     return source.where(~loaded.exists())
 
 
+def skip_loaded_value(source: DataFrame, target: DataFrame, batch: str, value: Column) -> DataFrame:
+    """As ``skip_loaded_batch`` for a source with one known batch value: only the target is probed."""
+    return source.where(~target.where(F.col(batch) == value).exists())
+
+
 def upsert_split(
     source: DataFrame,
     target: DataFrame,

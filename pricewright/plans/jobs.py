@@ -22,7 +22,7 @@ from pricewright.operators.reconcile import (
     UPDATE,
     merge_tables,
     new_rows_only,
-    skip_loaded_batch,
+    skip_loaded_value,
     upsert_split,
 )
 from pricewright.schemas import COMPETITOR, INVENTORY, PRICE_MASTER, PROMO_HISTORY, QUOTES, SALES, Table
@@ -119,4 +119,5 @@ def promo_history_job(raw: DataFrame, order: list[str]) -> DataFrame:
 def inventory_job(raw: DataFrame, eval_date, stored: DataFrame, order: list[str], header_rows: int = 2) -> DataFrame:
     """Stock snapshot rows to append, none when the snapshot's date is stored already."""
     rows = snapshot_sheet(raw, eval_date, INVENTORY.columns, order, header_rows)
-    return skip_loaded_batch(rows, stored, "inv_eval_dt")
+    stamp = eval_date if isinstance(eval_date, Column) else F.lit(eval_date)
+    return skip_loaded_value(rows, stored, "inv_eval_dt", stamp.cast("date"))

@@ -19,22 +19,22 @@ FILE_ORDER = ["_file", "_block", "_row"]
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    return with_position(spark.createDataFrame([], schema), False)
+    none = spark.createDataFrame([], schema)
+    return none.select("*", F.lit("").alias("_file"), *[F.lit(0).cast("long").alias(c) for c in FILE_ORDER[1:]])
 
 
-def with_position(df: DataFrame, from_files: bool = True) -> DataFrame:
-    if not from_files:
-        return df.select(
-            "*", F.lit("").alias("_file"), F.lit(0).cast("long").alias("_block"), F.lit(0).cast("long").alias("_row")
-        )
+def with_place(df: DataFrame) -> DataFrame:
+    """File name and block of every row of a file scan."""
     return df.select(
-        "*",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
     )
 
 
+def with_row_number(df: DataFrame) -> DataFrame:
+    """Place of every row in its block."""
+    return df.withColumn("_row", F.monotonically_increasing_id())
+
+
 def freshness_options(level: str | None, now: datetime | None, tz: str = "UTC") -> dict[str, str]:
     """Reader options that keep files modified in the current day or month of ``tz``."""
     if level is None:
@@ -75,7 +75,7 @@ def read_flat(
         if missing.getCondition() == "PATH_NOT_FOUND":
             return _empty(spark, schema)
         raise
-    return with_position(df)
+    return with_row_number(with_place(df))
 
 
 def spread(df: DataFrame) -> DataFrame:

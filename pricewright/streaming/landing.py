@@ -3,7 +3,8 @@
 Files are taken one per micro-batch in the order they arrived, so a later file meets the rows
 an earlier one wrote. The stream's checkpoint replaces the freshness gate: a file is taken
 once, whenever the job runs. A batch that is replayed after a failure changes nothing, since
-its rows are already stored (anti join, or an upsert to equal values).
+its rows are already stored (anti join, or an upsert to equal values). Micro-batches run in a
+session of their own: tables are read through it, and the caller's view is refreshed.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from pricewright.plans import jobs
 from pricewright.schemas import COMPETITOR, PRICE_MASTER, QUOTES, SALES
-from pricewright.sources.files import FILE_ORDER, with_position
+from pricewright.sources.files import FILE_ORDER, with_place, with_row_number
 from pricewright.sources.sinks import append_table, replace_table
 from pricewright.sources.tables import read_table
 
@@ -40,8 +41,8 @@ def land(
         .load(folder)
     )
     return (
-        with_position(files)
-        .writeStream.foreachBatch(lambda batch, _: on_file(batch))
+        with_place(files)
+        .writeStream.foreachBatch(lambda batch, _: on_file(with_row_number(batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -52,15 +53,17 @@ def land_sales(spark: SparkSession, folder: str, checkpoint: str, name: str, **o
     """Append the sales lines the history lacks."""
 
     def on_file(batch: DataFrame) -> None:
-        stored = read_table(spark, name, table=SALES)
+        stored = read_table(batch.sparkSession, name, table=SALES)
         append_table(jobs.sales_history_job(batch, stored, FILE_ORDER), name, SALES)
+        spark.catalog.refreshTable(name)
 
     return land(spark, folder, SALES.input_schema, checkpoint, on_file, **options)
 
 
 def _land_merge(spark, folder, checkpoint, name, root, table, schema, run, options) -> StreamingQuery:
     def on_file(batch: DataFrame) -> None:
-        replace_table(run(batch, read_table(spark, name, table=table)).table, name, root)
+        replace_table(run(batch, read_table(batch.sparkSession, name, table=table)).table, name, root)
+        spark.catalog.refreshTable(name)
 
     return land(spark, folder, schema, checkpoint, on_file, **options)
 
@@ -84,7 +87,7 @@ def land_competitor_prices(
 
     def run(batch: DataFrame, stored: DataFrame) -> jobs.Merge:
         merged = jobs.competitor_price_job(
-            batch, stored, read_table(spark, catalog, table=PRICE_MASTER), FILE_ORDER
+            batch, stored, read_table(batch.sparkSession, catalog, table=PRICE_MASTER), FILE_ORDER
         )
         on_alerts(merged.alerts)
         return merged
