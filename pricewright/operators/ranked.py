@@ -8,6 +8,7 @@ the slice offsets: every task sees one slice, whatever the group sizes are.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,28 +18,31 @@ MAX_GROUP_VALUES = 1_000_000
 
 
 def reliable(df: DataFrame) -> DataFrame:
-    """Cut the lineage at a checkpoint in the shared folder the session names."""
+    """Write the rows once under the shared folder the session names and go on from there.
+
+    Parquet rather than an RDD checkpoint: it survives lost executors as well, and the
+    planner sees its size and can prune its columns.
+    """
     spark = df.sparkSession
-    _ensure_checkpoint_dir(spark)
-    return df.checkpoint()
+    path = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def _shared_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="run-")
-    context.setCheckpointDir(shared)
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
 
 
 def running_total(df: DataFrame, group: list[str], order: list[str], weight: str, name: str) -> DataFrame:
     """Add the sum of ``weight`` over the group's rows up to and including this one.
 
-    (group, order) must identify a row. The slices are frozen in a checkpoint: a range
+    (group, order) must identify a row. The slices are frozen in storage: a range
     partitioning computed anew after a lost executor could cut elsewhere.
     """
     sliced = reliable(

@@ -57,15 +57,14 @@ def sales_rows(raw: DataFrame, order: list[str], batch: str | None = None) -> Da
 
 
 def sales_history_job(raw: DataFrame, stored: DataFrame, order: list[str], batch: str | None = None) -> DataFrame:
-    """Sales lines the history does not hold yet."""
-    return new_rows_only(sales_rows(raw, order, batch), stored, list(SALES.keys), nullable=[])
+    """Sales lines the history does not hold yet. The cleaned lines are read twice, so they are stored first."""
+    return new_rows_only(reliable(sales_rows(raw, order, batch)), stored, list(SALES.keys), nullable=[])
 
 
 def _merge(batch: DataFrame, stored: DataFrame, table: Table, nullable: list[str], load_ts: Column | None) -> Merge:
+    """The split reads the cleaned batch twice, and its result feeds the new state and the alerts: both are stored."""
     keys = list(table.keys)
-    split = upsert_split(batch, stored, keys, table.tracked, table.guard, nullable)
-    # The split feeds the new table state (twice) and the alerts: compute it once.
-    actions = reliable(split)
+    actions = reliable(upsert_split(reliable(batch), stored, keys, table.tracked, table.guard, nullable))
     return Merge(actions, merge_tables(stored, actions, keys, list(table.set_columns), table.load_column, load_ts))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricewright.operators import pricing
 from pricewright.operators.hygiene import sheet_date, snapshot_sheet
+from pricewright.operators.ranked import reliable
 from pricewright.plans import jobs
 from pricewright.plans.registry import query
 from pricewright.plans.sample import (
@@ -90,7 +91,7 @@ FROM (SELECT *, abs(unit_price - mnf_stk_price) / nullif(unit_price, 0) AS ratio
 def _stored_competitor(spark, sf_dir):
     rows = jobs.clean_batch(loaded(competitor_landing(spark, sf_dir)), COMPETITOR, ORDER)
     stamp = F.lit("2025-01-01").cast("timestamp").alias(COMPETITOR.load_column)
-    return rows.select(*COMPETITOR.input_columns, stamp)
+    return reliable(rows.select(*COMPETITOR.input_columns, stamp))
 
 
 def competitor_merge(spark, sf_dir):
@@ -290,7 +291,7 @@ WITH {SALES_SQL} SELECT {SALES_SHOWN} FROM sales s WHERE NOT EXISTS (
 def sales_history_job(spark, sf_dir):
     raw = sales_landing(spark, sf_dir)
     earlier = jobs.sales_rows(raw, ORDER)
-    earlier = earlier.where(F.col("sys_dt") < F.lit(LOADED).cast("timestamp_ntz"))
+    earlier = reliable(earlier.where(F.col("sys_dt") < F.lit(LOADED).cast("timestamp_ntz")))
     return _sales_shown(jobs.sales_history_job(raw, earlier, ORDER))
 
 
@@ -339,7 +340,7 @@ WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.quote_num = b.quote_num AND s.m
 def quote_job(spark, sf_dir):
     raw = quote_landing(spark, sf_dir)
     stamp = F.lit("2025-01-01").cast("timestamp").alias(QUOTES.load_column)
-    table = jobs.clean_batch(loaded(raw), QUOTES, ORDER).select(*QUOTES.input_columns, stamp)
+    table = reliable(jobs.clean_batch(loaded(raw), QUOTES, ORDER).select(*QUOTES.input_columns, stamp))
     merged = jobs.quote_job(raw, table, ORDER, load_ts=F.lit("2025-02-01").cast("timestamp")).table
     return merged.select(
         "model_no", "quote_num", "price_model", F.col("quote_dt").cast("string").alias("quote_dt"), "row_stat",
