@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewright.llm import bpe, packing
+from pricewright.llm import bpe, exact, packing
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,15 @@ def query(build):
     return build
 
 
+ORACLE["op5_exact_dedup"] = """
+with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm
+           from documents)
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept, sha256(norm) as text_sha256
+from d window same as (partition by norm)
+"""
+
+
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), BYTE_BPE).drop("ids")
@@ -28,3 +37,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
+
+
+@query
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.groups(documents(spark, sf_dir))
