@@ -127,7 +127,8 @@ def groups(docs: DataFrame, bits: int = BITS, rows_per_part: int = ROWS) -> Data
     verified = same.agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     verified = verified.select(F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "group_size")
     stays = rows.groupBy("sha").agg(F.max(F.struct("doc_id", "place")).alias("stays"))
-    joined = rows.join(stays.join(verified, "sha", "left"), "sha")
+    # Stored, so that the join deals both sides anew and can split the rows of a very large group.
+    joined = rows.join(stored(stays.join(verified, "sha", "left")), "sha")
     size = F.coalesce("group_size", F.lit(1))
     return joined.select(
         "doc_id",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewright.llm import bpe, exact, fingerprint, packing
+from pricewright.llm import bpe, exact, fingerprint, packing, warc
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,18 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
+ORACLE["op10_warc"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+     q as (select *, strlen(html) as n, max(page_id) over (partition by html) as last from p)
+select page_id, n as payload_bytes, sha1(html) as payload_digest,
+       case when n >= 1000 and page_id is distinct from last and last is not null then 'revisit' else 'response' end as record_type,
+       case when n >= 1000 and page_id is distinct from last then last end as refers_to, true as indexed
+from q
+"""
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
