@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewright.llm import bpe, exact, fingerprint, packing, warc
+from pricewright.llm import bpe, exact, fingerprint, packing, unigram, warc
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(build):
@@ -62,3 +63,8 @@ from q
 @query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(documents(spark, sf_dir), PIECES)
