@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewright.llm import bpe, exact, fingerprint, packing, unigram, warc
+from pricewright.llm import bpe, exact, fingerprint, packing, ppm, unigram, warc
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.token_counts(documents(spark, sf_dir), PIECES)
+
+
+@query
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(documents(spark, sf_dir))
