@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewright.llm import bpe, exact, fingerprint, packing, ppm, unigram, warc
+from pricewright.llm import bpe, exact, fingerprint, langid, packing, ppm, unigram, warc
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.scores(documents(spark, sf_dir))
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(documents(spark, sf_dir))
