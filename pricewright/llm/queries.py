@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewright.llm import bpe, exact, fingerprint, langid, neardup, packing, ppm, unigram, warc
+from pricewright.llm import bpe, exact, fingerprint, langid, neardup, packing, ppm, substring, unigram, warc
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(documents(spark, sf_dir)).drop("row")
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removals(documents(spark, sf_dir))
