@@ -1,20 +1,48 @@
-"""From raw documents to packed training sequences, one stage after the other."""
+"""From raw documents to packed training sequences, one stage after the other.
+
+Rejected by language identification: texts without a letter, and texts of which no language has half of the words.
+Then one row of each group of equal texts stays (the largest doc_id), one of each class of near-duplicates (the
+smallest doc_id); of what is left, passages of 50 words and more that a smaller doc_id has too are cut out; the
+rest is packed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewright.llm import packing
+from pricewright.llm import exact, langid, neardup, packing, substring
 from pricewright.llm.common import documents, stored
 from pricewright.llm.queries import BYTE_BPE
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.accepted(docs)
+
+
+def equal_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact.deduplicated(docs)
+
+
+def near_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.deduplicated(docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring.cleaned(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, BYTE_BPE)
 
 
-STAGES = [("best-fit packing", pack)]
-ORACLE_SQL = None
+STAGES = [
+    ("language identification", language),
+    ("exact dedup", equal_texts),
+    ("near-duplicates", near_texts),
+    ("substring dedup", passages),
+    ("best-fit packing", packed),
+]
+ORACLE_SQL = None  # neither the language model nor the packing can be said in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,6 +52,37 @@ def whole(text: str = "text"):
     return F.coalesce(F.col(text), F.lit("")).alias(text)
 
 
+def mark(text: str = "text"):
+    """Tells texts with the same doc_id apart."""
+    return F.xxhash64(whole(text)).alias("mark")
+
+
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as it takes not to clash with a column."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, whose doc_id and mark are in kept; of repeated rows one."""
+    names = fresh(docs, "none", "id", "mark")
+
+    def keys(df: DataFrame, text_mark) -> list:
+        number = F.col("doc_id").cast("long")
+        values = (number.isNull(), F.coalesce(number, F.lit(0)), text_mark)
+        return [v.alias(n) for v, n in zip(values, names, strict=True)]
+
+    rows = docs.select("*", *keys(docs, mark()))
+    # The join has dealt the rows by these keys, so dropping repeated rows moves nothing.
+    return rows.join(kept.select(*keys(kept, F.col("mark"))), names, "left_semi").dropDuplicates(names).drop(*names)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows and the row offsets into them."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

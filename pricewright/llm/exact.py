@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import lowered, partitions, pieces, stored, text_bytes, whole
+from pricewright.llm.common import lowered, mark, only, partitions, pieces, stored, text_bytes, whole
 
 BITS = 48  # of a fingerprint; more only make fewer false suspects
 ROWS = 2_000_000  # in a part, and fingerprints with an owner, at most on average
@@ -52,7 +52,7 @@ def prints(column: pa.Array, bits: int) -> np.ndarray:
 
 
 def hashed_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, sha (of the normalised text), task, nth: which row of which task it was."""
+    """doc_id, mark, sha (of the normalised text), task, nth: which row of which task it was."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), 0
@@ -62,11 +62,11 @@ def hashed_rows(docs: DataFrame) -> DataFrame:
             view = memoryview(flat)
             sha = pa.array([hashlib.sha256(view[a:b]).digest() for a, b in zip(at, at[1:], strict=False)], pa.binary())
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sha, pa.array(np.full(n, task, np.int64)), pa.array(np.arange(seen, seen + n))], ["doc_id", "sha", "task", "nth"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), sha, pa.array(np.full(n, task, np.int64)), pa.array(np.arange(seen, seen + n))], ["doc_id", "mark", "sha", "task", "nth"])
             seen += n
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole())
-    return rows.mapInArrow(run, "doc_id long, sha binary, task long, nth long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(), whole())
+    return rows.mapInArrow(run, "doc_id long, mark long, sha binary, task long, nth long")
 
 
 def suspects(rows: DataFrame, bits: int = BITS, fingerprints: int = ROWS) -> DataFrame:
@@ -110,7 +110,7 @@ def suspects(rows: DataFrame, bits: int = BITS, fingerprints: int = ROWS) -> Dat
 
 
 def groups(docs: DataFrame, bits: int = BITS, rows_per_part: int = ROWS) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of docs.
+    """doc_id, keep_id, group_size, kept, text_sha256, mark: one row for each row of docs.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty, so null and empty texts are
     one group. The largest doc_id stays (a null one is below all); of repeated rows with that doc_id exactly
@@ -136,4 +136,10 @@ def groups(docs: DataFrame, bits: int = BITS, rows_per_part: int = ROWS) -> Data
         size.cast("long").alias("group_size"),
         (F.col("place") == F.col("stays.place")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        "mark",
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of docs that stay, with their columns."""
+    return only(docs, groups(docs).where("kept"))

@@ -303,22 +303,17 @@ def fit(docs: DataFrame, per_label: int = PER_LABEL, folds: int = FOLDS, held: i
     return Tagger(languages, lexicon, weights.astype(np.float32), moves)
 
 
-def predictions(docs: DataFrame, model: Tagger, text: str = "text"):
-    """A function for mapInArrow that appends lang_pred and score to the rows it gets."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.key, model.languages, model.lexicon, model.weights, model.moves))
+def _sent(docs: DataFrame, model: Tagger):
+    return docs.sparkSession.sparkContext.broadcast((model.key, model.languages, model.lexicon, model.weights, model.moves))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, *parts = sent.value
-        if key not in _READY:
-            _READY.clear()
-            _READY[key] = Tagger(*parts)
-        tagger = _READY[key]
-        for table in gathered(batches, text, CHUNK):
-            names, scores = tagger.predict([t or "" for t in one(table.column(text)).to_pylist()])
-            arrays = [one(c) for c in table.columns] + [pa.array(names, pa.string()), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(arrays, [*table.column_names, "lang_pred", "score"])
 
-    return run
+def _tagger(sent) -> Tagger:
+    """The model, once in a worker."""
+    key, *parts = sent.value
+    if key not in _READY:
+        _READY.clear()
+        _READY[key] = Tagger(*parts)
+    return _READY[key]
 
 
 def languages(docs: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
@@ -328,7 +323,26 @@ def languages(docs: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
     A null doc_id is neither learned from nor held out. score: the expected share of the text's words that are in
     the predicted language. Of equal shares the first language by name wins. An empty table gives no rows.
     """
-    model = fit(docs, per_label)
+    sent = _sent(docs, fit(docs, per_label))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in gathered(batches, "text", CHUNK):
+            names, scores = _tagger(sent).predict(one(table.column("text")).to_pylist())
+            arrays = [one(table.column(c)) for c in ("doc_id", "held_out")] + [pa.array(names, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "lang_pred", "score"])
+
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), whole())
-    found = rows.mapInArrow(predictions(docs, model), "doc_id long, held_out boolean, text string, lang_pred string, score double")
-    return found.drop("text")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of docs, with their columns, whose text has letters and a language with that share of its words."""
+    sent = _sent(docs, fit(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in gathered(batches, "text", CHUNK):
+            names, scores = _tagger(sent).predict([t or "" for t in one(table.column("text")).to_pylist()])
+            keep = [n != UNKNOWN and s >= least for n, s in zip(names, scores.tolist(), strict=True)]
+            yield from table.filter(pa.array(keep)).to_batches()
+
+    return docs.mapInArrow(run, docs.schema)

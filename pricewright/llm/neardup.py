@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import gathered, lowered, mix, one, partitions, span_hashes, stored, text_bytes, whole, word_spans
+from pricewright.llm.common import gathered, lowered, mark, mix, one, only, partitions, span_hashes, stored, text_bytes, whole, word_spans
 
 WORDS = 5  # in a shingle
 M, BANDS = 128, 32  # components; a pair of similarity 0.8 misses all bands of four with probability 5e-8
@@ -99,7 +99,7 @@ def signatures(row: np.ndarray, hashes: np.ndarray, counts: np.ndarray, rows: in
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """row (unique), doc_id, k1 and k2 (of the multiset), bands, and the signature in two bits a component (s0..s3)."""
+    """row (unique), doc_id, mark, k1 and k2 (of the multiset), bands, and the signature in two bits a component (s0..s3)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = TaskContext.get().partitionId() << 36
@@ -121,12 +121,12 @@ def signed(docs: DataFrame) -> DataFrame:
             some = np.isfinite(times[:, 0])
             lengths = np.where(some, BANDS, 0)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(band[some].ravel().view(np.int64)))
-            columns = [pa.array(seen + np.arange(n)), one(table.column("doc_id")), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), lists, *[pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4)]]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "k1", "k2", "bands", "s0", "s1", "s2", "s3"])
+            columns = [pa.array(seen + np.arange(n)), one(table.column("doc_id")), one(table.column("mark")), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), lists, *[pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4)]]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "mark", "k1", "k2", "bands", "s0", "s1", "s2", "s3"])
             seen += n
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole())
-    return rows.mapInArrow(run, "row long, doc_id long, k1 long, k2 long, bands array<long>, s0 long, s1 long, s2 long, s3 long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(), whole())
+    return rows.mapInArrow(run, "row long, doc_id long, mark long, k1 long, k2 long, bands array<long>, s0 long, s1 long, s2 long, s3 long")
 
 
 def alike(pairs: DataFrame, nodes: DataFrame, differ: int = DIFFER) -> DataFrame:
@@ -224,7 +224,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """row, doc_id, class_id, class_size, kept: one row for each row of docs.
+    """doc_id, class_id, class_size, kept, mark: one row for each row of docs.
 
     class_id is the least doc_id of the class and the row that has it is kept; null doc_ids come last, and of
     repeated rows one is kept. Texts without a word (null, empty, white space) are one class. An empty table gives
@@ -264,5 +264,10 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     member = stored(member)
     whole_class = member.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("class_size"))
     member = stored(member.select("k1", "k2", "root").join(stored(whole_class), "root"))
-    out = rows.select("row", "doc_id", "k1", "k2").join(member, ["k1", "k2"])
-    return out.select("row", "doc_id", F.col("kept.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("kept.row")).alias("kept"))
+    out = rows.select("row", "doc_id", "mark", "k1", "k2").join(member, ["k1", "k2"])
+    return out.select("doc_id", F.col("kept.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("kept.row")).alias("kept"), "mark")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of each class, with its columns."""
+    return only(docs, classes(docs).where("kept"))

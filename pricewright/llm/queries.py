@@ -42,7 +42,7 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact.groups(documents(spark, sf_dir))
+    return exact.groups(documents(spark, sf_dir)).drop("mark")
 
 
 @query
@@ -82,7 +82,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.classes(documents(spark, sf_dir)).drop("row")
+    return neardup.classes(documents(spark, sf_dir)).drop("mark")
 
 
 @query

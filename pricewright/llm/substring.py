@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import _INVERSE, _powers, gathered, mix, one, partitions, ragged, span_hashes, stored, text_bytes, whole, word_spans
+from pricewright.llm.common import _INVERSE, _powers, fresh, gathered, mark, mix, one, partitions, ragged, span_hashes, stored, text_bytes, whole, word_spans
 from pricewright.llm.fmindex import FMIndex
 
 WINDOW, GRAM = 50, 25
@@ -93,16 +93,16 @@ def _told(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return at, asks, np.concatenate([np.repeat(number, size)[twice], number])
 
 
-def _answers(told: DataFrame) -> DataFrame:
+def _answers(told: DataFrame, hot: int) -> DataFrame:
     """key, owner, place, hot of everything that occurs more than once. A key has one asking row for each task."""
     asks = told.where("asks").groupBy("key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("owner", "place")).alias("of"))
-    many = stored(asks.where("n > 1").withColumn("hot", F.col("n") >= HOT))
+    many = stored(asks.where("n > 1").withColumn("hot", F.col("n") >= hot))
     answered = many.select("key", "hot", F.explode("of").alias("x")).select("key", "x.owner", "x.place", "hot")
     known = told.where("not asks").join(many.where("hot").select("key", "hot"), "key", "left")
     return answered.unionAll(known.select("key", "owner", "place", F.coalesce("hot", F.lit(False)).alias("hot")))
 
 
-def suspect_keys(rows: DataFrame) -> DataFrame:
+def suspect_keys(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, keys, hot: the window keys of each document that another document has too, and the hot ones of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,9 +123,9 @@ def suspect_keys(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[k].view(np.int64)), pa.array(owners[k]), pa.array(asks[z]), pa.array(n[z].astype(np.int32))], ["key", "owner", "asks", "n"])
 
     told = stored(rows.select("doc_id", "text").mapInArrow(run, "key long, owner long, asks boolean, n int"))
-    found = _answers(told.withColumn("place", F.lit(0)))
-    hot = F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot")
-    return found.groupBy(F.col("owner").alias("doc_id")).agg(F.collect_set("key").alias("keys"), hot)
+    found = _answers(told.withColumn("place", F.lit(0)), hot)
+    of_hot = F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot")
+    return found.groupBy(F.col("owner").alias("doc_id")).agg(F.collect_set("key").alias("keys"), of_hot)
 
 
 def _among(key: np.ndarray, row: np.ndarray, lists: pa.ListArray) -> np.ndarray:
@@ -158,7 +158,7 @@ def runs(rows: DataFrame, keys: DataFrame) -> DataFrame:
             windows = last - first + 1
             run = number + np.arange(len(first))
             number += len(first)
-            doc, mark = (one(table.column(c)).to_numpy(zero_copy_only=False)[words.row[first]] for c in ("doc_id", "mark"))
+            doc, tag = (one(table.column(c)).to_numpy(zero_copy_only=False)[words.row[first]] for c in ("doc_id", "mark"))
             which, place = np.repeat(np.arange(len(first)), windows)[hot], (at - np.repeat(first, windows))[hot]
             if len(which):
                 asked.append((_grams(words.hashes, WINDOW)[at[hot]], run[which], place, doc[which]))
@@ -167,7 +167,7 @@ def runs(rows: DataFrame, keys: DataFrame) -> DataFrame:
             doubt = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(2 * np.bincount(of, minlength=len(first)))), pa.int32()), pa.array(ends))
             texts = [words.text(a, b + WINDOW) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
             start = first - words.before[words.row[first]]
-            columns = {"run": run, "doc_id": doc, "mark": mark, "start": start, "windows": windows}
+            columns = {"run": run, "doc_id": doc, "mark": tag, "start": start, "windows": windows}
             yield _row("run", {k: pa.array(v) for k, v in columns.items()} | {"text": pa.array(texts, pa.binary()).cast(pa.string()), "doubt": doubt})
         if asked:
             hashes, run, place, doc = (np.concatenate(x) for x in zip(*asked, strict=True))
@@ -240,14 +240,14 @@ def _out(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, _, t) in zip(part, _OUT, strict=True)], [k for k, _, _ in _OUT])
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
     """doc_id, mark, start, windows: windows in a row, from word ``start``, whose words a document with a smaller doc_id
     has too. mark tells texts with the same doc_id apart. Null doc_ids are neither smaller nor larger than any."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole()).where("doc_id is not null")
-    rows = rows.withColumn("mark", F.xxhash64("text"))
-    found = stored(runs(rows, suspect_keys(rows)))
+    rows = rows.select("doc_id", "text", mark())
+    found = stored(runs(rows, suspect_keys(rows, hot)))
     told = found.where("kind = 'ask'").select("key", F.col("run").alias("owner"), "place", "asks", "n")
-    sure = _answers(told).groupBy(F.col("owner").alias("run")).agg(F.collect_set("place").alias("places"))
+    sure = _answers(told, hot).groupBy(F.col("owner").alias("run")).agg(F.collect_set("place").alias("places"))
     sure = found.where("kind = 'run'").select("run", "doc_id", "mark", "start", "windows", "text", "doubt").join(sure, "run", "left")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +255,7 @@ def repeated(docs: DataFrame) -> DataFrame:
         shard = Shard()
         for table in gathered(batches, "text", CHUNK):
             words = Words(one(table.column("text")))
-            doc, mark, start, windows = (one(table.column(c)).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark", "start", "windows"))
+            doc, tag, start, windows = (one(table.column(c)).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark", "start", "windows"))
             ok = np.ones(int(windows.sum()), bool)
             before = np.cumsum(windows) - windows
             lists = one(table.column("doubt"))
@@ -272,9 +272,9 @@ def repeated(docs: DataFrame) -> DataFrame:
                 continue
             first = words.before[run] + place
             sizes = many + WINDOW - 1
-            info = [(int(doc[r]), int(mark[r]), int(start[r] + p), words.starts[f : f + n], words.ends[f : f + n], words.data) for r, p, f, n in zip(run, place, first, sizes, strict=True)]
+            info = [(int(doc[r]), int(tag[r]), int(start[r] + p), words.starts[f : f + n], words.ends[f : f + n], words.data) for r, p, f, n in zip(run, place, first, sizes, strict=True)]
             shard.add(words.hashes[ragged(first, sizes)], sizes, doc[run], info)
-            if shard.size >= SHARD:
+            if shard.size >= most:
                 yield from _out(settled(shard))
                 shard = Shard()
         if shard.size:
@@ -284,8 +284,8 @@ def repeated(docs: DataFrame) -> DataFrame:
         place, run, earlier, info = shard.search()
         out = []
         for r, p, n in zip(*(x.tolist() for x in _spans(place[earlier], run[earlier])), strict=True):
-            doc, mark, start, *_ = info[r]
-            out.append((doc, mark, start + p, n, None, None))
+            doc, tag, start, *_ = info[r]
+            out.append((doc, tag, start + p, n, None, None))
         hashes, sizes = np.concatenate([p[0] for p in shard.parts]), np.concatenate([p[1] for p in shard.parts])
         keys = _least(_grams(hashes, GRAM), WINDOW - GRAM + 1)
         begin = np.cumsum(sizes) - sizes
@@ -294,10 +294,10 @@ def repeated(docs: DataFrame) -> DataFrame:
         cut = np.flatnonzero((np.diff(place) != 1) | (np.diff(run) != 0) | (np.diff(key) != 0)) + 1 if len(place) else np.zeros(0, np.int64)
         edges = np.concatenate([[0], cut, [len(place)]]).tolist() if len(place) else []
         for a, b in zip(edges, edges[1:], strict=False):
-            doc, mark, start, s, e, data = info[run[a]]
+            doc, tag, start, s, e, data = info[run[a]]
             p = int(place[a])
             text = data[s[p] : e[p + b - a + WINDOW - 2]].tobytes().decode("utf-8")
-            out.append((doc, mark, start + p, b - a, int(key[a].view(np.int64)), text))
+            out.append((doc, tag, start + p, b - a, int(key[a].view(np.int64)), text))
         return out
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,15 +305,15 @@ def repeated(docs: DataFrame) -> DataFrame:
         shard, last = Shard(), None
         for table in gathered(batches, "text", CHUNK):
             words = Words(one(table.column("text")))
-            doc, mark, start, key = (one(table.column(c)).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark", "start", "key"))
+            doc, tag, start, key = (one(table.column(c)).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark", "start", "key"))
             edges = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]).tolist()
             for a, b in zip(edges, edges[1:], strict=False):
-                if shard.size >= SHARD and key[a] != last:
+                if shard.size >= most and key[a] != last:
                     yield from _out(searched(shard))
                     shard = Shard()
                 last = key[a]
                 low, high = words.before[a], words.before[b]
-                shard.add(words.hashes[low:high], words.sizes[a:b], doc[a:b], list(zip(doc[a:b].tolist(), mark[a:b].tolist(), start[a:b].tolist(), strict=True)))
+                shard.add(words.hashes[low:high], words.sizes[a:b], doc[a:b], list(zip(doc[a:b].tolist(), tag[a:b].tolist(), start[a:b].tolist(), strict=True)))
         if shard.size:
             yield from _out(searched(shard))
 
@@ -341,17 +341,15 @@ def without(text: str, spans: list[dict] | None) -> tuple[int, int, bytes]:
     return n, n - len(words), b" ".join(words)
 
 
-def marked(docs: DataFrame, text: str = "text") -> DataFrame:
+def marked(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
     """docs with the spans to remove from each row in the last column, named as no other."""
-    name = "spans"
-    while name in docs.columns:
-        name += "_"
-    spans = repeated(docs).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "windows")).alias(name))
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole(text)).alias("mark"))
+    (name,) = fresh(docs, "spans")
+    spans = repeated(docs, hot, most).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "windows")).alias(name))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), mark())
     return own.join(spans, ["doc_id", "mark"], "left").select("row.*", name)
 
 
-def removals(docs: DataFrame) -> DataFrame:
+def removals(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256: one row for each row of docs.
 
     Null and empty texts have no words. Texts of fewer than WINDOW words lose nothing, and rows without a doc_id
@@ -371,7 +369,7 @@ def removals(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole())
-    return marked(rows).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return marked(rows, hot, most).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
