@@ -89,7 +89,7 @@ class Vocabulary:
         at = np.fromiter((self.index[w] for s in split for w in s), np.int64, int(sizes.sum()))
         row = np.repeat(np.arange(len(texts)), sizes)
         counts = np.bincount(row, self.counts[at], len(texts)).astype(np.int64)
-        return counts, np.bincount(row, self.scores[at], len(texts))
+        return counts, np.bincount(row, self.scores[at], len(texts)).astype(float)
 
 
 @cache

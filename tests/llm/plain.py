@@ -120,7 +120,7 @@ def ppm(rows, order=5):
             continue
         w = words(low(text))
         counts.update(w)
-        counts["\0"] += 1
+        counts[None] += 1  # the end
         s = [256] * order + list(" ".join(w).encode()) + [256]
         for k in range(order, len(s)):
             for n in range(order + 1):
@@ -143,7 +143,7 @@ def ppm(rows, order=5):
     out = []
     for doc, text in rows:
         w = words(low(text))
-        tokens = [*w, "\0"]
+        tokens = [*w, None]
         s = [256] * order + list(" ".join(w).encode()) + [256]
         base = sum(math.log10((counts[x] + 1) / (total + kinds + 1)) for x in tokens)
         score = sum(log(s[k - order : k], s[k]) for k in range(order, len(s)))
