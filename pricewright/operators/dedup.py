@@ -27,22 +27,14 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return _pick(df, keys, [F.col(c).asc_nulls_first() for c in order])
 
 
-def consolidate(
-    df: DataFrame,
-    keys: list[str],
-    sums: list[str],
-    order: list[str],
-    batch: str | None = None,
-) -> DataFrame:
+def consolidate(df: DataFrame, keys: list[str], sums: list[str], order: list[str], batch: str | None = None) -> DataFrame:
     """Sum ``sums`` per key; every other column comes from the key's first row in ``order``.
 
     One aggregate instead of aggregate + self join. Rows with a null key are dropped and a
-    sum over nulls only is 0. With ``batch`` (a file name), sums stay inside a batch and the
-    first batch that holds the key wins, which is what loading the batches in turn against a
-    growing table amounts to.
+    sum over nulls only is 0. With ``batch`` (a file name), each file has rows of its own.
     """
-    attrs = [c for c in df.columns if c not in {*keys, *sums, *order, batch}]
     scope = keys + ([batch] if batch else [])
+    attrs = [c for c in df.columns if c not in {*scope, *sums, *order}]
     picked = (
         require_keys(df, keys)
         .groupBy(*scope)
@@ -51,17 +43,25 @@ def consolidate(
             F.min_by(F.struct(*attrs), F.struct(*order)).alias("_row"),
         )
     )
-    if batch:
-        rest = [c for c in picked.columns if c not in scope]
-        picked = picked.groupBy(*keys).agg(F.min(F.struct(batch, *rest)).alias("_b")).select(
-            *keys, *[F.col(f"_b.{c}").alias(c) for c in rest]
-        )
-    return picked.select(*keys, *sums, *[F.col(f"_row.{c}").alias(c) for c in attrs])
+    return picked.select(*scope, *sums, *[F.col(f"_row.{c}").alias(c) for c in attrs])
+
+
+def first_file(df: DataFrame, keys: list[str], batch: str) -> DataFrame:
+    """Of each key the rows of the first file that holds it, for rows that are unique per key and file.
+
+    That is what loading the files in turn against a growing table amounts to, once every
+    file's own rules (netting lines, cleaning keys) have been applied.
+    """
+    return keep_first(df, keys, [batch]).drop(batch)
 
 
 def consolidate_sales(df: DataFrame, keys: list[str], order: list[str], batch: str | None = None) -> DataFrame:
-    """Sales lines of one bill, time and SKU become one line; lines that net to zero go."""
-    return drop_zero_quantity(consolidate(df, keys, ["quantity", "amt"], order, batch))
+    """Sales lines of one bill, time and SKU become one line; lines that net to zero go.
+
+    A line that nets to zero in one file leaves the key to a later file.
+    """
+    lines = drop_zero_quantity(consolidate(df, keys, ["quantity", "amt"], order, batch))
+    return first_file(lines, keys, batch) if batch else lines
 
 
 def group_min_max(df: DataFrame, key: str = "sku_pk", value: str = "price") -> DataFrame:

@@ -82,6 +82,62 @@ def upsert_split(
     return source.join(flags, cond, "left").select(*source.columns, action.alias("action"))
 
 
+def upsert_files(
+    source: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    tracked: str,
+    guard: str,
+    set_columns: list[str],
+    batch: str,
+    nullable: list[str] | None = None,
+) -> DataFrame:
+    """What ``upsert_split`` of one file after the other, in order of ``batch``, amounts to: one row per key.
+
+    ``source`` must hold one row per key and file, so a key's rows are as few as the files.
+    Each file meets the values that the target and the earlier files left: a new key is an
+    insert whose set columns later files can still change, a moved tracked value an update.
+    """
+    if guard not in ("source", "target"):
+        raise ValueError(f"guard must be 'source' or 'target', not {guard!r}")
+    cond = _match(keys, nullable)
+    columns = [c for c in source.columns if c not in {*keys, batch}]
+    steps = source.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(batch, *columns))).alias("_steps"))
+    # A struct keeps a null value, which collect_set alone would skip.
+    values = (
+        _target_keys(target, keys, F.struct(F.col(tracked).alias("v")).alias("_old"))
+        .join(source.select(*keys).distinct(), cond, "inner")
+        .groupBy(*[f"_t_{k}" for k in keys])
+        .agg(F.collect_set("_old").alias("_olds"))
+    )
+    kind = {f.name: f.dataType for f in source.schema.fields}
+    row_type = ", ".join(f"`{c}`: {kind[c].simpleString()}" for c in columns)
+    state = f"struct<action: string, olds: array<struct<v: {kind[tracked].simpleString()}>>, row: struct<{row_type}>>"
+
+    def step(seen: Column, new: Column) -> Column:
+        value = new[tracked]
+        known = lambda old: (value if guard == "source" else old["v"]).isNotNull()
+        moved = F.exists(seen["olds"], lambda old: ~value.eqNullSafe(old["v"]) & known(old))
+        now = F.array(F.struct(value.alias("v")))
+        whole = F.struct(*[new[c].alias(c) for c in columns])
+        changed = F.struct(*[(new[c] if c in set_columns else seen["row"][c]).alias(c) for c in columns])
+        later = F.when(seen["action"] == INSERT, INSERT).otherwise(UPDATE)
+        first = F.struct(F.lit(INSERT).alias("action"), now.alias("olds"), whole.alias("row"))
+        after = F.struct(
+            later.alias("action"), now.alias("olds"), F.when(seen["row"].isNull(), whole).otherwise(changed).alias("row")
+        )
+        rest = F.struct(seen["action"].alias("action"), seen["olds"].alias("olds"), F.coalesce(seen["row"], whole).alias("row"))
+        out = F.when(seen["action"].isNull(), first).when(moved, after).otherwise(rest)
+        return out.cast(state)
+
+    start = F.struct(
+        F.when(F.col("_olds").isNotNull(), F.lit(UNCHANGED)).alias("action"), F.col("_olds").alias("olds"), F.lit(None).alias("row")
+    ).cast(state)
+    folded = steps.join(values, cond, "left").select(*keys, F.aggregate("_steps", start, step).alias("_end"))
+    rows = {c: F.col(c) if c in keys else F.col(f"_end.row.{c}").alias(c) for c in source.columns if c != batch}
+    return folded.select(*rows.values(), F.col("_end.action").alias("action"))
+
+
 def apply_updates(target: DataFrame, updates: DataFrame, keys: list[str], set_columns: list[str]) -> DataFrame:
     """Set columns where the key matches; plain equality, so null keys never match.
 

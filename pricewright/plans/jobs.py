@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.functions.cleaning import SALES_RULES, apply_rules, clean_landing, to_date_lenient
-from pricewright.operators.dedup import consolidate_sales, keep_last
-from pricewright.operators.hygiene import select_columns, snapshot_sheet
+from pricewright.operators.dedup import consolidate, first_file, keep_last
+from pricewright.operators.hygiene import drop_zero_quantity, select_columns, snapshot_sheet
 from pricewright.operators.pricing import pallet_cascade, pricing_alerts, unpivot_prices
 from pricewright.operators.ranked import reliable
 from pricewright.operators.reconcile import (
@@ -23,6 +23,7 @@ from pricewright.operators.reconcile import (
     merge_tables,
     new_rows_only,
     skip_loaded_value,
+    upsert_files,
     upsert_split,
 )
 from pricewright.schemas import COMPETITOR, INVENTORY, PRICE_MASTER, PROMO_HISTORY, QUOTES, SALES, Table
@@ -37,23 +38,25 @@ class Merge:
     alerts: DataFrame | None = None
 
 
-def clean_batch(raw: DataFrame, table: Table, order: list[str]) -> DataFrame:
-    """Cleaned rows of a landing file, the last one per key."""
+def clean_batch(raw: DataFrame, table: Table, order: list[str], batch: str | None = None) -> DataFrame:
+    """Cleaned rows of a landing file, the last one per key; with ``batch`` per key and file."""
     keys = list(table.keys)
-    return keep_last(clean_landing(raw, keys), keys, order)
+    return keep_last(clean_landing(raw, keys), [*keys, *([batch] if batch else [])], order)
 
 
 def sales_rows(raw: DataFrame, order: list[str], batch: str | None = None) -> DataFrame:
     """Consolidated and cleaned sales lines, one per (bill, time, SKU).
 
     Cleaning the keys can make two lines collide; then the one with the larger raw key stays
-    and sums are not redone.
+    and sums are not redone. With ``batch`` (the file) all that happens inside a file, and
+    the first file with a key wins.
     """
-    keys = list(SALES.keys)
+    keys, scope = list(SALES.keys), [batch] if batch else []
     raw_keys = [f"_raw_{k}" for k in keys]
-    lines = consolidate_sales(apply_rules(raw, SALES_RULES), keys, order, batch)
-    lines = lines.select(*SALES.input_columns, *[F.col(k).alias(r) for k, r in zip(keys, raw_keys)])
-    return keep_last(clean_landing(lines, keys), keys, raw_keys).drop(*raw_keys)
+    lines = drop_zero_quantity(consolidate(apply_rules(raw, SALES_RULES), keys, ["quantity", "amt"], order, batch))
+    lines = lines.select(*SALES.input_columns, *scope, *[F.col(k).alias(r) for k, r in zip(keys, raw_keys)])
+    rows = keep_last(clean_landing(lines, keys), [*keys, *scope], raw_keys).drop(*raw_keys)
+    return first_file(rows, keys, batch) if batch else rows
 
 
 def sales_history_job(raw: DataFrame, stored: DataFrame, order: list[str], batch: str | None = None) -> DataFrame:
@@ -68,9 +71,16 @@ def _merge(batch: DataFrame, stored: DataFrame, table: Table, nullable: list[str
     return Merge(actions, merge_tables(stored, actions, keys, list(table.set_columns), table.load_column, load_ts))
 
 
-def quote_job(raw: DataFrame, stored: DataFrame, order: list[str], load_ts: Column | None = None) -> Merge:
-    batch = select_columns(clean_batch(raw, QUOTES, order), QUOTES.input_columns)
-    return _merge(batch, stored, QUOTES, [], load_ts)
+def quote_job(
+    raw: DataFrame, stored: DataFrame, order: list[str], load_ts: Column | None = None, batch: str | None = None
+) -> Merge:
+    """New state of the quotes. With ``batch`` (the file), every file sees what the earlier ones stored."""
+    if batch is None:
+        return _merge(select_columns(clean_batch(raw, QUOTES, order), QUOTES.input_columns), stored, QUOTES, [], load_ts)
+    keys = list(QUOTES.keys)
+    rows = clean_batch(raw, QUOTES, order, batch).select(*QUOTES.input_columns, batch)
+    actions = reliable(upsert_files(rows, stored, keys, QUOTES.tracked, QUOTES.guard, list(QUOTES.set_columns), batch, []))
+    return Merge(actions, merge_tables(stored, actions, keys, list(QUOTES.set_columns), QUOTES.load_column, load_ts))
 
 
 def competitor_price_job(

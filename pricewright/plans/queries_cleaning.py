@@ -206,7 +206,8 @@ def dedup_keep_first(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
+    # Lines of quantity 0 net a key to zero in one file and leave it to the next.
+    sign = F.when(F.col("l_returnflag") == "R", -1).when(F.col("l_returnflag") == "A", 0).otherwise(1)
     return file_order(read(spark, sf_dir, "lineitem")).select(
         F.nullif("l_orderkey", F.lit(0)).alias("bill_num"),
         F.col("l_linenumber").alias("sku"),
@@ -222,7 +223,7 @@ def _lines(spark, sf_dir):
 FILE_ORDER = ["_o_ship", "_o_part", "_o_supp", "_o_price"]
 LINES_SQL = """lines AS (
   SELECT nullif(l_orderkey, 0) AS bill_num, l_linenumber AS sku,
-    l_quantity * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS quantity, l_extendedprice AS amt,
+    CASE l_returnflag WHEN 'R' THEN -l_quantity WHEN 'A' THEN 0 ELSE l_quantity END AS quantity, l_extendedprice AS amt,
     l_returnflag AS price_model, l_suppkey AS quote_num, year(l_shipdate) AS file,
     row_number() OVER (ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS pos
   FROM lineitem)"""
@@ -243,9 +244,9 @@ def consolidate_sales(spark, sf_dir):
 WITH {LINES_SQL}, sums AS (
   SELECT bill_num, sku, file, sum(quantity) AS quantity, round(sum(amt), 3) AS amt,
     arg_min(price_model, pos) AS price_model, arg_min(quote_num, pos) AS quote_num
-  FROM lines WHERE bill_num IS NOT NULL GROUP BY ALL)
+  FROM lines WHERE bill_num IS NOT NULL GROUP BY ALL HAVING sum(quantity) <> 0)
 SELECT bill_num, sku, quantity, amt, price_model, quote_num FROM sums
-QUALIFY row_number() OVER (PARTITION BY bill_num, sku ORDER BY file) = 1 AND quantity <> 0""")
+QUALIFY row_number() OVER (PARTITION BY bill_num, sku ORDER BY file) = 1""")
 def consolidate_sales_files(spark, sf_dir):
     out = dedup.consolidate_sales(_lines(spark, sf_dir), ["bill_num", "sku"], FILE_ORDER, batch="file")
     return out.withColumn("amt", F.round("amt", 3))

@@ -295,6 +295,37 @@ def sales_history_job(spark, sf_dir):
     return _sales_shown(jobs.sales_history_job(raw, earlier, ORDER))
 
 
+SALES_FILES_SQL = """lines AS (
+  SELECT *, CASE WHEN l_tax = 0 THEN 0 WHEN l_returnflag = 'R' THEN -0.5 * l_quantity ELSE 0.5 * l_quantity END AS half,
+    year(l_shipdate) AS file, l_suppkey % 2 AS tail, p_type = 'PROMO' AS promo,
+    row_number() OVER (ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_quantity) AS pos
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey),
+netted AS (
+  SELECT c_name AS customer, 'INV' || l_orderkey AS bill_num, CAST(l_orderkey AS VARCHAR) AS quote_num,
+    strftime(o_orderdate, '%Y-%m-%d') || ' 03:05:00' AS sys_dt,
+    CASE WHEN promo THEN 'combo ' ELSE 'SKU ' END || p_brand AS sku, file, tail,
+    CAST(round_even(sum(half), 0) AS BIGINT) AS quantity, round(sum(l_extendedprice), 3) AS amt,
+    arg_min(CASE p_type WHEN 'STANDARD' THEN 'Electrical Device' WHEN 'PROMO' THEN 'Smart Home'
+      WHEN 'MEDIUM' THEN 'Switch' WHEN 'ECONOMY' THEN 'Sensors' WHEN 'SMALL' THEN 'Energy Mangement'
+      ELSE 'Other' END, pos) AS sku_cat,
+    CASE n_regionkey WHEN 0 THEN 'FL' WHEN 1 THEN 'CA' WHEN 2 THEN 'NY' WHEN 3 THEN 'OR' ELSE 'TX' END AS state_cd,
+    arg_min(l_discount, pos) AS discount, o_orderdate
+  FROM lines GROUP BY c_name, l_orderkey, o_orderdate, promo, p_brand, n_regionkey, file, tail HAVING sum(half) <> 0),
+cleaned AS (SELECT * FROM netted
+  QUALIFY row_number() OVER (PARTITION BY bill_num, sys_dt, sku, file ORDER BY tail DESC) = 1),
+sales AS (SELECT * FROM cleaned QUALIFY row_number() OVER (PARTITION BY bill_num, sys_dt, sku ORDER BY file) = 1)"""
+
+
+@query("sales_history_files", f"""
+WITH {SALES_FILES_SQL} SELECT {SALES_SHOWN} FROM sales s WHERE NOT EXISTS (
+  SELECT 1 FROM sales o WHERE o.o_orderdate < TIMESTAMP '{LOADED}' AND o.bill_num = s.bill_num AND o.sku = s.sku)""")
+def sales_history_files(spark, sf_dir):
+    raw = sales_landing(spark, sf_dir, files=True)
+    earlier = reliable(jobs.sales_rows(raw, ORDER, "file").where(F.col("sys_dt") < F.lit(LOADED).cast("timestamp_ntz")))
+    return _sales_shown(jobs.sales_history_job(raw, earlier, ORDER, "file"))
+
+
 QUOTE_SQL = f"""raw AS (
   SELECT CAST(l_partkey AS VARCHAR) AS model_no, 'Q' || l_linenumber AS quote_num, l_returnflag AS price_model,
     CASE WHEN l_tax <> 0 THEN l_linestatus || CAST(CAST(l_tax * 100 AS INTEGER) AS VARCHAR) END AS row_stat,
@@ -348,6 +379,40 @@ def quote_job(spark, sf_dir):
     )
 
 
+QUOTE_KEYS = "quote_num, model_no, price_model"
+
+
+@query("quote_job_files", f"""
+WITH RECURSIVE {QUOTE_SQL},
+files AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY {QUOTE_KEYS}, year(l_shipdate)
+  ORDER BY {LINE_ORDER_SQL}) = 1),
+steps AS (SELECT *, row_number() OVER (PARTITION BY {QUOTE_KEYS} ORDER BY l_shipdate) AS k FROM files),
+walk AS (
+  SELECT {QUOTE_KEYS}, CAST(0 AS BIGINT) AS k, quote_dt, row_stat, quantity, '2025-01-01' AS data_dt FROM stored
+  UNION ALL
+  SELECT {QUOTE_KEYS}, k, quote_dt, row_stat, quantity, '2025-02-01' FROM steps ANTI JOIN stored USING ({QUOTE_KEYS})
+  WHERE k = 1
+  UNION ALL
+  SELECT w.quote_num, w.model_no, w.price_model, f.k, w.quote_dt,
+    CASE WHEN u.moved THEN f.row_stat ELSE w.row_stat END, CASE WHEN u.moved THEN f.quantity ELSE w.quantity END,
+    CASE WHEN u.moved THEN '2025-02-01' ELSE w.data_dt END
+  FROM walk w JOIN steps f ON f.quote_num = w.quote_num AND f.model_no = w.model_no
+      AND f.price_model = w.price_model AND f.k = w.k + 1,
+    LATERAL (SELECT w.row_stat IS NOT NULL AND f.row_stat IS DISTINCT FROM w.row_stat AS moved) u)
+SELECT model_no, quote_num, price_model, quote_dt, row_stat, quantity, data_dt FROM walk
+QUALIFY row_number() OVER (PARTITION BY {QUOTE_KEYS} ORDER BY k DESC) = 1""")
+def quote_job_files(spark, sf_dir):
+    raw = quote_landing(spark, sf_dir)
+    stamp = F.lit("2025-01-01").cast("timestamp").alias(QUOTES.load_column)
+    table = reliable(jobs.clean_batch(loaded(raw), QUOTES, ORDER).select(*QUOTES.input_columns, stamp))
+    files = raw.withColumn("file", F.year("_o_ship"))
+    merged = jobs.quote_job(files, table, ORDER, F.lit("2025-02-01").cast("timestamp"), "file").table
+    return merged.select(
+        "model_no", "quote_num", "price_model", F.col("quote_dt").cast("string").alias("quote_dt"), "row_stat",
+        "quantity", F.date_format("data_dt", "yyyy-MM-dd").alias("data_dt"),
+    )
+
+
 @query("promo_history_job", """
 SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS month_st,
   strftime(last_day(l_shipdate), '%Y-%m-%d') AS month_ed, CAST(l_partkey AS VARCHAR) AS sku,

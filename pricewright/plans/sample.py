@@ -54,7 +54,8 @@ def _case(c, mapping):
     return out
 
 
-def sales_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_landing(spark: SparkSession, sf_dir: str, files: bool = False) -> DataFrame:
+    """With ``files``, one file a ship year, bills that are the same only after cleaning, and lines of quantity 0."""
     lines = file_order(spread(read(spark, sf_dir, "lineitem")))
     orders, customer = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
     nation, part = read(spark, sf_dir, "nation"), read(spark, sf_dir, "part")
@@ -69,9 +70,13 @@ def sales_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     marker = F.when(F.col("o_orderstatus") == "O", " pm").otherwise(" am")
     sign = F.when(F.col("l_returnflag") == "R", -0.5).otherwise(0.5)
+    tail = F.lit("\t")
+    if files:
+        sign = F.when(F.col("l_tax") == 0, 0.0).otherwise(sign)
+        tail = F.when(F.col("l_suppkey") % 2 == 1, F.lit(f"{NBSP}\t")).otherwise(tail)
     return joined.select(
         F.concat(F.lit("CUST"), text("c_custkey"), F.lit(" "), "n_name", F.lit(" : "), "c_name").alias("customer"),
-        F.concat(F.lit(f"{NBSP} INV"), text("l_orderkey"), F.lit("\t")).alias("bill_num"),
+        F.concat(F.lit(f"{NBSP} INV"), text("l_orderkey"), tail).alias("bill_num"),
         F.concat(F.lit("Sales Order #"), text("l_orderkey")).alias("quote_num"),
         F.concat(day, F.lit(" 3:05"), marker).alias("sys_dt"),
         F.concat(F.when(F.col("p_type") == "PROMO", "Combo ").otherwise("SKU "), "p_brand").alias("sku"),
@@ -86,6 +91,7 @@ def sales_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("cust_cat"),
         F.nullif(-F.col("l_discount"), F.lit(0.0)).alias("discount"),
         *ORDER,
+        *([F.year("l_shipdate").alias("file")] if files else []),
     )
 
 

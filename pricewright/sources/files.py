@@ -18,6 +18,19 @@ FORMATS = ("csv", "parquet", "json", "orc")
 FILE_ORDER = ["_file", "_block", "_row"]
 
 
+# Cells may hold quoted newlines and doubled quotes. Such a file is read by one task;
+# multiLine="false" splits large files whose cells are known to have no newlines. A cell that
+# is no number where one is declared, or a row of another width, fails the read instead of
+# becoming nulls; rows are split whole, so that their width shows whatever is selected.
+CSV = {
+    "header": "true",
+    "escape": '"',
+    "multiLine": "true",
+    "mode": "FAILFAST",
+    "columnPruning": "false",
+}
+
+
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     none = spark.createDataFrame([], schema)
     return none.select("*", F.lit("").alias("_file"), *[F.lit(0).cast("long").alias(c) for c in FILE_ORDER[1:]])
@@ -62,11 +75,11 @@ def read_flat(
     """Rows of a file (or folder) under a declared schema, with their position.
 
     A missing path, a stale file or an unknown format gives no rows. The freshness gate and
-    the glob act on the file listing, before anything is opened.
+    the glob act on the file listing, before anything is opened. CSV settings: see ``CSV``.
     """
     if fmt not in FORMATS:
         return _empty(spark, schema)
-    settings = {"header": "true", **freshness_options(level, now, tz), **options}
+    settings = {**(CSV if fmt == "csv" else {}), **freshness_options(level, now, tz), **options}
     if glob:
         settings["pathGlobFilter"] = glob
     try:
@@ -78,14 +91,15 @@ def read_flat(
     return with_row_number(with_place(df))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a scan with fewer splits than cores among all cores.
+def spread(df: DataFrame, most: int = 128 << 20) -> DataFrame:
+    """Share the rows of a small scan among all cores.
 
-    A single small file would otherwise be cleaned by one task. Scans of many files have
-    more splits than that and pass through as they are.
+    A small file may be one row group, which one task would clean alone. A scan the planner
+    takes for more than ``most`` bytes has splits enough and passes through, so what this
+    moves is bounded whatever the cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= most else df
 
 
 def read_folder(

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from pricewright.plans import jobs
 from pricewright.schemas import COMPETITOR, PRICE_MASTER, QUOTES, SALES
-from pricewright.sources.files import FILE_ORDER, with_place, with_row_number
+from pricewright.sources.files import CSV, FILE_ORDER, with_place, with_row_number
 from pricewright.sources.sinks import append_table, replace_table
 from pricewright.sources.tables import read_table
 
@@ -35,9 +35,7 @@ def land(
     files = (
         spark.readStream.format(fmt)
         .schema(schema)
-        .option("header", "true")
-        .option("maxFilesPerTrigger", "1")
-        .options(**options)
+        .options(**{**(CSV if fmt == "csv" else {}), "maxFilesPerTrigger": "1", **options})
         .load(folder)
     )
     return (

@@ -77,7 +77,25 @@ def test_consolidation(spark):
 
 
 def test_first_file_wins_a_key(spark):
-    rows = [("a", 1.0, 1.0, "f2", 1), ("a", 5.0, 2.0, "f1", 1), ("a", 6.0, 2.0, "f1", 2), ("b", 1.0, 1.0, "f2", 1)]
+    rows = [("a", 1.0, 1.0, "f2", 1), ("a", 5.0, 2.0, "f1", 1), ("a", 6.0, 2.0, "f1", 2), ("b", 1.0, 1.0, "f2", 1),
+            ("c", 2.0, 1.0, "f1", 1), ("c", -2.0, 1.0, "f1", 2), ("c", 5.0, 3.0, "f2", 1)]
     df = spark.createDataFrame(rows, "k string, quantity double, amt double, file string, o int")
     got = sorted(map(tuple, dedup.consolidate_sales(df, ["k"], ["o"], batch="file").collect()))
-    assert got == [("a", 11.0, 4.0), ("b", 1.0, 1.0)]
+    assert got == [("a", 11.0, 4.0), ("b", 1.0, 1.0), ("c", 5.0, 3.0)]
+
+
+def test_files_meet_what_earlier_files_stored(spark):
+    """The same as one upsert after the other."""
+    table = spark.createDataFrame([("s", "x", 1, "t"), ("m", "x", 1, "t"), ("n", None, 1, "t"), ("far", "x", 9, "t")], "k string, stat string, q int, who string")
+    rows = [("s", "x", 5, "f1", "1"), ("s", "x", 6, "f2", "2"), ("m", "y", 5, "f1", "1"), ("m", "y", 6, "f2", "2"), ("m", None, 7, "f3", "3"),
+            ("m", "z", 8, "f4", "4"), ("n", "y", 5, "f1", "1"), ("new", "a", 1, "f2", "2"), ("new", "a", 2, "f3", "3"), ("new", "b", 3, "f4", "4")]
+    files = spark.createDataFrame(rows, "k string, stat string, q int, who string, file string")
+    for guard in ("target", "source"):
+        state = table.withColumn("ts", F.lit("old"))
+        for f in "1234":
+            one = files.where(F.col("file") == f).drop("file")
+            actions = r.upsert_split(one, state, ["k"], "stat", guard, [])
+            state = r.merge_tables(state, actions, ["k"], ["stat", "q"], "ts", F.lit("new"))
+        actions = r.upsert_files(files, table, ["k"], "stat", guard, ["stat", "q"], "file", [])
+        at_once = r.merge_tables(table.withColumn("ts", F.lit("old")), actions, ["k"], ["stat", "q"], "ts", F.lit("new"))
+        assert sorted(map(tuple, at_once.collect())) == sorted(map(tuple, state.collect()))

@@ -25,7 +25,7 @@ def test_rows_keep_their_file_order(spark, tmp_path):
     write(tmp_path / "in" / "b.csv", "k,v\n" + "".join(f"y,{i}\n" for i in range(50)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        df = files.read_folder(spark, str(tmp_path / "in"), SCHEMA, level=None)
+        df = files.read_folder(spark, str(tmp_path / "in"), SCHEMA, level=None, multiLine="false")
         assert df.rdd.getNumPartitions() > 3
         last = {r.k: r.v for r in keep_last(df, ["k"], files.FILE_ORDER).collect()}
     finally:
@@ -33,6 +33,22 @@ def test_rows_keep_their_file_order(spark, tmp_path):
     assert last == {"x": 4999, "y": 49} and df.count() == 5050
 
 
+def test_quoted_newlines_and_doubled_quotes(spark, tmp_path):
+    write(tmp_path / "a.csv", 'k,v\n"x\ny",1\n"say ""hi""",2\n"a,b",3\n,4\n')
+    rows = [(r.k, r.v) for r in files.read_flat(spark, str(tmp_path / "a.csv"), SCHEMA).collect()]
+    assert rows == [("x\ny", 1), ('say "hi"', 2), ("a,b", 3), (None, 4)]
+
+
+@pytest.mark.parametrize("line", ["x,one", "x", "x,1,2"])
+def test_malformed_rows_fail_the_read(spark, tmp_path, line):
+    write(tmp_path / "a.csv", f"k,v\ny,1\n{line}\n")
+    df = files.read_flat(spark, str(tmp_path / "a.csv"), SCHEMA)
+    for part in (df, df.select("k")) if "one" not in line else (df,):
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+            part.collect()
+    assert len(files.read_flat(spark, str(tmp_path / "a.csv"), SCHEMA, mode="DROPMALFORMED").collect()) == 1
+
+
 def test_nothing_to_read_gives_no_rows(spark, tmp_path):
     write(tmp_path / "a.csv", "k,v\nx,1\n")
     for path, fmt in [(tmp_path / "none", "csv"), (tmp_path / "a.csv", "xlsx")]:
