@@ -91,22 +91,41 @@ def date_text(c: Column) -> Column:
     return F.when(F.instr(text, ":") > 0, F.regexp_replace(text, r"[T ]+\d{1,2}:.*$", "")).otherwise(text)
 
 
+# Month names as they may be written.
+MONTHS = (
+    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+    "sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+)
+
+
 def date_from_text(c: Column) -> Column:
     """Date from text in mixed layouts, null when none fits.
 
     The layout is picked by shape first, so a value is parsed once at most and the common
-    layouts are met early.
+    layouts are met early. Numbers may stand between dashes, slashes or dots; the month comes
+    first unless the first number is above 12. Month names may come before or after the day,
+    with or without a comma.
     """
+    flat = F.regexp_replace(c, "[/.]", "-")
+    day_first = F.regexp_extract(c, r"^(\d{1,2})", 1).cast("int") > 12
+    parts = F.regexp_replace(F.trim(F.regexp_replace(c, r"[\s,./-]+", " ")), r"(\d)(?:st|nd|rd|th)\b", "$1")
+    day_month = rf"(?i)^(\d{{1,2}}) ({MONTHS}) (\d{{4}})$"
+    month_day = rf"(?i)^({MONTHS}) (\d{{1,2}}) (\d{{4}})$"
+
+    def named(pattern: str, day: int, month: int) -> Column:
+        pick = lambda i: F.regexp_extract(parts, pattern, i)
+        short = F.initcap(F.left(pick(month), F.lit(3)))
+        return F.try_to_date(F.concat_ws(" ", pick(day), short, pick(3)), "d MMM yyyy")
+
     return (
-        F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(c, "yyyy-M-d"))
-        .when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(c, "M/d/yyyy"))
-        .when(c.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), F.try_to_date(c, "M-d-yyyy"))
-        .when(c.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), F.try_to_date(c, "yyyy/M/d"))
-        .when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), F.try_to_date(c, "M/d/yy"))
+        F.when(flat.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(flat, "yyyy-M-d"))
+        .when(flat.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$") & ~day_first, F.try_to_date(flat, "M-d-yyyy"))
+        .when(flat.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), F.try_to_date(flat, "d-M-yyyy"))
+        .when(flat.rlike(r"^\d{1,2}-\d{1,2}-\d{2}$") & ~day_first, F.try_to_date(flat, "M-d-yy"))
+        .when(flat.rlike(r"^\d{1,2}-\d{1,2}-\d{2}$"), F.try_to_date(flat, "d-M-yy"))
         .when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "yyyyMMdd"))
-        .when(c.rlike(r"^[A-Za-z]{3} \d{1,2}, \d{4}$"), F.try_to_date(F.initcap(c), "MMM d, yyyy"))
-        .when(c.rlike(r"^[A-Za-z]{4,} \d{1,2}, \d{4}$"), F.try_to_date(F.initcap(c), "MMMM d, yyyy"))
-        .when(c.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4}$"), F.try_to_date(F.initcap(c), "d MMM yyyy"))
+        .when(parts.rlike(month_day), named(month_day, 2, 1))
+        .when(parts.rlike(day_month), named(day_month, 1, 2))
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricewright.operators.ranked import reliable
+
 CUSTOMER, CATEGORY = "customer", "cust_cat"
 
 
@@ -63,30 +65,33 @@ def metric_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (CUSTOMER, CATEGORY)]
 
 
-def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
+def standardize(df: DataFrame, columns: list[str], stored: bool = False) -> DataFrame:
     """Center and scale by the population deviation; a constant column becomes 0.
 
-    Mean and deviation come from one scalar subquery, so the frame stays lazy.
+    The moments are one row, read first and entered as literals. The frame is therefore
+    read twice: pass ``stored`` when it is a table.
     """
+    df = df if stored else reliable(df)
     moments = []
     for c in columns:
         moments += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
-    stats = df.agg(F.struct(*moments).alias("stats")).scalar()
+    stats = df.agg(*moments).first()
     scaled = {}
     for c in columns:
-        spread = stats[f"s_{c}"]
-        scaled[c] = (F.col(c) - stats[f"m_{c}"]) / F.when(spread == 0, 1.0).otherwise(spread)
+        mean, spread = stats[f"m_{c}"], stats[f"s_{c}"]
+        scaled[c] = (F.col(c) - F.lit(mean)) / F.lit(spread or 1.0)
     return df.select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])
 
 
-def prepare_features(df: DataFrame) -> DataFrame:
+def prepare_features(df: DataFrame, stored: bool = False) -> DataFrame:
     """Add ``features``: standardized metrics and one slot per customer category.
 
     The indexer's extra slot for unseen categories is the one the encoder drops, so every
     known level is kept and an unknown one is all zeros.
     """
+    df = df if stored else reliable(df)
     metrics = metric_columns(df)
-    scaled = standardize(df, metrics)
+    scaled = standardize(df, metrics, stored=True)
     indexer = StringIndexer(inputCol=CATEGORY, outputCol="_level", handleInvalid="keep").fit(df)
     encoder = OneHotEncoder(inputCol="_level", outputCol="_onehot", dropLast=True).fit(indexer.transform(df))
     assembler = VectorAssembler(inputCols=[*metrics, "_onehot"], outputCol="features")

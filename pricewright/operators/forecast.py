@@ -12,7 +12,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.operators.ranked import group_medians, reliable, running_total
+from pricewright.operators.ranked import MAX_GROUP_VALUES, group_medians, reliable, running_total
 
 SKU, LABEL, FOLD = "sku_pk", "quantity", "fold"
 
@@ -60,43 +60,17 @@ def sku_frequency(df: DataFrame, key: str = SKU) -> DataFrame:
     )
 
 
-def stratified_folds(
-    df: DataFrame, label: str, ids: list[str], n: int = FOLDS, seed: int = FOLD_SEED, hot_rows: int = 1_000_000
-) -> DataFrame:
+def stratified_folds(df: DataFrame, label: str, ids: list[str], n: int = FOLDS, seed: int = FOLD_SEED) -> DataFrame:
     """Add ``fold``: rows of each label in hash order, dealt round robin, so folds differ by one row at most.
 
-    ``ids`` identify a row. A label with more than ``hot_rows`` rows (at most rows / hot_rows
-    of them, which bounds both broadcasts) is dealt in several hash ranges; each range starts
-    where the one before stopped, so the deal is the same as in one piece.
+    ``ids`` identify a row; their text and the seed are hashed. Places in a label come from
+    slices of the (label, hash) order whose sizes add up, so the deal is the same however the
+    rows are cut, and no label meets in one task.
     """
-    shuffled = df.withColumn("_h", F.xxhash64(*ids, F.lit(seed)))
-    parts = (
-        df.groupBy(label)
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).cast("long").alias("_parts"))
-        .where(F.col("_parts") > 1)
-        .select(F.col(label).alias("_l"), "_parts")
-    )
-    same = F.col(label).eqNullSafe(F.col("_l"))
-    dealt = (
-        shuffled.join(F.broadcast(parts), same, "left")
-        .withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod("_h", F.col("_parts"))))
-        .drop("_l", "_parts")
-    )
-    earlier = Window.partitionBy("_l").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        shuffled.join(F.broadcast(parts), same, "inner")
-        .groupBy("_l", F.pmod("_h", F.col("_parts")).alias("_p"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .drop("_n")
-    )
-    place = F.row_number().over(Window.partitionBy(label, "_part").orderBy("_h", *ids))
-    return (
-        dealt.withColumn("_place", place)
-        .join(F.broadcast(starts), same & (F.col("_part") == F.col("_p")), "left")
-        .withColumn(FOLD, F.pmod(F.col("_place") - 1 + F.coalesce("_start", F.lit(0)), F.lit(n)).cast("int"))
-        .select(*df.columns, FOLD)
-    )
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids], F.lit(str(seed)))
+    shuffled = df.withColumn("_h", F.md5(text)).withColumn("_one", F.lit(1))
+    placed = running_total(shuffled, [label], ["_h", *ids], "_one", "_place")
+    return placed.select(*df.columns, F.pmod(F.col("_place") - 1, F.lit(n)).cast("int").alias(FOLD))
 
 
 def smape_expr(actual: str, predicted: str) -> Column:
@@ -233,40 +207,59 @@ def boost_tune(df: DataFrame, grid: dict = BOOST_GRID, **options) -> tuple[Pipel
     return grid_search(*boost_grid(grid), df, **options)
 
 
-def sku_scenario(df: DataFrame, new_prices: DataFrame, max_values: int | None = None) -> DataFrame:
-    """One row per SKU: modes, means and medians of its history, priced at the planned price.
+def sku_scenario(df: DataFrame, new_prices: DataFrame, max_rows: int = MAX_GROUP_VALUES, stored: bool = False) -> DataFrame:
+    """One row per SKU: modes (smallest on ties), means and medians of its history, at the planned price.
 
-    Modes (smallest on ties) and medians both start from value counts per (SKU, column), an
-    aggregate keyed by value as well, so a SKU with a third of all rows spreads over tasks.
+    One wide aggregate; its buffers hold a SKU's different values. SKUs with more than
+    ``max_rows`` rows start from value counts instead, an aggregate keyed by value as well, so
+    that a SKU with a third of all rows spreads over tasks. The input is read several times:
+    pass ``stored`` when it is a table.
     """
     known = df.where(F.col(SKU).isNotNull())
-    means = known.groupBy(SKU).agg(*[F.avg(c).alias(c) for c in MEAN_COLUMNS if c != "price"])
+    known = known if stored else reliable(known)
+    mean = [F.avg(f"`{c}`").alias(c) for c in MEAN_COLUMNS if c != "price"]
+    mode = [F.mode(F.col(c).cast("string"), deterministic=True).alias(c) for c in CATEGORICAL]
+    median = [F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in MEDIAN_COLUMNS]
+    columns = [*CATEGORICAL, *MEDIAN_COLUMNS, *[c for c in MEAN_COLUMNS if c != "price"]]
+    large = known.groupBy(SKU).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(SKU)
+    large = reliable(large)
+    if large.isEmpty():
+        rows = known.groupBy(SKU).agg(*mode, *median, *mean)
+    else:
+        rows = known.join(large, SKU, "left_anti").groupBy(SKU).agg(*mode, *median, *mean)
+        rows = rows.unionByName(_scenario_by_value(known.join(large, SKU, "left_semi"), mean, max_rows))
+    planned = new_prices.select(F.col(SKU), F.col("`new price`").cast("double").alias("price"))
+    rows = rows.select(SKU, *[f"`{c}`" for c in columns])
+    return rows.join(planned, SKU, "left").select(
+        SKU, *CATEGORICAL[:3], "price", *[f"`{c}`" for c in columns[3:]]
+    )
+
 
+def _scenario_by_value(known: DataFrame, mean: list[Column], max_values: int) -> DataFrame:
     def counts(columns: list[str], kind: str) -> DataFrame:
         cells = known.select(SKU, *[F.col(f"`{c}`").cast(kind).alias(c) for c in columns])
         long = cells.unpivot([SKU], columns, "_column", "_value").where(F.col("_value").isNotNull())
         return long.groupBy(SKU, "_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
 
     def wide(long: DataFrame, value: Column, columns: list[str]) -> DataFrame:
-        return long.groupBy(SKU).agg(
-            *[F.max(F.when(F.col("_column") == c, value)).alias(c) for c in columns]
-        )
+        return long.groupBy(SKU).agg(*[F.max(F.when(F.col("_column") == c, value)).alias(c) for c in columns])
 
     modes = counts(CATEGORICAL, "string").groupBy(SKU, "_column").agg(
         F.min_by("_value", F.struct(-F.col("_n"), F.col("_value"))).alias("_mode")
     )
-    options = {"max_values": max_values} if max_values else {}
-    medians = group_medians(counts(MEDIAN_COLUMNS, "double"), [SKU, "_column"], "_value", "_n", **options)
-    planned = new_prices.select(F.col(SKU), F.col("`new price`").cast("double").alias("price"))
+    medians = group_medians(counts(MEDIAN_COLUMNS, "double"), [SKU, "_column"], "_value", "_n", max_values)
     return (
-        means.join(wide(modes, F.col("_mode"), CATEGORICAL), SKU, "left")
+        known.groupBy(SKU).agg(*mean)
+        .join(wide(modes, F.col("_mode"), CATEGORICAL), SKU, "left")
         .join(wide(medians, F.col("median"), MEDIAN_COLUMNS), SKU, "left")
-        .join(planned, SKU, "left")
-        .select(SKU, *CATEGORICAL[:3], "price", *CATEGORICAL[3:], *MEDIAN_COLUMNS,
-                *[f"`{c}`" for c in MEAN_COLUMNS if c != "price"])
     )
 
 
 def forecast(model: PipelineModel, scenario: DataFrame) -> DataFrame:
-    """Scenario rows with the predicted quantity."""
-    return model.transform(scenario).select(*scenario.columns, F.col("prediction").alias("forecast_quantity"))
+    """Scenario rows with the predicted quantity; null for a SKU without a planned price.
+
+    The price is a predictor, and filling a missing one with the mean price of all SKUs would
+    give a forecast that looks real.
+    """
+    predicted = F.when(F.col("price").isNotNull(), F.col("prediction"))
+    return model.transform(scenario).select(*[F.col(f"`{c}`") for c in scenario.columns], predicted.alias("forecast_quantity"))

@@ -81,7 +81,7 @@ def group_medians(
     wide = known.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_values).drop("_n")
     if wide.isEmpty():
         return plain(known)
-    wide = F.broadcast(reliable(wide))
+    wide = reliable(wide)
     usual = known.join(wide, group, "left_anti")
     ranked = running_total(known.join(wide, group, "left_semi"), group, [value], freq, "_upto")
     totals = ranked.groupBy(*group).agg(F.max("_upto").alias("_total"))

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from pricewright.functions import cleaning as c
+from pricewright.functions.text import exact_tenth_text, float_text
 from pricewright.operators import dedup, hygiene
 from pricewright.plans.registry import query
 from pricewright.plans.sample import NBSP, file_order, read, text
@@ -84,37 +85,72 @@ def clean_labels(spark, sf_dir):
     return c.apply_rules(raw, [("sku", c.combo_sku), *c.COLUMN_RULES])
 
 
-@query("category_rollup", """
-SELECT p_partkey, CASE p_type WHEN 'STANDARD' THEN 'Electrical Device' WHEN 'PROMO' THEN 'Smart Home'
-  WHEN 'MEDIUM' THEN 'Switch' WHEN 'ECONOMY' THEN 'Sensors' WHEN 'SMALL' THEN 'Energy Mangement' ELSE 'Other' END
-  AS sku_cat
-FROM part""")
-def category_rollup(spark, sf_dir):
-    from pricewright.plans.sample import RAW_CATEGORY, _case
+# Every raw category, one without a group and a blank one, dealt over the parts.
+RAW_CATEGORIES = [name for names in c.CATEGORY_GROUPS.values() for name in names] + ["Unlisted", None]
+
+
+def _rollup_sql():
+    cases = []
+    for i, name in enumerate(RAW_CATEGORIES):
+        group = next((g for g, names in c.CATEGORY_GROUPS.items() if name in names), "Other")
+        cases.append(f"WHEN {i} THEN '{group}'")
+    return " ".join(cases)
 
-    raw = _case(F.col("p_type"), {k: v for k, v in RAW_CATEGORY.items() if k != "LARGE"})
+
+@query("category_rollup", f"""
+SELECT p_partkey, CASE p_partkey % {len(RAW_CATEGORIES)} {_rollup_sql()} END AS sku_cat FROM part""")
+def category_rollup(spark, sf_dir):
+    raw = F.element_at(F.array(*[F.lit(x) for x in RAW_CATEGORIES]), (F.col("p_partkey") % len(RAW_CATEGORIES)).cast("int") + 1)
     return read(spark, sf_dir, "part").select("p_partkey", c.category_rollup(raw).alias("sku_cat"))
 
 
-@query("parse_dates", """
-SELECT o_orderkey, CASE WHEN o_orderpriority <> '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%d') END AS quote_dt
+# Layouts by order, as pattern of the date. None: no date. The last two have the day first.
+LAYOUTS = [
+    "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "MMM d, yyyy", "yyyyMMdd", "d-MMM-yyyy", "MMM d yyyy", "d MMMM yyyy",
+    "MMMM d, yyyy", "yyyy.MM.dd", "yyyy/M/d", "MM-dd-yyyy", None, "dd/MM/yyyy", "d.M.yyyy",
+]
+
+
+@query("parse_dates", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % {len(LAYOUTS)} = 11 THEN NULL
+  WHEN o_orderkey % {len(LAYOUTS)} >= 12 AND day(o_orderdate) <= 12
+    THEN strftime(make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)), '%Y-%m-%d')
+  ELSE strftime(o_orderdate, '%Y-%m-%d') END AS quote_dt
 FROM orders""")
 def parse_dates(spark, sf_dir):
-    d = F.col("o_orderdate")
-    layouts = {
-        "1-URGENT": F.date_format(d, "yyyy-MM-dd HH:mm:ss"),
-        "2-HIGH": F.lit("to be confirmed"),
-        "3-MEDIUM": F.date_format(d, "M/d/yyyy"),
-        "5-LOW": F.date_format(d, "MMM d, yyyy"),
-    }
-    raw = F.date_format(d, "yyyyMMdd")
-    for priority, value in layouts.items():
-        raw = F.when(F.col("o_orderpriority") == priority, value).otherwise(raw)
+    d, place = F.col("o_orderdate"), F.col("o_orderkey") % len(LAYOUTS)
+    raw = F.lit("to be confirmed")
+    for i, layout in enumerate(LAYOUTS):
+        if layout:
+            raw = F.when(place == i, F.date_format(d, layout)).otherwise(raw)
     return read(spark, sf_dir, "orders").select(
         "o_orderkey", c.to_date_lenient(raw).cast("string").alias("quote_dt")
     )
 
 
+@query("percent_text", """
+SELECT l_orderkey, l_linenumber, l_partkey, printf('%.1f', (l_orderkey % 2000) / 40.0 * 1::DOUBLE) || '%' AS share,
+  printf('%.1f', l_discount * l_tax * 1000) || '%' AS product FROM lineitem""")
+def percent_text(spark, sf_dir):
+    """Every fortieth up to 50: ties that are exact, and ties in text only."""
+    show = lambda x: F.concat(exact_tenth_text(x), F.lit("%"))
+    product = F.col("l_discount") * F.col("l_tax") * 1000
+    return read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        show((F.col("l_orderkey") % 2000) / F.lit(40.0)).alias("share"), show(product).alias("product"),
+    )
+
+
+@query("number_text", """
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_discount / 1000 AS VARCHAR) AS small,
+  CAST(l_extendedprice AS VARCHAR) AS plain, CAST(-l_tax AS VARCHAR) AS negative FROM lineitem""")
+def number_text(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", float_text(F.col("l_discount") / 1000).alias("small"),
+        float_text(F.col("l_extendedprice")).alias("plain"), float_text(-F.col("l_tax")).alias("negative"),
+    )
+
+
 @query("parse_erp_ts", """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || ' 03:05:00' AS as_stored,
   strftime(o_orderdate, '%Y-%m-%d') || CASE WHEN o_orderstatus = 'O' THEN ' 15:05:00' ELSE ' 03:05:00' END AS as_clock

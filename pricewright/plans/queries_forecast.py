@@ -63,31 +63,39 @@ def sku_codes(spark, sf_dir):
     return forecast.sku_codes(read(spark, sf_dir, "lineitem").select(sku))
 
 
-IDS = ["l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_extendedprice"]
+IDS = ["l_orderkey", "l_linenumber", "day", "l_suppkey", "cents"]
+IDS_SQL = """l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS day, l_suppkey,
+    CAST(round(l_extendedprice * 100) AS BIGINT) AS cents"""
 
 
-def _fold_summary(df, label):
-    sizes = df.groupBy(label, "fold").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.groupBy(label).agg(
-        F.sum("n").alias("n"), F.min("n").alias("smallest"), F.max("n").alias("largest"), F.max("fold").alias("last_fold")
+def with_ids(df):
+    """Columns whose text is the same here and in SQL, and which identify a line."""
+    return df.withColumns(
+        {"day": F.date_format("l_shipdate", "yyyy-MM-dd"), "cents": F.round(F.col("l_extendedprice") * 100).cast("long")}
     )
 
 
-@query("stratified_folds", """
-SELECT p_type AS sku_cat, count(*) AS n, count(*) // 5 AS smallest, (count(*) + 4) // 5 AS largest, 4 AS last_fold
-FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
+def _folds_sql(label, source, ids):
+    text = " || '|' || ".join([f"CAST({c} AS VARCHAR)" for c in ids] + ["'42'"])
+    return f"""
+WITH rows AS (SELECT {label}, {IDS_SQL} FROM {source})
+SELECT *, CAST((row_number() OVER (PARTITION BY {label.split()[-1]} ORDER BY md5({text})) - 1) % 5 AS INTEGER) AS fold
+FROM rows"""
+
+
+@query("stratified_folds", _folds_sql(
+    "l_partkey, p_type AS sku_cat", "lineitem JOIN part ON l_partkey = p_partkey", ["l_partkey", *IDS]))
 def stratified_folds(spark, sf_dir):
-    data = model_input(spark, sf_dir)
-    return _fold_summary(forecast.stratified_folds(data, "sku_cat", ["sku_pk", *IDS], hot_rows=1000), "sku_cat")
+    """Every row with its fold, by category: a few labels with very many rows."""
+    data = with_ids(model_input(spark, sf_dir)).withColumn("l_partkey", F.col("sku_pk").cast("long"))
+    ids = ["l_partkey", *IDS]
+    return forecast.stratified_folds(data.select("sku_cat", *ids), "sku_cat", ids)
 
 
-@query("stratified_folds_sku", """
-SELECT CAST(l_partkey AS VARCHAR) AS sku_pk, count(*) AS n, count(*) // 5 AS smallest, (count(*) + 4) // 5 AS largest,
-  least(4, count(*) - 1)::INTEGER AS last_fold
-FROM lineitem GROUP BY l_partkey HAVING count(*) >= 5""")
+@query("stratified_folds_sku", _folds_sql("l_partkey", "lineitem", IDS))
 def stratified_folds_sku(spark, sf_dir):
-    data = read(spark, sf_dir, "lineitem").withColumn("sku_pk", text("l_partkey"))
-    return _fold_summary(forecast.stratified_folds(data, "sku_pk", IDS), "sku_pk").where(F.col("n") >= 5)
+    data = with_ids(read(spark, sf_dir, "lineitem")).select("l_partkey", *IDS)
+    return forecast.stratified_folds(data, "l_partkey", IDS)
 
 
 def planned_prices(spark, sf_dir):

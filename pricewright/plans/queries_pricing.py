@@ -81,7 +81,7 @@ actions AS (
 ALERT_SELECT_SQL = """
 SELECT price_model AS "Price Model", en_sku AS "EN Model No", comp_sku AS "Competitor Model No", mnf AS "Manufacturer",
   unit_price AS "EN Price", mnf_stk_price AS "Competitor Price",
-  CAST(CAST(round_even(ratio * 100, 1) AS DECIMAL(30, 1)) AS VARCHAR) || '%' AS "Price Variance Ratio",
+  printf('%.1f', ratio * 100) || '%' AS "Price Variance Ratio",
   distr_typ AS "Channel", strftime(release_dt, '%Y-%m-%d') AS "Competitor Release Date", state_cd AS "State",
   rep_name AS "Rep Name"
 FROM (SELECT *, abs(unit_price - mnf_stk_price) / nullif(unit_price, 0) AS ratio

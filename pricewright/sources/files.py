@@ -98,7 +98,7 @@ def spread(df: DataFrame, most: int = 128 << 20) -> DataFrame:
     takes for more than ``most`` bytes has splits enough and passes through, so what this
     moves is bounded whatever the cluster.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= most else df
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricewright.functions import cleaning as c
-from pricewright.functions.text import fixed_text, float_text
+from pricewright.functions.text import exact_tenth_text, fixed_text, float_text
 from pricewright.operators.hygiene import period_bounds, rename_positional, sheet_date, snapshot_sheet
 
 
@@ -60,10 +60,26 @@ def test_erp_time_rejects_bad_text(spark):
 
 def test_report_text(spark):
     assert apply(spark, lambda x: fixed_text(x, 1), [12.25, 12.0, 1e9], "double") == ["12.2", "12.0", "1000000000.0"]
-    values = [12345678.9, 0.0005, 1.0, 0.1 + 0.2, -3.5, 0.0]
+    values = [12345678.9, 0.0005, 1.0, 0.1 + 0.2, -3.5, 0.0, 5e-05, 1.25e-07, -2e-10, 1e16, 1.5e22, 1e-100]
     assert apply(spark, float_text, values, "double") == [repr(v) for v in values]
 
 
+def test_percent_rounds_the_binary_value(spark):
+    values = [12.35, 10.05, 0.25, 0.75, 0.05, 0.15, 99.95, 12.0, 1234.449999, 1e9 + 0.35, 0.0, 33.65, 7.85]
+    values += [k / 40 for k in range(0, 4000, 7)]
+    assert apply(spark, exact_tenth_text, values, "double") == [str(round(v, 1)) for v in values]
+
+
+@pytest.mark.parametrize("text, want", [
+    ("1-Feb-2025", date(2025, 2, 1)), ("Feb 1 2025", date(2025, 2, 1)), ("1 February 2025", date(2025, 2, 1)),
+    ("25/12/2025", date(2025, 12, 25)), ("2025.02.01", date(2025, 2, 1)), ("Sept 3, 2024", date(2024, 9, 3)),
+    ("12/25/2025", date(2025, 12, 25)), ("25.12.25", date(2025, 12, 25)), ("2/1/2025", date(2025, 2, 1)),
+    ("soon", None), ("Febber 1 2025", None), ("32/12/2025", None), (None, None), ("2025-02-01T10:00:00", date(2025, 2, 1)),
+])
+def test_dates_in_many_layouts(spark, text, want):
+    assert apply(spark, c.to_date_lenient, [text]) == [want]
+
+
 def test_rules_chain_and_keys_are_required(spark):
     df = spark.createDataFrame(
         [(" A: b ", "Utah", 2.5), (None, "x", 1.0)], "comp_sku string, state_cd string, quantity double"
