@@ -10,9 +10,6 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 OPEN_END = 99999999
 
 # Columns of the wide list that are not prices.
@@ -113,22 +110,3 @@ def parse_pallet_column(name: str) -> PalletColumn | None:
         return PalletColumn(name, region, float(between[1]), float(between[2]))
     floor = re.match(LOOSE_FLOOR, name)
     return PalletColumn(name, region, float(floor[1]) if floor else 0.0, float(OPEN_END))
-
-
-def price_model(name: Column) -> Column:
-    found = F.regexp_extract(F.trim(name), MODEL_PATTERN, 1)
-    return F.when(found != "", F.trim(found)).otherwise(F.trim(name))
-
-
-def bucket_lower(name: Column) -> Column:
-    between = F.regexp_extract(F.trim(name), RANGE_PATTERN, 1)
-    floor = F.regexp_extract(F.trim(name), FLOOR_PATTERN, 1)
-    return F.coalesce(F.try_to_number(F.nullif(between, F.lit("")), F.lit("99999999")),
-                      F.try_to_number(F.nullif(floor, F.lit("")), F.lit("99999999")),
-                      F.lit(0)).cast("int")
-
-
-def bucket_upper(name: Column) -> Column:
-    between = F.regexp_extract(F.trim(name), RANGE_PATTERN, 2)
-    return F.coalesce(F.try_to_number(F.nullif(between, F.lit("")), F.lit("99999999")),
-                      F.lit(OPEN_END)).cast("int")

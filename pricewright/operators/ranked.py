@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,26 +19,51 @@ from pyspark.sql import functions as F
 MAX_GROUP_VALUES = 1_000_000
 
 
+_WRITTEN: list[str] = []
+_LOCAL: list[str] = []
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Write the rows once under the shared folder the session names and go on from there.
 
     Parquet rather than an RDD checkpoint: it survives lost executors as well, and the
-    planner sees its size and can prune its columns.
+    planner sees its size and can prune its columns. ``scratch`` deletes what a job wrote.
     """
     spark = df.sparkSession
     path = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, every intermediate that was written inside; results must be stored by then."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        for path in _WRITTEN[before:]:
+            delete(spark, path)
+        del _WRITTEN[before:]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a local master without it gets one of this process."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared.rstrip("/")
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="run-"))
+    return _LOCAL[0]
 
 
 def running_total(df: DataFrame, group: list[str], order: list[str], weight: str, name: str) -> DataFrame:

@@ -9,13 +9,19 @@ from pyspark.sql.types import StructType
 
 @dataclass(frozen=True)
 class Table:
-    """A stored table; its last column is the load timestamp, which input files lack."""
+    """A stored table; its last column is the load timestamp, which input files lack.
+
+    ``dated``: a date or time column that no update sets, by whose month the stored files are
+    parted. ``parted``: a key column by whose values they are.
+    """
 
     ddl: str
     keys: tuple[str, ...] = ()
     tracked: str | None = None
     guard: str | None = None
     set_columns: tuple[str, ...] = ()
+    dated: str | None = None
+    parted: str | None = None
 
     @property
     def schema(self) -> StructType:
@@ -51,6 +57,7 @@ SALES = Table(
     state_cd string, proj_type string, onboard_dt timestamp_ntz, cust_cat string,
     discount double, data_dt timestamp""",
     keys=("bill_num", "sys_dt", "sku"),
+    dated="sys_dt",
 )
 QUOTES = Table(
     """model_no string, quantity bigint, distr_typ string, quote_num string, quote_dt date,
@@ -60,6 +67,7 @@ QUOTES = Table(
     tracked="row_stat",
     guard="target",
     set_columns=("quantity", "distr_typ", "trans_stat", "row_stat"),
+    dated="quote_dt",
 )
 COMPETITOR = Table(
     """release_dt date, state_cd string, mnf_stk_price double, en_sku string, comp_sku string,
@@ -69,6 +77,7 @@ COMPETITOR = Table(
     tracked="mnf_stk_price",
     guard="source",
     set_columns=("mnf_stk_price", "mnf", "quantity", "mnf_desc", "rep_name"),
+    dated="release_dt",
 )
 PRICE_MASTER = Table(
     """src_updt_dt date, model_no string, descript string, cat string, prod_cd string,
@@ -79,6 +88,7 @@ PRICE_MASTER = Table(
     tracked="src_updt_dt",
     guard="target",
     set_columns=("src_updt_dt", "descript", "prod_cd", "unit_cost", "unit_price"),
+    parted="price_model",
 )
 PROMO_HISTORY = Table(
     """month_st date, month_ed date, sku string, promo_reason string, category string,

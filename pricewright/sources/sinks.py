@@ -1,42 +1,103 @@
-"""Writers: append, replace by version, report extract."""
+"""Writers: append, merge by partition, replace by version, report extract."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricewright.operators.hygiene import rename_positional, with_load_ts
+from pricewright.operators.ranked import delete, reliable
+from pricewright.operators.reconcile import INSERT, UNCHANGED
 from pricewright.schemas import Table
 
+PART = "_part"  # the column by which stored files are parted
+
+
+def part_of(table: Table) -> Column:
+    """Partition of a row: the month of its date or its key column's value, as text."""
+    value = F.date_format(table.dated, "yyyy-MM") if table.dated else F.col(table.parted)
+    return F.coalesce(value, F.lit("none")).alias(PART)
+
 
 def append_table(df: DataFrame, name: str, table: Table, load_ts: Column | None = None) -> None:
-    """Append rows under the table's column names, stamped with the load time."""
+    """Append rows under the table's column names, stamped with the load time, into their partitions."""
     stamped = with_load_ts(rename_positional(df, table.input_columns), table.load_column, load_ts)
     typed = stamped.select(*[stamped[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in table.schema.fields])
-    typed.write.mode("append").saveAsTable(name)
+    if table.dated or table.parted:
+        typed.select("*", part_of(table)).write.mode("append").partitionBy(PART).saveAsTable(name)
+    else:
+        typed.write.mode("append").saveAsTable(name)
 
 
-def replace_table(df: DataFrame, name: str, root: str) -> str:
+def merge_partitions(state: DataFrame, actions: DataFrame, name: str, table: Table) -> list[str]:
+    """Rewrite the partitions in which ``actions`` change a row; returns their names.
+
+    ``state`` is the table's new state, ``actions`` the batch with its actions, stored already.
+    Only the touched partitions of the state are computed: their filter reaches the scan of the
+    table the state comes from. They are written beside the table first, so that a failure
+    leaves the old files in place, and the old files go with the switch.
+    """
+    spark = state.sparkSession
+    parted = state.select("*", part_of(table))
+    if not spark.catalog.tableExists(name):
+        parted.write.partitionBy(PART).saveAsTable(name)
+        return []
+    keys = list(table.keys)
+    own = actions.where(F.col("action") == INSERT).select(part_of(table))
+    moved = actions.where(~F.col("action").isin(INSERT, UNCHANGED)).select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = None
+    for k in keys:
+        here = F.col(k) == F.col(f"_k_{k}")
+        same = here if same is None else same & here
+    stored = spark.table(name).join(moved, same, "left_semi").select(PART)
+    touched = sorted(r[PART] for r in own.unionAll(stored).distinct().collect())  # names of partitions
+    if touched:
+        rows = reliable(parted.where(F.col(PART).isin(touched)))
+        about = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART)
+        writer.parquet(about["data_type"])
+        spark.catalog.recoverPartitions(name)
+        spark.catalog.refreshTable(name)
+    return touched
+
+
+def replace_table(df: DataFrame, name: str, root: str, keep: int = 1) -> str:
     """Write a new version beside the old one, then point the table at it.
 
     The new state may be computed from the table itself, which Spark does not let a job
-    overwrite while reading; readers keep the old version until the switch.
+    overwrite while reading; readers keep the old version until the switch. Of the versions
+    before the new one, the last ``keep`` stay, for readers that began before the switch.
     """
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    home = f"{root.rstrip('/')}/{name}"
+    path = f"{home}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    same = False
     if spark.catalog.tableExists(name):
         current = spark.table(name).schema
-        if [(f.name, f.dataType) for f in current] == [(f.name, f.dataType) for f in df.schema]:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(name)
-            return path
-        spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+        same = [(f.name, f.dataType) for f in current] == [(f.name, f.dataType) for f in df.schema]
+        if not same:
+            spark.sql(f"DROP TABLE {name}")
+    if same:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=path, source="parquet")
+    for old in _versions(spark, home)[keep + 1 :]:
+        delete(spark, old)
     return path
 
 
+def _versions(spark: SparkSession, home: str) -> list[str]:
+    """Folders of a table's versions, the newest first."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(home)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    dated = [(f.getModificationTime(), f.getPath().toString()) for f in found if f.isDirectory()]
+    return [path for _, path in sorted(dated, reverse=True)]
+
+
 def report_extract(reports: dict[str, DataFrame], root: str) -> list[str]:
     """One CSV directory per non-empty report; returns the names written."""
     written = []

@@ -12,13 +12,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from pricewright.operators.ranked import reliable, scratch
+from pricewright.operators.reconcile import new_rows_only
 from pricewright.plans import jobs
 from pricewright.schemas import COMPETITOR, PRICE_MASTER, QUOTES, SALES
 from pricewright.sources.files import CSV, FILE_ORDER, with_place, with_row_number
-from pricewright.sources.sinks import append_table, replace_table
+from pricewright.sources.sinks import append_table, merge_partitions, part_of
 from pricewright.sources.tables import read_table
 
 
@@ -48,27 +51,35 @@ def land(
 
 
 def land_sales(spark: SparkSession, folder: str, checkpoint: str, name: str, **options) -> StreamingQuery:
-    """Append the sales lines the history lacks."""
+    """Append the sales lines the history lacks; of the history only the months of the file are read."""
 
     def on_file(batch: DataFrame) -> None:
-        stored = read_table(batch.sparkSession, name, table=SALES)
-        append_table(jobs.sales_history_job(batch, stored, FILE_ORDER), name, SALES)
+        with scratch(batch.sparkSession):
+            rows = reliable(jobs.sales_rows(batch, FILE_ORDER))
+            part = part_of(SALES)
+            first, last = rows.agg(F.min(part), F.max(part)).first()
+            if first is None:
+                return
+            stored = read_table(batch.sparkSession, name, table=SALES, parts=(first, last))
+            append_table(new_rows_only(rows, stored, list(SALES.keys), nullable=[]), name, SALES)
         spark.catalog.refreshTable(name)
 
     return land(spark, folder, SALES.input_schema, checkpoint, on_file, **options)
 
 
-def _land_merge(spark, folder, checkpoint, name, root, table, schema, run, options) -> StreamingQuery:
+def _land_merge(spark, folder, checkpoint, name, table, schema, run, options) -> StreamingQuery:
     def on_file(batch: DataFrame) -> None:
-        replace_table(run(batch, read_table(batch.sparkSession, name, table=table)).table, name, root)
+        with scratch(batch.sparkSession):
+            merged = run(batch, read_table(batch.sparkSession, name, table=table))
+            merge_partitions(merged.table, merged.actions, name, table)
         spark.catalog.refreshTable(name)
 
     return land(spark, folder, schema, checkpoint, on_file, **options)
 
 
-def land_quotes(spark: SparkSession, folder: str, checkpoint: str, name: str, root: str, **options) -> StreamingQuery:
+def land_quotes(spark: SparkSession, folder: str, checkpoint: str, name: str, **options) -> StreamingQuery:
     run = lambda batch, stored: jobs.quote_job(batch, stored, FILE_ORDER)
-    return _land_merge(spark, folder, checkpoint, name, root, QUOTES, QUOTES.input_schema, run, options)
+    return _land_merge(spark, folder, checkpoint, name, QUOTES, QUOTES.input_schema, run, options)
 
 
 def land_competitor_prices(
@@ -76,7 +87,6 @@ def land_competitor_prices(
     folder: str,
     checkpoint: str,
     name: str,
-    root: str,
     catalog: str,
     on_alerts: Callable[[DataFrame], None] = lambda alerts: None,
     **options,
@@ -90,12 +100,12 @@ def land_competitor_prices(
         on_alerts(merged.alerts)
         return merged
 
-    return _land_merge(spark, folder, checkpoint, name, root, COMPETITOR, COMPETITOR.input_schema, run, options)
+    return _land_merge(spark, folder, checkpoint, name, COMPETITOR, COMPETITOR.input_schema, run, options)
 
 
 def land_price_master(
-    spark: SparkSession, folder: str, checkpoint: str, name: str, root: str, schema: StructType, **options
+    spark: SparkSession, folder: str, checkpoint: str, name: str, schema: StructType, **options
 ) -> StreamingQuery:
     """``schema`` is the wide list's: its price columns differ from list to list."""
     run = lambda batch, stored: jobs.price_master_job(batch, stored, FILE_ORDER)
-    return _land_merge(spark, folder, checkpoint, name, root, PRICE_MASTER, schema, run, options)
+    return _land_merge(spark, folder, checkpoint, name, PRICE_MASTER, schema, run, options)

@@ -1,11 +1,14 @@
 import os
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pricewright.operators import ranked
 from pricewright.operators.dedup import keep_last
+from pricewright.operators.ranked import reliable, scratch
+from pricewright.plans import jobs
 from pricewright.schemas import COMPETITOR, PRICE_MASTER, SALES
 from pricewright.sources import files, sinks, tables
 from pricewright.streaming import landing
@@ -77,6 +80,8 @@ def test_replace_reads_the_table_it_replaces(spark, tmp_path):
     first = sinks.replace_table(df, "repl", str(tmp_path))
     again = sinks.replace_table(spark.table("repl").withColumn("v", F.col("v") + 1), "repl", str(tmp_path))
     assert first != again and spark.table("repl").first().v == 2
+    sinks.replace_table(spark.table("repl").withColumn("v", F.col("v") + 1), "repl", str(tmp_path))
+    assert spark.table("repl").first().v == 3 and len(os.listdir(tmp_path / "repl")) == 2
     sinks.replace_table(df.withColumn("w", F.lit(True)), "repl", str(tmp_path))
     assert spark.table("repl").columns == ["k", "v", "w"]
     spark.sql("DROP TABLE repl")
@@ -87,7 +92,7 @@ def test_append_and_distinct_read(spark):
     assert tables.read_table(spark, "sales_a", table=SALES).count() == 0
     for _ in range(2):
         sinks.append_table(rows, "sales_a", SALES, F.lit("2025-01-01").cast("timestamp"))
-    assert tables.read_table(spark, "sales_a").schema.names == SALES.columns
+    assert tables.read_table(spark, "sales_a", table=SALES).schema.names == SALES.columns
     assert tables.read_table(spark, "sales_a", ["bill_num", "sku"], distinct=True).count() == 1
     with pytest.raises(ValueError):
         sinks.append_table(rows.drop("sku"), "sales_a", SALES)
@@ -133,7 +138,7 @@ def test_competitor_files_merge_and_alert(spark, tmp_path):
     write(folder / "1.csv", f"{header}\n{line(9.9)}", datetime(2025, 1, 1, tzinfo=timezone.utc))
     write(folder / "2.csv", f"{header}\n{line(8.0)}", datetime(2025, 1, 2, tzinfo=timezone.utc))
     landing.land_competitor_prices(
-        spark, str(folder), str(tmp_path / "ck"), name, str(tmp_path / "tables"), "catalog_b",
+        spark, str(folder), str(tmp_path / "ck"), name, "catalog_b",
         on_alerts=lambda a: alerts.append([tuple(r) for r in a.collect()]),
     ).awaitTermination()
     row = spark.table(name).collect()
@@ -141,3 +146,30 @@ def test_competitor_files_merge_and_alert(spark, tmp_path):
     assert [len(a) for a in alerts] == [0, 1] and alerts[1][0][6] == "20.0%"
     for t in (name, "catalog_b"):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    columns = COMPETITOR.columns
+    row = lambda day, sku, price: (date.fromisoformat(day) if day else None, "UT", price, sku, "R", 1, "m", "d", "x", "Online", "r", datetime(2025, 1, 1))
+    first = spark.createDataFrame([row("2025-01-01", "a", 1.0), row("2025-02-01", "b", 2.0), row(None, "c", 3.0)], COMPETITOR.schema)
+    sinks.merge_partitions(first, first.withColumn("action", F.lit("insert")), "comp_p", COMPETITOR)
+    files_of = lambda: {r.f for r in spark.table("comp_p").select(F.input_file_name().alias("f")).collect()}
+    before = files_of()
+    batch = spark.createDataFrame([row("2025-01-01", "a", 9.0), row("2025-03-01", "n", 4.0), row("2025-02-01", "b", 2.0)], COMPETITOR.schema)
+    with scratch(spark):
+        merged = jobs._merge(batch.drop("sys_dt"), tables.read_table(spark, "comp_p", table=COMPETITOR), COMPETITOR, ["release_dt"], None)
+        assert sinks.merge_partitions(merged.table, merged.actions, "comp_p", COMPETITOR) == ["2025-01", "2025-03"]
+    spark.catalog.refreshTable("comp_p")
+    got = sorted((r.en_sku, r.mnf_stk_price) for r in spark.table("comp_p").collect())
+    assert got == [("a", 9.0), ("b", 2.0), ("c", 3.0), ("n", 4.0)]
+    assert len(before & files_of()) == 2 and spark.table("comp_p").columns == [*columns, sinks.PART]
+    spark.sql("DROP TABLE comp_p")
+
+
+def test_scratch_leaves_nothing_behind(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    with scratch(spark):
+        assert reliable(spark.range(5)).count() == 5
+        path = ranked._WRITTEN[-1].removeprefix("file:")
+        assert os.path.isdir(path)
+    assert not os.path.exists(path) and spark.conf.get("spark.checkpoint.dir", None) == shared
