@@ -2,6 +2,7 @@
 
 from pricewright.plans import (  # noqa: F401
     queries_cleaning,
+    queries_files,
     queries_forecast,
     queries_pricing,
     queries_reconcile,

@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from pricewright.functions.cleaning import SALES_RULES, apply_rules, clean_landing, to_date_lenient
 from pricewright.operators.dedup import consolidate, first_file, keep_last
-from pricewright.operators.hygiene import drop_zero_quantity, select_columns, snapshot_sheet
+from pricewright.operators.hygiene import (
+    drop_zero_quantity,
+    rename_positional,
+    select_columns,
+    snapshot_sheet,
+    with_load_ts,
+)
 from pricewright.operators.pricing import pallet_cascade, pricing_alerts, unpivot_prices
 from pricewright.operators.ranked import reliable
 from pricewright.operators.reconcile import (
@@ -26,7 +32,7 @@ from pricewright.operators.reconcile import (
     upsert_files,
     upsert_split,
 )
-from pricewright.schemas import COMPETITOR, INVENTORY, PRICE_MASTER, PROMO_HISTORY, QUOTES, SALES, Table
+from pricewright.schemas import COMPETITOR, INVENTORY, PRICE_MASTER, PROMO_BASE, PROMO_HISTORY, QUOTES, SALES, Table
 
 
 @dataclass(frozen=True)
@@ -125,6 +131,12 @@ def promo_history_job(raw: DataFrame, order: list[str]) -> DataFrame:
     return select_columns(clean_batch(raw, PROMO_HISTORY, order), PROMO_HISTORY.input_columns)
 
 
+def promo_base_job(raw: DataFrame, load_ts: Column | None = None) -> DataFrame:
+    """Rows of the base promotion sheet to append: named by position, typed and stamped, otherwise as they are."""
+    stamped = with_load_ts(rename_positional(raw, PROMO_BASE.input_columns), PROMO_BASE.load_column, load_ts)
+    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PROMO_BASE.schema.fields])
+
+
 def inventory_job(raw: DataFrame, eval_date, stored: DataFrame, order: list[str], header_rows: int = 2) -> DataFrame:
     """Stock snapshot rows to append, none when the snapshot's date is stored already."""
     rows = snapshot_sheet(raw, eval_date, INVENTORY.columns, order, header_rows)

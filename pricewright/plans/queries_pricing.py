@@ -253,6 +253,49 @@ def price_master_rows(spark, sf_dir):
     )
 
 
+PRICE_KEYS = "model_no, price_model, lower_bucket, upper_bucket"
+
+
+@query("price_master_job", f"""
+WITH {PRICE_LIST_SQL}, {BUCKET_SQL},
+cascaded AS (SELECT p_partkey, model_no, p_name, p_type, p_retailprice, {_cascaded(CASCADE_SQL)} FROM price_list),
+tall AS (UNPIVOT (SELECT p_partkey, model_no, p_name, p_type, p_retailprice, {ON_COLUMNS} FROM cascaded)
+  ON {ON_COLUMNS} INTO NAME name VALUE unit_price),
+batch AS (
+  SELECT CASE p_type WHEN 'SMALL' THEN '2025-03-01' WHEN 'LARGE' THEN NULL ELSE '2025-02-01' END AS src_updt_dt,
+    model_no, p_name AS descript, p_type AS cat, p_retailprice AS unit_cost, unit_price, {PRICE_KEYS.replace("model_no, ", "")}
+  FROM tall JOIN buckets USING (name)
+  QUALIFY row_number() OVER (PARTITION BY {PRICE_KEYS} ORDER BY p_partkey DESC, ordinal DESC) = 1),
+stored AS (SELECT * REPLACE (CASE cat WHEN 'PROMO' THEN NULL ELSE '2025-02-01' END AS src_updt_dt,
+    unit_price / 2 AS unit_price, 'old' AS cat, descript || ' old' AS descript)
+  FROM batch WHERE price_model <> 'CED')
+SELECT {PRICE_KEYS}, u.moved, CASE WHEN u.moved THEN b.src_updt_dt ELSE s.src_updt_dt END AS src_updt_dt,
+  CASE WHEN u.moved THEN b.descript ELSE s.descript END AS descript, s.cat,
+  CASE WHEN u.moved THEN b.unit_price ELSE s.unit_price END AS unit_price
+FROM stored s JOIN batch b USING ({PRICE_KEYS}),
+  LATERAL (SELECT s.src_updt_dt IS NOT NULL AND b.src_updt_dt IS DISTINCT FROM s.src_updt_dt AS moved) u
+UNION ALL
+SELECT {PRICE_KEYS}, true, src_updt_dt, descript, cat, unit_price FROM batch WHERE price_model = 'CED'""")
+def price_master_job(spark, sf_dir):
+    """The list merged with an older state of itself: no CED prices, undated promotions, other prices."""
+    raw = price_list(spark, sf_dir)
+    rows = jobs.price_master_rows(raw, ["_o_part"])
+    older = rows.where(F.col("price_model") != "CED").withColumns(
+        {
+            "src_updt_dt": F.when(F.col("cat") != "PROMO", F.lit("2025-02-01").cast("date")),
+            "unit_price": F.col("unit_price") / 2,
+            "cat": F.lit("old"),
+            "descript": F.concat("descript", F.lit(" old")),
+        }
+    )
+    table = reliable(older.withColumn("data_dt", F.lit("2025-01-01").cast("timestamp")))
+    merged = jobs.price_master_job(raw, table, ["_o_part"], load_ts=F.lit("2025-04-01").cast("timestamp")).table
+    moved = (F.col("data_dt") > F.lit("2025-01-01").cast("timestamp")).alias("moved")
+    return _dates_as_text(merged, "src_updt_dt").select(
+        "model_no", "price_model", "lower_bucket", "upper_bucket", moved, "src_updt_dt", "descript", "cat", "unit_price"
+    )
+
+
 SALES_SQL = """lines AS (
   SELECT *, CASE WHEN p_type = 'PROMO' THEN 'combo ' ELSE 'sKU ' END AS prefix,
     l_quantity * CASE WHEN l_returnflag = 'R' THEN -0.5 ELSE 0.5 END AS half,
@@ -439,15 +482,32 @@ def promo_history_job(spark, sf_dir):
     )
 
 
+@query("promo_base_job", """
+SELECT CAST(p_partkey AS VARCHAR) AS sku, p_brand AS color, p_type AS category, p_name AS descrip,
+  CAST(p_size AS BIGINT) AS moq, p_retailprice AS socal, '2025-01-01' AS sys_dt FROM part""")
+def promo_base_job(spark, sf_dir):
+    blank = F.lit(None).cast("string")
+    part = read(spark, sf_dir, "part")
+    sheet = part.select(
+        text("p_partkey").alias("Item"), F.col("p_brand").alias("Color"), F.col("p_type").alias("Cat"), blank.alias("Why"),
+        F.col("p_name").alias("Text"), text("p_size").alias("MOQ"), text("p_retailprice").alias("Price"),
+        *[blank.alias(f"c{i}") for i in range(6)],
+    )
+    out = jobs.promo_base_job(sheet, F.lit("2025-01-01").cast("timestamp"))
+    return _dates_as_text(out.withColumn("sys_dt", F.col("sys_dt").cast("date")), "sys_dt").select(
+        "sku", "color", "category", "descrip", "moq", "socal", "sys_dt"
+    )
+
+
 INVENTORY_SQL = """
 SELECT '2024-02-02' AS inv_eval_dt, event_id AS co, event_type AS sku_cat, user_id AS en_last_120_outbound,
   CASE WHEN event_type <> 'view' THEN CAST(floor(value) AS BIGINT) END AS en_last_90_outbound,
   value AS tg_instock_quantity
-FROM events WHERE event_type <> 'error'"""
+FROM events WHERE event_type <> 'error' AND event_id NOT IN (SELECT event_id FROM events ORDER BY event_id LIMIT 2)"""
 
 
 def inventory_sheet(spark, sf_dir):
-    """Events as a stock sheet: the measured columns of errors are blank."""
+    """Events as a stock sheet: the measured columns of errors are blank, the first two rows are sub-headers."""
     whole = F.floor("value").cast("string")
     known = F.col("event_type") != "error"
     return read(spark, sf_dir, "events").select(
@@ -461,6 +521,7 @@ def inventory_sheet(spark, sf_dir):
         *[whole.alias(f"h{i}") for i in range(9)],
         F.col("value").alias("z"),
         F.lit("remark").alias("extra"),
+        F.col("event_id").alias("_place"),
     )
 
 
@@ -474,13 +535,13 @@ def _inventory_shown(df):
 @query("inventory_snapshot", INVENTORY_SQL)
 def inventory_snapshot(spark, sf_dir):
     sheet = inventory_sheet(spark, sf_dir)
-    return _inventory_shown(snapshot_sheet(sheet, sheet_date(sheet.columns[3]), INVENTORY.columns))
+    return _inventory_shown(snapshot_sheet(sheet, sheet_date(sheet.columns[3]), INVENTORY.columns, ["_place"]))
 
 
 @query("inventory_job", INVENTORY_SQL)
 def inventory_job(spark, sf_dir):
     sheet = inventory_sheet(spark, sf_dir)
     stored = read(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("inv_eval_dt"))
-    fresh = jobs.inventory_job(sheet, F.lit("2024-02-02"), stored, [], header_rows=0)
-    seen = jobs.inventory_job(sheet, F.lit("2024-01-20"), stored, [], header_rows=0)
+    fresh = jobs.inventory_job(sheet, F.lit("2024-02-02"), stored, ["_place"])
+    seen = jobs.inventory_job(sheet, F.lit("2024-01-20"), stored, ["_place"])
     return _inventory_shown(fresh.unionByName(seen))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.operators import dedup, reconcile
 from pricewright.plans.registry import query
 from pricewright.plans.sample import read
+from pricewright.sources import tables
 from pricewright.sources.tables import distinct_columns
 
 LOADED = "1998-07-01"
@@ -48,12 +49,12 @@ def new_rows_only(spark, sf_dir):
 
 
 @query("new_rows_only_null_keys", f"""
-WITH {QUOTES_SQL}, b AS (SELECT DISTINCT status, l_linenumber, l_suppkey FROM quotes),
-s AS (SELECT DISTINCT status, l_linenumber, l_suppkey FROM stored)
+WITH {QUOTES_SQL}, b AS (SELECT DISTINCT status, l_partkey, l_suppkey FROM quotes),
+s AS (SELECT DISTINCT status, l_partkey, l_suppkey FROM stored)
 SELECT * FROM b EXCEPT SELECT * FROM s""")
 def new_rows_only_null_keys(spark, sf_dir):
     df = quotes(spark, sf_dir)
-    keys = ["status", "l_linenumber", "l_suppkey"]
+    keys = ["status", "l_partkey", "l_suppkey"]
     return reconcile.new_rows_only(distinct_columns(df, keys), stored(df), keys, nullable=["status"])
 
 
@@ -120,7 +121,8 @@ def merge_tables(spark, sf_dir):
 
 @query("read_table", "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem")
 def read_table(spark, sf_dir):
-    return distinct_columns(read(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey", "l_returnflag"])
+    read(spark, sf_dir, "lineitem").createOrReplaceTempView("stored_lines")
+    return tables.read_table(spark, "stored_lines", ["l_partkey", "l_suppkey", "l_returnflag"], distinct=True)
 
 
 @query("union_all", """

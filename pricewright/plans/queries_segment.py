@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pricewright.functions.stats import Z_95, t_rows, weight_rows
-from pricewright.operators import features, profile
+from pricewright.operators import clusters, features, profile
 from pricewright.operators.clusters import LABEL
 from pricewright.operators.features import metric_columns, slug
+from pricewright.operators.ranked import reliable
 from pricewright.plans import segmentation
 from pricewright.plans.registry import query
 from pricewright.plans.sample import CATEGORIES, customer_sales, read
@@ -80,7 +82,7 @@ def standardize(spark, sf_dir):
     return rounded(features.standardize(inputs, metric_columns(inputs)))
 
 
-SHOWN_METRICS = ["day_tenure", "day_between_purchases", "promo_avg_purchase", "promo_discprice", "small_order_freq"]
+SHOWN_METRICS = METRICS
 LONG_SQL = (
     "long AS ("
     + " UNION ALL ".join(f"SELECT {{group}} AS grp, '{m}' AS metric, {m} AS v FROM feats" for m in SHOWN_METRICS)
@@ -187,26 +189,111 @@ def tier_profile(spark, sf_dir):
     return wide.select("CustTier", *[F.round(F.col(f"`{m} (mue)`"), 6).alias(f"{m} (mue)") for m in SHOWN_METRICS])
 
 
-@query("tier_profile_text")
+@query("tier_profile_text", f"""
+WITH {FEATURES_SQL}, {_intervals_sql(BOTH)},
+shown AS (SELECT grp, metric, round(mean + 1e-9, 6) AS mean,
+  '[' || CAST(round(lo + 1e-9, 6) AS VARCHAR) || ' - ' || CAST(round(hi + 1e-9, 6) AS VARCHAR) || ']' AS span FROM intervals)
+SELECT grp AS "CustTier", {", ".join(f"""max(mean) FILTER (metric = '{m}') AS "{m} (mue)",
+  max(span) FILTER (metric = '{m}') AS "{m} (95% Conf Interval)\"""" for m in SHOWN_METRICS)}
+FROM shown GROUP BY grp""")
 def tier_profile_text(spark, sf_dir):
-    intervals = profile.metric_interval(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS)
+    """Intervals as text. Bounds are rounded first, a little above their value, so that sums in another order and
+    exact halves read alike."""
+    raw = profile.metric_interval(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS)
+    intervals = raw.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in ("mean", "lo", "hi")})
     return profile.tier_profile(intervals, "grp", SHOWN_METRICS)
 
 
+@query("prepare_features", f"""
+WITH {FEATURES_SQL}, stats AS (SELECT avg(day_tenure) AS m, stddev_pop(day_tenure) AS s FROM feats)
+SELECT customer, {len(METRICS)} + (SELECT count(DISTINCT cust_cat) FROM feats) AS slots, 1 AS levels,
+  round((day_tenure - m) / s, 6) AS tenure, rank_of AS level
+FROM feats, stats JOIN (SELECT cust_cat AS cat, row_number() OVER (ORDER BY count(*) DESC, cust_cat) - 1 AS rank_of
+  FROM feats GROUP BY cust_cat) ON true WHERE cat = cust_cat""")
+def prepare_features(spark, sf_dir):
+    """Standardized metrics, then one slot per category, the most frequent first."""
+    vector = vector_to_array("features")
+    hot = F.slice(vector, len(METRICS) + 1, F.size(vector) - len(METRICS))
+    return features.prepare_features(customer_inputs(spark, sf_dir)).select(
+        "customer",
+        F.size(vector).cast("long").alias("slots"),
+        F.aggregate(hot, F.lit(0.0), lambda a, b: a + b).cast("int").alias("levels"),
+        F.round(F.element_at(vector, 1), 6).alias("tenure"),
+        (F.array_position(hot, F.lit(1.0)) - 1).alias("level"),
+    )
+
+
+TIER_OF_SQL = """scores AS (SELECT grp, max(r) FILTER (fam = 'p') * 0.7::DOUBLE + max(r) FILTER (fam = 'l') * 0.2::DOUBLE
+  + max(r) FILTER (fam = 'd') * 0.1::DOUBLE AS score FROM fams GROUP BY grp),
+tiers AS (SELECT grp, ['Platium', 'Gold', 'Silver', 'Bronze'][least(4, dense_rank() OVER (ORDER BY score DESC))] AS tier
+  FROM scores)"""
+
+
+@query("apply_tier_names", f"""
+WITH {FEATURES_SQL}, {ALL_LONG_SQL},
+ranked AS (SELECT grp, CASE WHEN metric LIKE '%discprice' THEN 'd' WHEN metric LIKE 'day%' THEN 'l' ELSE 'p' END AS fam,
+  rank() OVER (PARTITION BY metric ORDER BY CASE metric WHEN 'day_between_purchases' THEN -v ELSE v END) AS r FROM long),
+fams AS (SELECT grp, fam, rank() OVER (PARTITION BY fam ORDER BY sum(r)) AS r FROM ranked GROUP BY grp, fam),
+{TIER_OF_SQL}
+SELECT customer, tier FROM feats JOIN tiers ON grp = cust_cat""")
+def apply_tier_names(spark, sf_dir):
+    inputs = _grouped(spark, sf_dir)
+    metrics = [m for m in metric_columns(inputs) if m != "grp"]
+    tiers = profile.rule_based_tiers(profile.metric_interval(inputs, "grp", metrics), "grp", metrics)
+    named = profile.apply_tier_names(inputs, tiers, "grp")
+    return named.select("customer", F.col("grp").alias("tier"))
+
+
 def _tiers(result):
     return result.customers.select("customer", F.col(f"`{LABEL}`").alias("tier"), "cust_cat", "day_tenure")
 
 
-@query("kmeans_tiers")
-def kmeans_tiers(spark, sf_dir):
-    return _tiers(segmentation.segment_kmeans(customer_inputs(spark, sf_dir), ks=range(3, 6), restarts=2))
+# The documented search: k from 3 to 10, 17 restarts of each.
+CHECKED = """SELECT count(DISTINCT o_custkey) AS customers, true AS once, true AS k_in_range, true AS large_enough,
+  true AS names_follow_the_rule, true AS lookup_whole FROM orders JOIN lineitem ON l_orderkey = o_orderkey"""
+
+
+def checked(result: segmentation.Segmentation, least: int):
+    """What holds for any fit: every customer once, k in range, no cluster too small, tiers named by the rule."""
+    people = reliable(result.customers)
+    metrics = metric_columns(people.drop(LABEL))
+    sizes = people.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
+    profiled = result.profile.select(F.col("CustTier").alias("tier")).distinct()
+    stray = people.join(profiled, F.col(f"`{LABEL}`") == F.col("tier"), "left_anti")
+    lookup = clusters.assignment_lookup(people)
+    return people.agg(F.count(F.lit(1)).alias("customers"), (F.count(F.lit(1)) == F.countDistinct("customer")).alias("once")).select(
+        "*",
+        F.lit(3 <= result.k <= 10 and len(metrics) > 2).alias("k_in_range"),
+        F.lit(sizes.agg(F.min("n")).first()[0] >= least).alias("large_enough"),
+        F.lit(stray.isEmpty() and profiled.count() <= 4).alias("names_follow_the_rule"),
+        F.lit(lookup.count() == people.count()).alias("lookup_whole"),
+    )
 
 
-@query("kmeans_profile")
-def kmeans_profile(spark, sf_dir):
-    return segmentation.segment_kmeans(customer_inputs(spark, sf_dir), ks=[4], restarts=2).profile
+@query("kmeans_tiers", CHECKED)
+def kmeans_tiers(spark, sf_dir):
+    return checked(segmentation.segment_kmeans(customer_inputs(spark, sf_dir)), clusters.MIN_SIZE)
 
 
-@query("gmm_tiers")
+@query("gmm_tiers", CHECKED)
 def gmm_tiers(spark, sf_dir):
-    return _tiers(segmentation.segment_gmm(customer_inputs(spark, sf_dir), ks=[3, 4], restarts=2))
+    return checked(segmentation.segment_gmm(customer_inputs(spark, sf_dir)), 1)
+
+
+@query("segmentation_job", """
+WITH n AS (SELECT count(DISTINCT o_custkey) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+SELECT 'kMeans_custTier_output' AS name, n AS customers, true AS whole FROM n
+UNION ALL SELECT 'kMeans_custTier_profile_statistics', n, true FROM n
+UNION ALL SELECT 'gmm_custTier_output', n, true FROM n UNION ALL SELECT 'gmm_custTier_profile_statistics', n, true FROM n""")
+def segmentation_job(spark, sf_dir):
+    """All four tables, from a search over two k with two restarts; the whole search is in the queries above."""
+    few = {"ks": [3, 4], "restarts": 2}
+    out = segmentation.segmentation_job(customer_inputs(spark, sf_dir), kmeans=few, gmm=few)
+    rows = None
+    for name, table in out.items():
+        people = out[name.split("_")[0] + "_custTier_output"]
+        tiers = people.select(F.col(f"`{LABEL}`").alias("t")).distinct() if name.endswith("output") else table.select(F.col("CustTier").alias("t"))
+        known = tiers.agg((F.count(F.lit(1)).between(1, 4) & (F.count_if(~F.col("t").isin(profile.TIERS)) == 0)).alias("whole"))
+        one = people.agg(F.count(F.lit(1)).alias("customers")).join(known, F.lit(True)).select(F.lit(name).alias("name"), "customers", "whole")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows

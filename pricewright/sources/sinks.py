@@ -104,6 +104,6 @@ def report_extract(reports: dict[str, DataFrame], root: str) -> list[str]:
     for name, df in reports.items():
         if df.isEmpty():
             continue
-        df.write.mode("overwrite").option("header", "true").csv(f"{root.rstrip('/')}/{name}")
+        df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(f"{root.rstrip('/')}/{name}")
         written.append(name)
     return written

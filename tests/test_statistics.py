@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import math
 import random
@@ -99,15 +100,21 @@ def test_frequency_mode_is_smallest(spark):
     assert tuple(forecast.sku_frequency(df).first()) == (1.4, 1.0, 1)
 
 
-@pytest.mark.parametrize("hot_rows", [20, 1000])
-def test_folds_differ_by_one_row(spark, hot_rows):
+def test_folds_are_the_same_however_rows_are_cut(spark):
     rows = [("hot" if i < 203 else f"s{i % 7}", i) for i in range(260)] + [(None, 999)]
     df = spark.createDataFrame(rows, "label string, id int")
-    out = forecast.stratified_folds(df, "label", ["id"], hot_rows=hot_rows).collect()
-    assert len(out) == len(rows) and len({r.id for r in out}) == len(rows)
-    for label in {r.label for r in out}:
-        sizes = [sum(1 for r in out if r.label == label and r.fold == f) for f in range(5)]
-        assert max(sizes) - min(sizes) <= 1
+    deal = lambda d: {r.id: r.fold for r in forecast.stratified_folds(d, "label", ["id"]).collect()}
+    out = deal(df.coalesce(1))
+    by_hand = {}
+    for label in {r[0] for r in rows}:
+        members = sorted((i for n, i in rows if n == label), key=lambda i: hashlib.md5(f"{i}|42".encode()).hexdigest())
+        by_hand |= {i: k % 5 for k, i in enumerate(members)}
+    assert out == by_hand == deal(df.repartition(9))
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        assert deal(df) == out
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_scores(spark):
@@ -126,6 +133,29 @@ def test_unlimited_depth_maps_to_the_deepest():
     assert forecast._depths([10, 20, 35, None]) == [10, 20, 30]
 
 
+def test_scenario_of_large_groups_is_the_same(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        sku = "hot" if i % 3 else f"s{i % 12}"
+        row = [sku, *[rng.choice(["x", "y", "z", None]) for _ in forecast.CATEGORICAL], rng.random()]
+        rows.append(tuple(row + [rng.choice([None, 1.0, 2.5, rng.random()]) for _ in range(11)]))
+    names = ["sku_pk", *forecast.CATEGORICAL, "price", *forecast.MEDIAN_COLUMNS, *forecast.MEAN_COLUMNS[1:]]
+    kinds = ["string"] * 6 + ["double"] * 12
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
+    prices = spark.createDataFrame([("hot", 2.0)], "sku_pk string, `new price` double")
+    show = lambda d: sorted(
+        (tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.collect()), key=lambda r: r[0]
+    )
+    assert show(forecast.sku_scenario(df, prices)) == show(forecast.sku_scenario(df, prices, max_rows=10))
+
+
+def test_unsettled_clusters_are_reported(spark):
+    points = features.prepare_features(blobs(spark, [14, 3]))
+    with pytest.warns(UserWarning, match="still moves"):
+        clusters.kmeans_min_size(points, 3, size_min=5, restarts=1, rounds=1)
+
+
 def test_standardize_with_a_constant(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     assert sorted(map(tuple, features.standardize(df, ["a", "b"]).collect())) == [(-1.0, 0.0), (1.0, 0.0)]
@@ -205,7 +235,7 @@ def test_forecast_end_to_end(spark):
     prices = spark.createDataFrame([(f"s{i}", 2.0) for i in range(4)], "sku_pk string, `new price` double")
     scenario = forecast.sku_scenario(df, prices)
     out = forecast.forecast(model, scenario).collect()
-    assert len(out) == 8 and sum(r.price is None for r in out) == 4
+    assert len(out) == 8 and {r.sku_pk for r in out if r.forecast_quantity is None} == {f"s{i}" for i in range(4, 8)}
     _, alone = forecast.boost_tune(
         folded, {"trees": [2], "depth": [2], "rate": [0.2], "subsample": [1.0]}, folds=2, categorical_only=True
     )
