@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricewright.llm import bpe, exact, fingerprint, langid, neardup, packing, ppm, substring, unigram, warc
 from pricewright.llm.common import documents
@@ -55,14 +56,16 @@ with p as (select page_id, coalesce(html, '') as html from pages),
      q as (select *, strlen(html) as n, max(page_id) over (partition by html) as last from p)
 select page_id, n as payload_bytes, sha1(html) as payload_digest,
        case when n >= 1000 and page_id is distinct from last and last is not null then 'revisit' else 'response' end as record_type,
-       case when n >= 1000 and page_id is distinct from last then last end as refers_to, true as indexed
+       case when n >= 1000 and page_id is distinct from last then last end as refers_to
 from q
 """
 
 
 @query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    found = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    lost = F.raise_error(F.lit("the index lacks a record"))
+    return found.withColumn("record_type", F.when(F.col("indexed"), F.col("record_type")).otherwise(lost)).drop("indexed")
 
 
 @query
