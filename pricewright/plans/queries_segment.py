@@ -275,6 +275,12 @@ def kmeans_tiers(spark, sf_dir):
     return checked(segmentation.segment_kmeans(customer_inputs(spark, sf_dir)), clusters.MIN_SIZE)
 
 
+@query("kmeans_profile")
+def kmeans_profile(spark, sf_dir):
+    """The statistics per cluster; every k, with two restarts."""
+    return segmentation.segment_kmeans(customer_inputs(spark, sf_dir), restarts=2).profile
+
+
 @query("gmm_tiers", CHECKED)
 def gmm_tiers(spark, sf_dir):
     return checked(segmentation.segment_gmm(customer_inputs(spark, sf_dir)), 1)

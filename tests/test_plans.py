@@ -1,11 +1,18 @@
 """What the physical plans must and must not contain."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pricewright.operators import dedup, hygiene, pricing
 from pricewright.plans.catalog import QUERIES
 from pricewright.plans.sample import read
+from pricewright.schemas import SALES
+from pricewright.sources.files import spread
+from pricewright.sources.sinks import append_table
+from pricewright.sources.tables import read_table
 
 RELATIONAL = [
     "clean_customer", "clean_state", "parse_dates", "dedup_keep_last", "consolidate_sales", "new_rows_only",
@@ -27,8 +34,6 @@ def test_no_cross_join_and_no_python(spark, sf, name):
 
 
 def test_period_reaches_the_scan(spark, sf):
-    from datetime import datetime
-
     events = read(spark, sf, "events")
     text = plan(hygiene.period_filter(events, "ts", "day", datetime(2024, 1, 15)).select("event_id"), "formatted")
     assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
@@ -79,3 +84,26 @@ def test_hot_sku_is_split_by_the_join(spark):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_scaling_and_scenario_read_a_stored_input(spark, sf):
+    """The input is built once; what follows reads its files, without a subquery for each metric."""
+    text = plan(QUERIES["standardize"](spark, sf))
+    assert text.count("FileScan parquet") == 1 and "Subquery" not in text and "Exchange" not in text
+    text = plan(QUERIES["sku_scenario"](spark, sf))
+    assert text.count("l_shipdate") == 0 and "Expand" not in text
+
+
+def test_small_scans_are_spread_and_large_ones_pass(spark, sf):
+    lines = read(spark, sf, "lineitem")
+    assert "RoundRobinPartitioning" in plan(spread(lines))
+    assert "RoundRobinPartitioning" not in plan(spread(lines, most=1000))
+
+
+def test_a_sales_file_reads_only_its_months(spark):
+    rows = spark.createDataFrame([(None, "B1", None, datetime(2024, m, 5), "s", 1, 1.0, *[None] * 8) for m in (1, 2, 3)], StructType(SALES.schema.fields[:-1]))
+    append_table(rows, "sales_p", SALES)
+    text = plan(read_table(spark, "sales_p", table=SALES, parts=("2024-02", "2024-02")), "formatted")
+    assert "PartitionFilters: [isnotnull(_part" in text
+    assert read_table(spark, "sales_p", table=SALES, parts=("2024-02", "2024-02")).count() == 1
+    spark.sql("DROP TABLE sales_p")
