@@ -7,8 +7,9 @@ the weighted Jaccard similarity; points later than all components are never gene
 candidates are checked by their exact multisets, and links are joined to classes.
 
 Equal multisets are one node from the start. In a band's bucket every node is compared with one leader, the node
-that shares most buckets with others. What is not in the leader's class afterwards is compared with all nodes of
-other classes in the bucket whose signatures allow the threshold. No bucket is expanded into all its pairs.
+that shares most buckets with others. Nodes of buckets that still hold several classes are paired across classes
+where they can be similar at all: they must have one of their rarest shingles in common, with enough behind it, and
+signatures that allow it. No bucket is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewright.llm.common import gathered, lowered, mark, mix, one, only, partitions, span_hashes, stored, text_bytes, whole, word_spans
@@ -28,7 +29,6 @@ M, BANDS = 128, 32  # components; a pair of similarity 0.8 misses all bands of f
 SIMILAR = 0.8
 # Of 128 two-bit components, a pair of similarity 0.8 differs in 19 on average, with a deviation of 4.
 DIFFER = 40
-GROUP = 64  # documents compared with one copy of their leader
 CHUNK = 4_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -99,7 +99,7 @@ def signatures(row: np.ndarray, hashes: np.ndarray, counts: np.ndarray, rows: in
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """row (unique), doc_id, mark, k1 and k2 (of the multiset), bands, and the signature in two bits a component (s0..s3)."""
+    """row (unique), doc_id, mark, k1 and k2 (of the multiset), size (shingles), bands, and the signature in two bits a component (s0..s3)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = TaskContext.get().partitionId() << 36
@@ -107,10 +107,8 @@ def signed(docs: DataFrame) -> DataFrame:
             n = table.num_rows
             at, hashes, counts = bags(*shingles(*text_bytes(one(table.column("text")))))
             times = signatures(at, hashes, counts, n)
-            keys = np.zeros((2, n), np.uint64)
+            keys = _keys(at, hashes, counts, n)
             with np.errstate(over="ignore"):
-                for k, salt in enumerate((0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)):
-                    np.add.at(keys[k], at, mix(hashes ^ np.uint64(salt)) * counts.astype(np.uint64))
                 values = mix(times.view(np.uint64))
                 quads = values.reshape(n, BANDS, M // BANDS)
                 band = np.zeros((n, BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
@@ -121,12 +119,12 @@ def signed(docs: DataFrame) -> DataFrame:
             some = np.isfinite(times[:, 0])
             lengths = np.where(some, BANDS, 0)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(band[some].ravel().view(np.int64)))
-            columns = [pa.array(seen + np.arange(n)), one(table.column("doc_id")), one(table.column("mark")), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), lists, *[pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4)]]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "mark", "k1", "k2", "bands", "s0", "s1", "s2", "s3"])
+            columns = [pa.array(seen + np.arange(n)), one(table.column("doc_id")), one(table.column("mark")), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(np.bincount(at, counts, n).astype(np.int64)), lists, *[pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4)]]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "mark", "k1", "k2", "size", "bands", "s0", "s1", "s2", "s3"])
             seen += n
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(), whole())
-    return rows.mapInArrow(run, "row long, doc_id long, mark long, k1 long, k2 long, bands array<long>, s0 long, s1 long, s2 long, s3 long")
+    return rows.mapInArrow(run, "row long, doc_id long, mark long, k1 long, k2 long, size long, bands array<long>, s0 long, s1 long, s2 long, s3 long")
 
 
 def alike(pairs: DataFrame, nodes: DataFrame, differ: int = DIFFER) -> DataFrame:
@@ -146,74 +144,104 @@ def _differences(a: str, b: str):
     return count
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similar: float = SIMILAR, group: int = GROUP) -> DataFrame:
-    """Of pairs a, b those whose multisets overlap enough, with their similarity.
+def _keys(at: np.ndarray, hashes: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """Two hashes of each row's multiset."""
+    keys = np.zeros((2, n), np.uint64)
+    with np.errstate(over="ignore"):
+        for k, salt in enumerate((0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)):
+            np.add.at(keys[k], at, mix(hashes ^ np.uint64(salt)) * counts.astype(np.uint64))
+    return keys
 
-    Up to ``group`` rows a on average meet one copy of the multiset of b, however many b has.
-    """
-    sizes = stored(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / group).cast("int").alias("copies")))
-    many = pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int").alias("copy"))
-    leaders = sizes.select(F.col("b").alias("a"), "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    needs = stored(many.withColumn("role", F.lit(1)).unionByName(leaders.withColumn("role", F.lit(0))))
+
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text for the nodes in wanted."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole())
-    wanted = needs.select(F.col("a").alias("node")).distinct().join(nodes.select("node", "doc_id", "k1", "k2"), "node")
-    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "k1", "k2", "text")
+    known = wanted.join(nodes.select("node", "doc_id", "k1", "k2"), "node")
+    found = texts.join(known, texts["doc_id"].eqNullSafe(known["doc_id"])).select("node", "k1", "k2", "text")
 
     def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Drop texts of the same doc_id that are not the node's."""
         for table in gathered(batches, "text", CHUNK):
-            at, hashes, counts = bags(*shingles(*text_bytes(one(table.column("text")))))
-            keys = np.zeros((2, table.num_rows), np.uint64)
-            with np.errstate(over="ignore"):
-                for k, salt in enumerate((0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)):
-                    np.add.at(keys[k], at, mix(hashes ^ np.uint64(salt)) * counts.astype(np.uint64))
+            keys = _keys(*bags(*shingles(*text_bytes(one(table.column("text"))))), table.num_rows)
             own = [one(table.column(c)).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("k1", "k2")]
             same = (keys[0] == own[0]) & (keys[1] == own[1])
             yield from table.select(["node", "text"]).filter(pa.array(same)).to_batches()
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leader, bag = None, None
+    return found.mapInArrow(right, "node long, text string")
+
+
+def rare_first(texts: DataFrame, sizes: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """shingle, node, before: the rarest shingles of each node that another node has too.
+
+    A node's shingles are ordered by how many nodes have them; before is its mass in front of the shingle. What two
+    nodes share comes in this order too, so a pair as similar as asked has its first common shingle where at most
+    1 - similar of either node's mass is in front.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "text", CHUNK):
             at, hashes, counts = bags(*shingles(*text_bytes(one(table.column("text")))))
-            order = np.lexsort((hashes, at))
-            hashes, counts = hashes[order], counts[order]
-            edges = np.searchsorted(at[order], np.arange(table.num_rows + 1))
-            a, b, copy, role = (one(table.column(c)).to_pylist() for c in ("a", "b", "copy", "role"))
-            out: list[tuple] = []
-            for k in range(table.num_rows):
-                mine = hashes[edges[k] : edges[k + 1]], counts[edges[k] : edges[k + 1]]
-                if not role[k]:
-                    leader, bag = (b[k], copy[k]), mine
-                elif leader == (b[k], copy[k]) and (last := out[-1][:2] if out else None) != (a[k], b[k]):
-                    place = np.minimum(np.searchsorted(bag[0], mine[0]), len(bag[0]) - 1)
-                    both = int(np.minimum(bag[1][place], mine[1])[bag[0][place] == mine[0]].sum())
-                    share = both / max(1, int(bag[1].sum()) + int(mine[1].sum()) - both)
-                    del last
-                    if share >= similar:
-                        out.append((a[k], b[k], share))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["a", "b", "similarity"])
-
-    own = found.mapInArrow(right, "node long, text string")
-    n = partitions(docs.sparkSession)
-    met = needs.join(own, needs["a"] == own["node"]).select("a", "b", "copy", "role", "text")
-    met = met.repartition(n, "b", "copy").sortWithinPartitions("b", "copy", "role", "a")
-    return met.mapInArrow(compare, "a long, b long, similarity double").dropDuplicates(["a", "b"])
+            node = one(table.column("node")).to_numpy(zero_copy_only=False)[at]
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(hashes.view(np.int64)), pa.array(counts)], ["node", "shingle", "n"])
+
+    each = stored(texts.mapInArrow(run, "node long, shingle long, n long").dropDuplicates(["node", "shingle"]))
+    common = stored(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1"))
+    order = Window.partitionBy("node").orderBy(F.coalesce("nodes", F.lit(1)), "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = each.join(common, "shingle", "left").withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    early = F.col("before") <= F.col("size") * (1 - similar) + 1e-6
+    return ranked.where("nodes is not null").join(sizes, "node").where(early).drop("n", "nodes")
+
+
+def verified(pairs: DataFrame, own: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Of pairs a, b those whose multisets overlap enough, with their similarity. own: the nodes' texts.
+
+    A node b that very many others are paired with is split by the join.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in gathered(batches, "text", CHUNK // 2):
+            a, b = (one(table.column(c)).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+            _, first, which = np.unique(b, return_index=True, return_inverse=True)
+            mine = _bag_list(one(table.column("text")))
+            others = _bag_list(one(table.column("other").take(pa.array(first))))  # once for each b
+            shares = np.array([_similarity(x, others[k]) for x, k in zip(mine, which.tolist(), strict=True)])
+            ok = shares >= similar
+            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok]), pa.array(shares[ok])], ["a", "b", "similarity"])
+
+    met = pairs.join(own.select(F.col("node").alias("a"), "text"), "a")
+    met = met.join(own.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
+    return met.select("a", "b", "text", "other").mapInArrow(compare, "a long, b long, similarity double")
+
+
+def _bag_list(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted shingles and counts of each row."""
+    at, hashes, counts = bags(*shingles(*text_bytes(column)))
+    order = np.lexsort((hashes, at))
+    hashes, counts = hashes[order], counts[order]
+    edges = np.searchsorted(at[order], np.arange(len(column) + 1)).tolist()
+    return [(hashes[a:b], counts[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    if not len(a[0]) or not len(b[0]):
+        return float(len(a[0]) == len(b[0]))
+    place = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = int(np.minimum(b[1][place], a[1])[b[0][place] == a[0]].sum())
+    return both / (int(a[1].sum()) + int(b[1].sum()) - both)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of the edges a, b: the least node it is connected with.
 
-    Alternates two steps until nothing changes: every node's larger neighbours move to its least neighbour, then its
-    smaller ones do. Each step's minima are stored, so the joins deal both sides anew and a hub can be split.
+    Alternates two steps until all components are stars: every node's larger neighbours move to its least neighbour,
+    then its smaller ones do. The minima are stored, so the joins deal both sides anew and a hub can be split.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
     while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before:
+        ends = now.select("a", F.lit(1).alias("out"), F.lit(False).alias("root")).unionAll(now.select("b", F.lit(0), F.lit(True)))
+        loose = ends.groupBy("a").agg(F.sum("out").alias("out"), F.max("root").alias("root"))
+        if loose.where("out > 1 or (out = 1 and root)").isEmpty():
             break
-        before = mark
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = stored(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")))
         large = stored(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
@@ -223,6 +251,47 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def near_roots(edges: DataFrame, reach: int = 5) -> DataFrame:
+    """node, root: the least node within ``reach`` links. Nodes of one root are connected; the reverse need not hold."""
+    both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = stored(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")))
+    for _ in range(reach - 1):
+        next_to = both.join(least.select(F.col("a").alias("b"), "m"), "b")
+        least = stored(next_to.groupBy("a").agg(F.min("m").alias("m")))
+    return least.select(F.col("a").alias("node"), F.col("m").alias("root"))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame, a: str, b: str) -> DataFrame:
+    """The pairs with their columns a and b replaced by their roots, without those that are then the same."""
+    for side in (a, b):
+        known = roots.select(F.col("node").alias(side), F.col("root").alias("_root"))
+        pairs = pairs.join(known, side, "left").withColumn(side, F.coalesce("_root", side)).drop("_root")
+    return pairs.where(F.col(a) != F.col(b))
+
+
+def across(rest: DataFrame, texts: DataFrame, nodes: DataFrame, tested: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Pairs a, b of nodes in rest (node, root) that are of different roots, not tested yet, and may be similar.
+
+    They have one of their rare shingles in common, the mass behind it is enough, and their signatures differ in no
+    more than ``off`` components.
+    """
+    sizes = nodes.select("node", "size", *[f"s{k}" for k in range(4)]).join(rest, "node")
+    rows = stored(rare_first(texts, sizes, similar))
+
+    def side(name: str) -> DataFrame:
+        columns = {"node": "", "root": "root", "size": "size", "before": "before", **{f"s{k}": str(k) for k in range(4)}}
+        return rows.select("shingle", *[F.col(c).alias(f"{name}{new}") for c, new in columns.items()])
+
+    # similarity = both / (size a + size b - both), and both is at most what lies behind the first common shingle.
+    most = F.least(F.col("asize") - F.col("abefore"), F.col("bsize") - F.col("bbefore")) * (1 + similar)
+    may = most >= similar * (F.col("asize") + F.col("bsize")) - 1e-6
+    off = _differences("a", "b")
+    met = side("a").join(side("b"), "shingle").where((F.col("aroot") < F.col("broot")) & may & (off <= DIFFER))
+    met = met.select("a", "b", "aroot", "broot", off.alias("off")).distinct()
+    known = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return met.join(known, ["a", "b"], "left_anti")
+
+
 def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, class_id, class_size, kept, mark: one row for each row of docs.
 
@@ -232,7 +301,7 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """
     rows = stored(signed(docs))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    same = rows.groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(4)])
+    same = rows.groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(4)])
     nodes = stored(same.withColumn("node", F.col("first.row")).withColumn("doc_id", F.col("first.doc_id")))
     banded = nodes.select(F.explode("bands").alias("key"), "node")
     sizes = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
@@ -243,25 +312,30 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     leaders = stored(shared.join(degree, "node").groupBy("key").agg(leader).select("key", (-F.col("top.back")).alias("b")))
     pairs = shared.select("key", F.col("node").alias("a")).join(leaders, "key").where("a <> b").select("a", "b").distinct()
     tested = stored(alike(pairs, nodes))
-    links = stored(verified(tested, nodes, docs, similar))
-    found = stored(components(links))
-    # What shares a bucket, but no class yet: all pairs across classes that the signatures allow.
-    placed = shared.select("key", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = stored(placed)
+    involved = tested.select(F.col("a").alias("node")).unionAll(tested.select(F.col("b").alias("node"))).distinct()
+    links = stored(verified(tested, texts_of(involved, nodes, docs), similar))
+    # What shares a bucket, but is not known to be of one class yet.
+    found = near_roots(links)
+    placed = stored(shared.select("key", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node")))
     mixed = stored(placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key"))
-    signs = nodes.select("node", *[f"s{k}" for k in range(4)])
-    rest = stored(placed.join(mixed, "key").join(signs, "node"))
-    left = rest.select("key", *[F.col(c).alias(f"a{c}") for c in ("node", "root")], *[F.col(f"s{k}").alias(f"a{k}") for k in range(4)])
-    right = rest.select("key", *[F.col(c).alias(f"b{c}") for c in ("node", "root")], *[F.col(f"s{k}").alias(f"b{k}") for k in range(4)])
-    across = left.join(right, "key").where((F.col("aroot") < F.col("broot")) & (_differences("a", "b") <= DIFFER))
-    more = across.select(F.col("anode").alias("a"), F.col("bnode").alias("b")).distinct()
-    known = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = stored(more.join(known, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = stored(links.unionByName(stored(verified(more, nodes, docs, similar))))
-        found = stored(components(links))
+    rest = stored(placed.join(mixed, "key").select("node", "root").distinct())
+    if not rest.isEmpty():
+        own = stored(texts_of(rest.select("node"), nodes, docs))
+        more = stored(across(rest, own, nodes, tested, similar))
+        # The likeliest pair of any two classes first; the others only while those are still two.
+        best = F.min(F.struct("off", "a", "b")).alias("x")
+        likeliest = stored(more.groupBy("aroot", "broot").agg(best).select("x.a", "x.b", "aroot", "broot"))
+        new = stored(verified(likeliest.select("a", "b"), own, similar))
+        links = links.unionByName(new)
+        joined = new.join(likeliest, ["a", "b"]).select(F.col("aroot").alias("a"), F.col("broot").alias("b"))
+        left = _apart(more.join(likeliest, ["a", "b"], "left_anti"), near_roots(joined, 2), "aroot", "broot").select("a", "b")
+        left = stored(left)
+        if not left.isEmpty():
+            links = links.unionByName(stored(verified(left, own, similar)))
+    ends = stored(_apart(links.select("a", "b"), found, "a", "b").distinct())
+    last = stored(components(ends)).select(F.col("node").alias("root"), F.col("root").alias("last"))
     member = nodes.select("k1", "k2", "node", "n", "first").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    member = stored(member)
+    member = stored(member.join(last, "root", "left").withColumn("root", F.coalesce("last", "root")).drop("last"))
     whole_class = member.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("class_size"))
     member = stored(member.select("k1", "k2", "root").join(stored(whole_class), "root"))
     out = rows.select("row", "doc_id", "mark", "k1", "k2").join(member, ["k1", "k2"])
