@@ -26,6 +26,16 @@ def rounded(df, digits=6):
     )
 
 
+NUDGE = 1e-9  # above the noise of sums in another order, so that exact halves round alike
+
+
+def nudged(df, digits=6):
+    return df.select(
+        *[F.round(F.col(f"`{f.name}`") + NUDGE, digits).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f"`{f.name}`")
+          for f in df.schema.fields]
+    )
+
+
 def _per_category(template):
     return ", ".join(template.format(c=c, s=slug(c)) for c in CATEGORIES)
 
@@ -109,7 +119,8 @@ intervals AS (SELECT grp, metric, n, mean, method,
   FROM chosen)"""
 
 
-INTERVAL_SELECT = """ SELECT grp, metric, n, round(mean, 6) AS mean, round(lo, 6) AS lo, round(hi, 6) AS hi, method
+INTERVAL_SELECT = """ SELECT grp, metric, n, round(mean + 1e-9, 6) AS mean, round(lo + 1e-9, 6) AS lo,
+  round(hi + 1e-9, 6) AS hi, method
 FROM intervals"""
 
 
@@ -126,7 +137,7 @@ def _grouped(spark, sf_dir, small=False):
 
 @query("metric_interval", f"WITH {FEATURES_SQL}, {_intervals_sql('cust_cat')} {INTERVAL_SELECT}")
 def metric_interval(spark, sf_dir):
-    return rounded(profile.metric_interval(_grouped(spark, sf_dir), "grp", SHOWN_METRICS))
+    return nudged(profile.metric_interval(_grouped(spark, sf_dir), "grp", SHOWN_METRICS))
 
 
 BOTH = "cust_cat || '/' || n_name"
@@ -134,14 +145,14 @@ BOTH = "cust_cat || '/' || n_name"
 
 @query("metric_interval_small_groups", f"WITH {FEATURES_SQL}, {_intervals_sql(BOTH)} {INTERVAL_SELECT}")
 def metric_interval_small_groups(spark, sf_dir):
-    return rounded(profile.metric_interval(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS))
+    return nudged(profile.metric_interval(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS))
 
 
 @query("normality_test", f"""
 WITH {FEATURES_SQL}, {LONG_SQL.format(group=BOTH)}, {T_SQL}, {WEIGHT_SQL}, {W_SQL}
-SELECT grp, metric, n, round(w, 6) AS w, normal FROM tested""")
+SELECT grp, metric, n, round(w + 1e-9, 6) AS w, normal FROM tested""")
 def normality_test(spark, sf_dir):
-    return rounded(profile.normality_test(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS))
+    return nudged(profile.normality_test(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS))
 
 
 @query("category_share", """
@@ -181,12 +192,12 @@ def tier_rules(spark, sf_dir):
 
 @query("tier_profile", f"""
 WITH {FEATURES_SQL}
-SELECT cust_cat AS "CustTier", {", ".join(f'round(avg({m}), 6) AS "{m} (mue)"' for m in SHOWN_METRICS)} FROM feats
+SELECT cust_cat AS "CustTier", {", ".join(f'round(avg({m}) + 1e-9, 6) AS "{m} (mue)"' for m in SHOWN_METRICS)} FROM feats
 GROUP BY cust_cat""")
 def tier_profile(spark, sf_dir):
     intervals = profile.metric_interval(_grouped(spark, sf_dir), "grp", SHOWN_METRICS)
     wide = profile.tier_profile(intervals, "grp", SHOWN_METRICS)
-    return wide.select("CustTier", *[F.round(F.col(f"`{m} (mue)`"), 6).alias(f"{m} (mue)") for m in SHOWN_METRICS])
+    return nudged(wide.select("CustTier", *[f"`{m} (mue)`" for m in SHOWN_METRICS]))
 
 
 @query("tier_profile_text", f"""
@@ -200,8 +211,7 @@ def tier_profile_text(spark, sf_dir):
     """Intervals as text. Bounds are rounded first, a little above their value, so that sums in another order and
     exact halves read alike."""
     raw = profile.metric_interval(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS)
-    intervals = raw.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in ("mean", "lo", "hi")})
-    return profile.tier_profile(intervals, "grp", SHOWN_METRICS)
+    return profile.tier_profile(nudged(raw), "grp", SHOWN_METRICS)
 
 
 @query("prepare_features", f"""

@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 from tests.oracle import compare, connect
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+# 136 fits, some minutes: compared by ``python tests/oracle.py`` only. The same path with few fits is in test_statistics.
+LONG = {"kmeans_tiers"}
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,6 @@ def test_oracle_names_are_queries():
     assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - LONG))
 def test_oracle(spark, con, sf, name):
     assert compare(spark, con, QUERIES[name], ORACLE[name], sf) is None
