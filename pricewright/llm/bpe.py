@@ -25,8 +25,8 @@ from pricewright.llm.common import gathered, one, ragged, span_hashes, text_byte
 OTHER, LETTER, NUMBER, SPACE = range(4)
 # The white space of Unicode.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-BATCH = 16_000_000  # bytes of text whose different pieces are merged together
-CHUNK = 2_000_000  # bytes of text cut into pieces at a time
+BATCH = 8_000_000  # bytes of text whose different pieces are merged together
+CHUNK = 1_000_000  # bytes of text cut into pieces at a time
 NONE = np.int64(1 << 40)
 
 

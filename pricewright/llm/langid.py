@@ -29,8 +29,8 @@ BUCKETS = 1 << 15  # of hashed features
 FREQUENT = 5  # occurrences in the sample that make a word a lexicon entry
 RUN, LENGTH = 40, 128  # words of one document in a row, and words in a training sequence
 SEGMENT = 32  # words whose transitions are multiplied in one go
-CHUNK = 4_000_000
-WORDS = 300_000  # different words whose scores a worker keeps
+CHUNK = 2_000_000
+WORDS = 200_000  # different words whose scores a worker keeps
 FOLDS, HELD = 4, 2
 UNKNOWN = "und"
 
@@ -344,5 +344,6 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
             names, scores = _tagger(sent).predict([t or "" for t in one(table.column("text")).to_pylist()])
             keep = [n != UNKNOWN and s >= least for n, s in zip(names, scores.tolist(), strict=True)]
             yield from table.filter(pa.array(keep)).to_batches()
+        _tagger(sent).forget()  # the worker goes on to other work
 
     return docs.mapInArrow(run, docs.schema)
