@@ -93,13 +93,19 @@ def _told(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return at, asks, np.concatenate([np.repeat(number, size)[twice], number])
 
 
-def _answers(told: DataFrame, hot: int) -> DataFrame:
-    """key, owner, place, hot of everything that occurs more than once. A key has one asking row for each task."""
+def _answers(told: DataFrame, hot: int | None = None) -> DataFrame:
+    """key, owner, place of everything that occurs more than once; with ``hot``, whether that many owners have it.
+
+    A key has one asking row for each task.
+    """
     asks = told.where("asks").groupBy("key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("owner", "place")).alias("of"))
-    many = stored(asks.where("n > 1").withColumn("hot", F.col("n") >= hot))
+    many, known = asks.where("n > 1"), told.where("not asks").select("key", "owner", "place")
+    if hot is None:
+        return many.select("key", F.explode("of").alias("x")).select("key", "x.owner", "x.place").unionAll(known)
+    many = stored(many.withColumn("hot", F.col("n") >= hot))
     answered = many.select("key", "hot", F.explode("of").alias("x")).select("key", "x.owner", "x.place", "hot")
-    known = told.where("not asks").join(many.where("hot").select("key", "hot"), "key", "left")
-    return answered.unionAll(known.select("key", "owner", "place", F.coalesce("hot", F.lit(False)).alias("hot")))
+    flagged = known.join(many.where("hot").select("key", "hot"), "key", "left")
+    return answered.unionAll(flagged.select("key", "owner", "place", F.coalesce("hot", F.lit(False)).alias("hot")))
 
 
 def suspect_keys(rows: DataFrame, hot: int = HOT) -> DataFrame:
@@ -247,7 +253,7 @@ def repeated(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
     rows = rows.select("doc_id", "text", mark())
     found = stored(runs(rows, suspect_keys(rows, hot)))
     told = found.where("kind = 'ask'").select("key", F.col("run").alias("owner"), "place", "asks", "n")
-    sure = _answers(told, hot).groupBy(F.col("owner").alias("run")).agg(F.collect_set("place").alias("places"))
+    sure = _answers(told).groupBy(F.col("owner").alias("run")).agg(F.collect_set("place").alias("places"))
     sure = found.where("kind = 'run'").select("run", "doc_id", "mark", "start", "windows", "text", "doubt").join(sure, "run", "left")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
