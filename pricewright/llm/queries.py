@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewright.llm import bpe, exact, fingerprint, langid, neardup, packing, ppm, substring, unigram, warc
+from pricewright.llm import bpe, exact, fingerprint, langid, merkle, neardup, packing, ppm, substring, unigram, warc
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,55 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removals(documents(spark, sf_dir))
+
+
+# A table with the crc32 step of each byte, and the unsigned crc32 of a text's UTF-8.
+CRC_TABLE = """crc as (select list(c order by n) as t from (select n, list_reduce([n::UBIGINT] || list_transform(range(8), lambda x: x::UBIGINT),
+    lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384::UBIGINT) else c >> 1 end) as c from range(256) r(n)))"""
+
+
+def crc32_sql(text: str) -> str:
+    bytes_ = f"""list_transform(string_split(rtrim(regexp_replace(hex(encode({text})), '(..)', '\\1,', 'g'), ','), ','), lambda h: ('0x' || h)::UBIGINT)"""
+    step = "lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)::BIGINT])"
+    return f"xor(list_reduce([4294967295::UBIGINT] || {bytes_}, {step}), 4294967295::UBIGINT)"
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """Unrolled for trees of up to 16^levels leaves: nodes n0, n1, ... of the sources, m0, m1, ... above them."""
+    def field(value):
+        return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        CRC_TABLE,
+        f"""leafs as (select doc_id, source, sha256({head} || {field("text")}) as leaf,
+            sha256({head} || {field(f"case when {crc32_sql('doc_id::VARCHAR')} % 5 = 0 then {lower} else text end")}) as shown from documents, crc)""",
+        """g0 as (select doc_id, leaf, shown as f, '' as proof, dense_rank() over (order by source nulls first) - 1 as tree,
+            row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as r, count(*) over (partition by source) as n from leafs)""",
+        "n0 as (select tree, r, n, leaf as d from g0)",
+    ]
+    beside = "string_agg(d, '') over (partition by tree, r // 16 order by r rows between {})"
+    for name in "nm":
+        if name == "m":
+            parts.append(f"m0 as (select 0 as tree, tree as r, count(*) over () as n, d from n{levels})")
+        for k in range(levels):
+            parts.append(f"""{name}{k + 1} as (select tree, r // 16 as r, n, case when n > {16**k} then sha256(string_agg(d, '' order by r)) else any_value(d) end as d
+                from {name}{k} group by tree, r // 16, n)""")
+            parts.append(f"""s{name}{k} as (select tree, r, n > {16**k} as more, coalesce({beside.format("unbounded preceding and 1 preceding")}, '') as a,
+                coalesce({beside.format("1 following and unbounded following")}, '') as b from {name}{k})""")
+    step = """select g.* replace (case when more then sha256(a || f || b) else f end as f, case when more then proof || a || b else proof end as proof,
+        g.r // 16 as r) from {} g join {} s on g.tree = s.tree and g.r = s.r"""
+    parts += [f"g{k + 1} as ({step.format(f'g{k}', f'sn{k}')})" for k in range(levels)]
+    parts.append(f"h0 as (select g.* replace (0 as tree, tree as r), d as subroot from g{levels} g join n{levels} using (tree))")
+    parts += [f"h{k + 1} as ({step.format(f'h{k}', f'sm{k}')})" for k in range(levels)]
+    return f"""with {", ".join(parts)}
+        select doc_id, leaf, subroot, d as root, sha256(proof) as proof_sha256, f as folded_root, f = d as verified from h{levels}, m{levels}"""
+
+
+ORACLE["op12_merkle"] = _merkle_sql()
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(documents(spark, sf_dir))

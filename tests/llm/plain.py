@@ -149,3 +149,48 @@ def ppm(rows, order=5):
         score = sum(log(s[k - order : k], s[k]) for k in range(order, len(s)))
         out.append((doc, fold(doc, 7) == 2, len(tokens), sum(counts[x] > 0 for x in tokens), total, base, score))
     return out
+
+
+def digest(*parts) -> str:
+    return sha("".join(parts))
+
+
+def merkle(rows, fan=16):
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of (doc_id, source, lang, n_chars, text)."""
+    def leaf(row):
+        return digest(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in row])
+
+    def climb(nodes):
+        """The node that remains, and for each one below it the siblings before and after, level by level."""
+        below, paths = [[k] for k in range(len(nodes))], [[] for _ in nodes]
+        while len(nodes) > 1:
+            runs = [range(k, min(k + fan, len(nodes))) for k in range(0, len(nodes), fan)]
+            for run in runs:
+                for k in run:
+                    step = ("".join(nodes[j] for j in run if j < k), "".join(nodes[j] for j in run if j > k))
+                    for leaf_of in below[k]:
+                        paths[leaf_of].append(step)
+            nodes = [digest(*[nodes[k] for k in run]) for run in runs]
+            below = [[x for k in run for x in below[k]] for run in runs]
+        return nodes[0], paths
+
+    sources = defaultdict(list)
+    for row in rows:
+        sources[row[1]].append((row[0] is not None, row[0] or 0, leaf(row), row))
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = [(sorted(sources[s], key=lambda x: x[:3])) for s in names]
+    climbed = [climb([x[2] for x in tree]) for tree in trees]
+    if not climbed:
+        return []
+    root, above = climb([subroot for subroot, _ in climbed])
+    out = []
+    for tree, (subroot, paths), rest in zip(trees, climbed, above, strict=True):
+        for (_, _, own, row), path in zip(tree, paths, strict=True):
+            shown = own
+            if row[0] is not None and fold(row[0], 5) == 0 and row[4] is not None:
+                shown = leaf((*row[:4], low(row[4])))
+            for before, after in path + rest:
+                shown = digest(before, shown, after)
+            proof = digest(*[before + after for before, after in path + rest])
+            out.append((row[0], own, subroot, root, proof, shown, shown == root))
+    return out
