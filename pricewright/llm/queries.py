@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewright.llm import bpe, exact, fingerprint, langid, merkle, neardup, packing, ppm, substring, unigram, warc
+from pricewright.llm import bpe, exact, fingerprint, langid, merkle, neardup, packing, ppm, simhash, substring, unigram, warc
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,8 @@ ORACLE["op12_merkle"] = _merkle_sql()
 @query
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(documents(spark, sf_dir))
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near(documents(spark, sf_dir)).drop("print")

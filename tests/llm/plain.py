@@ -9,6 +9,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -194,3 +196,31 @@ def merkle(rows, fan=16):
             proof = digest(*[before + after for before, after in path + rest])
             out.append((row[0], own, subroot, root, proof, shown, shown == root))
     return out
+
+
+def simhash(text: str | None) -> int:
+    w = words(low(text))
+    found = [" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in found]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def hamming(rows, near=3):
+    """doc_id, fingerprint, component_id."""
+    prints = [simhash(t) for _, t in rows]
+    nodes, parent = sorted(set(prints)), {}
+
+    def root(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    for k, a in enumerate(nodes):
+        for b in nodes[:k]:
+            if (a ^ b).bit_count() <= near:
+                parent[root(a)] = root(b)
+    least = {}
+    for (doc, _), p in zip(rows, prints, strict=True):
+        if doc is not None:
+            least[root(p)] = min(doc, least.get(root(p), doc))
+    return [(doc, f"{p:016x}", least.get(root(p))) for (doc, _), p in zip(rows, prints, strict=True)]
