@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewright.llm import bpe, exact, fingerprint, langid, merkle, neardup, packing, ppm, simhash, substring, unigram, warc
+from pricewright.llm import bpe, exact, fingerprint, langid, merkle, neardup, packing, ppm, simhash, spelling, substring, unigram, warc
 from pricewright.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,31 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near(documents(spark, sf_dir)).drop("print")
+
+
+ORACLE["op13_spelling"] = f"""
+with recursive {CRC_TABLE},
+runs as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) as run
+         from documents where text is not null),
+each as (select doc_id, run, count(*) as c from runs group by all),
+marked as (select run, c, {crc32_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} as h from each, crc),
+spoilt as (select case when h % 97 = 0 then substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) else run end as word, c from marked),
+words as (select word, sum(c)::BIGINT as n from spoilt where length(word) >= 5 group by word having sum(c) >= 3),
+cuts as (select word, place, substr(word, 1, place - 1) || substr(word, place + 1) as rest
+         from (select word, unnest(range(1, length(word) + 1)) as place from words)),
+pairs as (select a.word, b.word as other from cuts a join cuts b using (place, rest) where a.word <> b.word
+          union select word, rest from cuts where rest in (select word from words)
+          union select rest, word from cuts where rest in (select word from words)),
+found as (select word, count(*) as n_near, arg_min(other, (-o.n, other)) as best, max(o.n) as best_n
+          from pairs join (select word as other, n from words) o using (other) group by word),
+forms as (select word, n, coalesce(n_near, 0) as n_near, case when best_n >= 2 * n then best end as form,
+          case when best_n >= 2 * n then best_n end as form_n from words left join found using (word)),
+way as (select word, word as at, form as next from forms
+        union all select way.word, forms.word, forms.form from way join forms on forms.word = way.next)
+select word, form, way.at as root, n, n_near, form_n from forms join way using (word) where way.next is null
+"""
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))

@@ -224,3 +224,35 @@ def hamming(rows, near=3):
         if doc is not None:
             least[root(p)] = min(doc, least.get(root(p), doc))
     return [(doc, f"{p:016x}", least.get(root(p))) for (doc, _), p in zip(rows, prints, strict=True)]
+
+
+def edits_apart(a: str, b: str) -> bool:
+    """Exactly one inserted, deleted or replaced code point."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(a) + 1 == len(b) and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def spelling(rows):
+    """word, form, root, n, n_near, form_n."""
+    counts = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = low(run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{word}".encode())
+            counts[word if h % 97 else word[: h % len(word)] + word[h % len(word) + 1 :]] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+    near = {w: [x for x in words if abs(len(x) - len(w)) < 2 and edits_apart(w, x)] for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * words[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return [(w, form[w], root(w), n, len(near[w]), words.get(form[w])) for w, n in words.items()]
