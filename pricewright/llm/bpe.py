@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import gathered, one, ragged, span_hashes, text_bytes, whole
+from pricewright.llm.common import exact, gathered, one, ragged, span_hashes, text_bytes, whole
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 # The white space of Unicode.
@@ -271,6 +271,9 @@ def encode(column: pa.Array, model: Merges) -> Encoded:
         return Encoded(np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64))
     hashes, starts, lengths = np.concatenate(hashes), np.concatenate(starts), np.concatenate(lengths)
     order = np.argsort(hashes)
+    named = exact(data, starts, starts + lengths, hashes, order)  # pieces are merged by their bytes
+    if named is not hashes:
+        hashes, order = named, np.argsort(named)
     ordered = hashes[order]
     new = np.append(True, ordered[1:] != ordered[:-1])
     which = np.empty(len(hashes), np.int64)

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,24 +137,9 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
-# Span hashes: H[i] = sum of T[byte] * B^j over j < i, in 64-bit arithmetic. The hash of a span is
-# (H[end] - H[start]) * B^-start, equal for equal spans wherever they lie.
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
-    if name not in _POWERS or len(_POWERS[name]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        out = np.ones(size, np.uint64)
-        done, step = 1, base
-        while done < size:  # doubling: out[done:2 done] = out[:done] * base^done
-            out[done : 2 * done] = out[:done] * step
-            step, done = step * step, 2 * done
-        _POWERS[name] = out
-    return _POWERS[name][:n]
+# The multipliers of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+_LONG = 1024  # bytes; longer spans are hashed one by one
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -165,13 +151,113 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _lanes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight and the four bytes from every place on, as numbers; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,)), np.ndarray(len(data) + 1, "<u4", padded, strides=(1,))
+
+
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _round(lane: np.ndarray) -> np.ndarray:
+    return _turn(lane * _P2, 31) * _P1
+
+
+def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """XXH64 of the byte spans [start, end) of data, unsigned; all spans advance together, lane by lane."""
+    words, halves = _lanes(data)
+    sizes = ends - starts
+    with np.errstate(over="ignore"):
+        s = np.uint64(seed)
+        out = np.full(len(starts), s + _P5, np.uint64)
+        at = starts.copy()
+        usual = sizes <= _LONG
+        striped = np.flatnonzero((sizes >= 32) & usual)
+        if len(striped):
+            lanes = [np.full(len(striped), v, np.uint64) for v in (s + _P1 + _P2, s + _P2, s, s - _P1)]
+            live, n = np.arange(len(striped)), sizes[striped] // 32
+            for k in range(int(n.max())):
+                live = live[n[live] > k]
+                place = starts[striped[live]] + 32 * k
+                for j, v in enumerate(lanes):
+                    v[live] = _turn(v[live] + words[place + 8 * j] * _P2, 31) * _P1
+            h = _turn(lanes[0], 1) + _turn(lanes[1], 7) + _turn(lanes[2], 12) + _turn(lanes[3], 18)
+            for v in lanes:
+                h = (h ^ _round(v)) * _P1 + _P4
+            out[striped] = h
+            at[striped] += 32 * n
+        out += sizes.astype(np.uint64)
+        left = np.where(usual, ends - at, 0)
+        live = np.flatnonzero(left >= 8)
+        while len(live):
+            out[live] = _turn(out[live] ^ _round(words[at[live]]), 27) * _P1 + _P4
+            at[live] += 8
+            live = live[ends[live] - at[live] >= 8]
+        live = np.flatnonzero(usual & (ends - at >= 4))
+        out[live] = _turn(out[live] ^ halves[at[live]].astype(np.uint64) * _P1, 23) * _P2 + _P3
+        at[live] += 4
+        live = np.flatnonzero(usual & (ends > at))
+        while len(live):
+            out[live] = _turn(out[live] ^ data[at[live]].astype(np.uint64) * _P5, 11) * _P1
+            at[live] += 1
+            live = live[ends[live] > at[live]]
+        out = (out ^ (out >> np.uint64(33))) * _P2
+        out = (out ^ (out >> np.uint64(29))) * _P3
+        out ^= out >> np.uint64(32)
+    for k in np.flatnonzero(~usual).tolist():
+        out[k] = xxhash.xxh64_intdigest(data[starts[k] : ends[k]].tobytes(), seed)
+    return out
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 20240607) -> np.ndarray:
     """64-bit hashes of the byte spans [start, end) of data."""
+    return xxh64(data, starts, ends, seed)
+
+
+def equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the spans of these sizes at a and at b have the same bytes."""
+    eight, _ = _lanes(data)
+    short = np.minimum(sizes, 8)
     with np.errstate(over="ignore"):
-        prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_TABLE[data] * _powers("up", _BASE, max(1, len(data))), out=prefix[1:])
-        hashed = (prefix[ends] - prefix[starts]) * _powers("down", _INVERSE, len(data) + 1)[starts]
-        return mix(hashed + (ends - starts).astype(np.uint64))
+        differ = (eight[a] ^ eight[b]) << (np.uint64(8) * (8 - np.maximum(short, 1)).astype(np.uint64))
+    same = (differ == 0) | (sizes == 0)
+    more = np.flatnonzero(same & (sizes > 8))
+    back = np.minimum(sizes[more], 16) - 8
+    same[more] = eight[a[more] + back] == eight[b[more] + back]
+    more = np.flatnonzero(same & (sizes > 16))
+    for k in range(0, len(more), 100_000):
+        part = more[k : k + 100_000]
+        equal = data[ragged(a[part] + 16, sizes[part] - 16)] == data[ragged(b[part] + 16, sizes[part] - 16)]
+        behind = np.cumsum(sizes[part] - 16)
+        same[part] = np.logical_and.reduceat(equal, behind - (sizes[part] - 16))
+    return same
+
+
+def exact(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The hashes, changed where needed so that spans have equal ones only if their bytes are equal.
+
+    order sorts the hashes. If nothing needed a change, which is all but certain, the same array is returned.
+    """
+    a, b = order[:-1], order[1:]
+    at = np.flatnonzero(hashes[a] == hashes[b])
+    a, b = a[at], b[at]
+    size = (ends - starts)[a]
+    same = size == (ends - starts)[b]
+    same[same] = equal_spans(data, starts[a[same]], starts[b[same]], size[same])
+    if same.all():
+        return hashes
+    hashes, taken = hashes.copy(), set(hashes.tolist())
+    for h in np.unique(hashes[a[~same]]).tolist():
+        names: dict[bytes, int] = {}
+        for k in np.flatnonzero(hashes == np.uint64(h)).tolist():
+            raw = data[starts[k] : ends[k]].tobytes()
+            if raw not in names:
+                names[raw] = h if not names else next(x % (1 << 64) for x in range(h + 1, h + len(taken) + 2) if x % (1 << 64) not in taken)
+                taken.add(names[raw])
+            hashes[k] = names[raw]
+    return hashes
 
 
 _SPACE = np.zeros(256, bool)

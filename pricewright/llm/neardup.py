@@ -22,9 +22,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import gathered, lowered, mark, mix, one, only, partitions, span_hashes, stored, text_bytes, whole, word_spans
+from pricewright.llm.common import exact, gathered, lowered, mark, mix, one, only, partitions, span_hashes, stored, text_bytes, whole, word_spans
 
 WORDS = 5  # in a shingle
+SEEDS = (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 M, BANDS = 128, 32  # components; a pair of similarity 0.8 misses all bands of four with probability 5e-8
 SIMILAR = 0.8
 # Of 128 two-bit components, a pair of similarity 0.8 differs in 19 on average, with a deviation of 4.
@@ -37,7 +38,11 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Row and hash of every shingle. A text of one to four words is one shingle, a text without words has none."""
     data = lowered(data)
     starts, ends, before = word_spans(data, offsets)
-    words = span_hashes(data, starts, ends)
+    return chained(span_hashes(data, starts, ends), before)[:2]
+
+
+def chained(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash and first word of every shingle, from the words' hashes and the words before each row."""
     sizes = np.diff(before)
     row = np.repeat(np.arange(len(sizes)), sizes)
     with np.errstate(over="ignore"):
@@ -51,7 +56,33 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
             on = sizes[short] > k
             few[on] = mix(few[on] * _ODD + words[before[short[on]] + k])
         few = mix(few + np.uint64(1))
-    return np.concatenate([row[: len(whole)][inside], short]), np.concatenate([whole[inside], few])
+    at = np.concatenate([np.flatnonzero(inside), before[short]])
+    return np.concatenate([row[: len(whole)][inside], short]), np.concatenate([whole[inside], few]), at
+
+
+def exact_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and name of every shingle; names are equal for shingles of the same words, byte for byte, only."""
+    data, offsets = text_bytes(column)
+    data = lowered(data)
+    starts, ends, before = word_spans(data, offsets)
+    words = span_hashes(data, starts, ends)
+    words = exact(data, starts, ends, words, np.argsort(words))
+    row, names, at = chained(words, before)
+    order = np.argsort(names)
+    a, b = order[:-1], order[1:]
+    pair = np.flatnonzero(names[a] == names[b])
+    a, b = a[pair], b[pair]
+    size = np.minimum(np.diff(before), WORDS)
+    padded = np.append(words, np.zeros(WORDS, np.uint64))
+    same = size[row[a]] == size[row[b]]
+    for k in range(WORDS):
+        same &= (padded[at[a] + k] == padded[at[b] + k]) | (k >= size[row[a]])
+    if not same.all():
+        inside = np.arange(WORDS) < size[row][:, None]
+        tuples = np.where(inside, padded[at[:, None] + np.arange(WORDS)], np.uint64(0))
+        tuples = np.column_stack([tuples, size[row].astype(np.uint64)])
+        names = np.unique(tuples, axis=0, return_inverse=True)[1].ravel().astype(np.uint64)
+    return row, names
 
 
 def bags(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,9 +136,8 @@ def signed(docs: DataFrame) -> DataFrame:
         seen = TaskContext.get().partitionId() << 36
         for table in gathered(batches, "text", CHUNK):
             n = table.num_rows
-            at, hashes, counts = bags(*shingles(*text_bytes(one(table.column("text")))))
+            at, hashes, counts, keys = described(one(table.column("text")))
             times = signatures(at, hashes, counts, n)
-            keys = _keys(at, hashes, counts, n)
             with np.errstate(over="ignore"):
                 values = mix(times.view(np.uint64))
                 quads = values.reshape(n, BANDS, M // BANDS)
@@ -144,25 +174,31 @@ def _differences(a: str, b: str):
     return count
 
 
-def _keys(at: np.ndarray, hashes: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
-    """Two hashes of each row's multiset."""
-    keys = np.zeros((2, n), np.uint64)
+def described(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash and count of every different shingle, and two hashes of each row's multiset, from words hashed with
+    two seeds: different multisets have one and the same pair with a probability of 2^-128."""
+    data, offsets = text_bytes(column)
+    data = lowered(data)
+    starts, ends, before = word_spans(data, offsets)
+    keys = np.zeros((2, len(column)), np.uint64)
     with np.errstate(over="ignore"):
-        for k, salt in enumerate((0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)):
-            np.add.at(keys[k], at, mix(hashes ^ np.uint64(salt)) * counts.astype(np.uint64))
-    return keys
+        for key, seed in zip(keys, SEEDS, strict=True):
+            row, hashes, _ = chained(span_hashes(data, starts, ends, seed), before)
+            np.add.at(key, row, mix(hashes ^ np.uint64(seed)))
+    return *bags(row, hashes), keys
 
 
 def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """node, text for the nodes in wanted."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole())
-    known = wanted.join(nodes.select("node", "doc_id", "k1", "k2"), "node")
-    found = texts.join(known, texts["doc_id"].eqNullSafe(known["doc_id"])).select("node", "k1", "k2", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(), whole())
+    known = wanted.join(nodes.select("node", "doc_id", "mark", "k1", "k2"), "node")
+    same = texts["doc_id"].eqNullSafe(known["doc_id"]) & (texts["mark"] == known["mark"])
+    found = texts.join(known, same).select("node", "k1", "k2", "text")
 
     def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Drop texts of the same doc_id that are not the node's."""
         for table in gathered(batches, "text", CHUNK):
-            keys = _keys(*bags(*shingles(*text_bytes(one(table.column("text"))))), table.num_rows)
+            *_, keys = described(one(table.column("text")))
             own = [one(table.column(c)).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("k1", "k2")]
             same = (keys[0] == own[0]) & (keys[1] == own[1])
             yield from table.select(["node", "text"]).filter(pa.array(same)).to_batches()
@@ -202,8 +238,9 @@ def verified(pairs: DataFrame, own: DataFrame, similar: float = SIMILAR) -> Data
         for table in gathered(batches, "text", CHUNK // 2):
             a, b = (one(table.column(c)).to_numpy(zero_copy_only=False) for c in ("a", "b"))
             _, first, which = np.unique(b, return_index=True, return_inverse=True)
-            mine = _bag_list(one(table.column("text")))
-            others = _bag_list(one(table.column("other").take(pa.array(first))))  # once for each b
+            others = one(table.column("other").take(pa.array(first)))  # once for each b
+            both = _bag_list(pa.concat_arrays([one(table.column("text")), others]))
+            mine, others = both[: table.num_rows], both[table.num_rows :]
             shares = np.array([_similarity(x, others[k]) for x, k in zip(mine, which.tolist(), strict=True)])
             ok = shares >= similar
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok]), pa.array(shares[ok])], ["a", "b", "similarity"])
@@ -215,10 +252,12 @@ def verified(pairs: DataFrame, own: DataFrame, similar: float = SIMILAR) -> Data
 
 def _bag_list(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """Sorted shingles and counts of each row."""
-    at, hashes, counts = bags(*shingles(*text_bytes(column)))
-    order = np.lexsort((hashes, at))
-    hashes, counts = hashes[order], counts[order]
-    edges = np.searchsorted(at[order], np.arange(len(column) + 1)).tolist()
+    row, names = exact_shingles(column)
+    order = np.lexsort((names, row))
+    row, names = row[order], names[order]
+    first = np.flatnonzero(np.append(True, (names[1:] != names[:-1]) | (row[1:] != row[:-1]))) if len(row) else row
+    hashes, counts = names[first], np.diff(np.append(first, len(row)))
+    edges = np.searchsorted(row[first], np.arange(len(column) + 1)).tolist()
     return [(hashes[a:b], counts[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
@@ -300,9 +339,9 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     no rows.
     """
     rows = stored(signed(docs))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "mark")).alias("first")
     same = rows.groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("size").alias("size"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(4)])
-    nodes = stored(same.withColumn("node", F.col("first.row")).withColumn("doc_id", F.col("first.doc_id")))
+    nodes = stored(same.withColumn("node", F.col("first.row")).withColumns({"doc_id": F.col("first.doc_id"), "mark": F.col("first.mark")}))
     banded = nodes.select(F.explode("bands").alias("key"), "node")
     sizes = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     shared = stored(banded.join(sizes, "key"))

@@ -18,11 +18,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import gathered, lowered, one, partitions, stored, text_bytes, whole, word_spans
+from pricewright.llm.common import gathered, lowered, one, partitions, stored, text_bytes, whole, word_spans, xxh64
 from pricewright.llm.neardup import components
 
 WORDS = 3  # in a shingle
@@ -30,71 +29,12 @@ SEED = 42
 NEAR = 3  # differing bits
 CHUNK = 4_000_000  # bytes of text
 SPANS = 400_000  # hashed at a time
-LONG = 1024  # bytes; longer spans are hashed one by one
 PAIRWISE = 1024  # fingerprints of a bucket that are compared pair by pair
 ROWS = 200_000  # variants taken together in a task
 
-# The multipliers of XXH64.
-_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()  # a byte's bits in eight bytes
 
 
-def _turn(x: np.ndarray, bits: int) -> np.ndarray:
-    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
-
-
-def _round(lane: np.ndarray) -> np.ndarray:
-    return _turn(lane * _P2, 31) * _P1
-
-
-def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """XXH64 of the byte spans [start, end) of data, unsigned; all spans advance together, lane by lane."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from every place on
-    halves = np.ndarray(len(data) + 1, "<u4", padded, strides=(1,))
-    sizes = ends - starts
-    with np.errstate(over="ignore"):
-        s = np.uint64(seed)
-        out = np.full(len(starts), s + _P5, np.uint64)
-        at = starts.copy()
-        usual = sizes <= LONG
-        striped = np.flatnonzero((sizes >= 32) & usual)
-        if len(striped):
-            lanes = [np.full(len(striped), v, np.uint64) for v in (s + _P1 + _P2, s + _P2, s, s - _P1)]
-            live, n = np.arange(len(striped)), sizes[striped] // 32
-            for k in range(int(n.max())):
-                live = live[n[live] > k]
-                place = starts[striped[live]] + 32 * k
-                for j, v in enumerate(lanes):
-                    v[live] = _turn(v[live] + words[place + 8 * j] * _P2, 31) * _P1
-            h = _turn(lanes[0], 1) + _turn(lanes[1], 7) + _turn(lanes[2], 12) + _turn(lanes[3], 18)
-            for v in lanes:
-                h = (h ^ _round(v)) * _P1 + _P4
-            out[striped] = h
-            at[striped] += 32 * n
-        out += sizes.astype(np.uint64)
-        left = np.where(usual, ends - at, 0)
-        live = np.flatnonzero(left >= 8)
-        while len(live):
-            out[live] = _turn(out[live] ^ _round(words[at[live]]), 27) * _P1 + _P4
-            at[live] += 8
-            live = live[ends[live] - at[live] >= 8]
-        live = np.flatnonzero(usual & (ends - at >= 4))
-        out[live] = _turn(out[live] ^ halves[at[live]].astype(np.uint64) * _P1, 23) * _P2 + _P3
-        at[live] += 4
-        live = np.flatnonzero(usual & (ends > at))
-        while len(live):
-            out[live] = _turn(out[live] ^ data[at[live]].astype(np.uint64) * _P5, 11) * _P1
-            at[live] += 1
-            live = live[ends[live] > at[live]]
-        out = (out ^ (out >> np.uint64(33))) * _P2
-        out = (out ^ (out >> np.uint64(29))) * _P3
-        out ^= out >> np.uint64(32)
-    for k in np.flatnonzero(~usual).tolist():
-        out[k] = xxhash.xxh64_intdigest(data[starts[k] : ends[k]].tobytes(), seed)
-    return out
-
-
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words joined by single blanks, and row, start and end of each shingle in them. Fewer words are one shingle."""
     starts, ends, before = word_spans(data, offsets)
@@ -122,7 +62,7 @@ def fingerprints(column: pa.Array) -> np.ndarray:
     joined, row, starts, ends = shingles(lowered(data), offsets)
     ones = np.zeros((len(column), 64), np.int64)
     for k in range(0, len(row), SPANS):
-        rows, hashes = row[k : k + SPANS], xxh64(joined, starts[k : k + SPANS], ends[k : k + SPANS])
+        rows, hashes = row[k : k + SPANS], xxh64(joined, starts[k : k + SPANS], ends[k : k + SPANS], SEED)
         # Runs of one row and at most 255 hashes, whose bits are counted in bytes.
         begins = np.flatnonzero(np.diff(rows, prepend=-1))
         nth = np.arange(len(rows)) - np.repeat(begins, np.diff(np.append(begins, len(rows))))

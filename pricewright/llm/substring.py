@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import _INVERSE, _powers, fresh, gathered, mark, mix, one, partitions, ragged, span_hashes, stored, text_bytes, whole, word_spans
+from pricewright.llm.common import exact, fresh, gathered, mark, mix, one, partitions, ragged, span_hashes, stored, text_bytes, whole, word_spans
 from pricewright.llm.fmindex import FMIndex
 
 WINDOW, GRAM = 50, 25
@@ -32,13 +32,20 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of n words in a row, from one array of prefix hashes."""
+    """Hashes of n words in a row, put together from those of 1, 2, 4, ... words."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
+    out, reach, part, size = np.zeros(len(words), np.uint64), 0, words, 1
     with np.errstate(over="ignore"):
-        prefix = np.zeros(len(words) + 1, np.uint64)
-        np.cumsum(words * _powers("up", _ODD, len(words)), out=prefix[1:])
-        return mix((prefix[n:] - prefix[:-n]) * _powers("down", _INVERSE, len(words) + 1)[: len(words) - n + 1])
+        while True:
+            if n & size:
+                most = len(words) - reach - size + 1
+                out = mix(out[:most] * _ODD + part[reach : reach + most])
+                reach += size
+            if reach == n:
+                return out
+            part = mix(part[:-size] * _ODD + part[size:])
+            size *= 2
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -54,12 +61,16 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Words:
-    """The words of several texts: their hashes, where each text's begin, and their windows' keys."""
+    """The words of several texts: their hashes, where each text's begin, and their windows' keys.
 
-    def __init__(self, column: pa.Array):
+    names are the hashes, but equal only for words of the same bytes.
+    """
+
+    def __init__(self, column: pa.Array, named: bool = False):
         self.data, offsets = text_bytes(column)
         self.starts, self.ends, self.before = word_spans(self.data, offsets)
         self.hashes = span_hashes(self.data, self.starts, self.ends)
+        self.names = exact(self.data, self.starts, self.ends, self.hashes, np.argsort(self.hashes)) if named else self.hashes
         self.sizes = np.diff(self.before)
         self.row = np.repeat(np.arange(len(self.sizes)), self.sizes)
 
@@ -205,23 +216,40 @@ class Shard:
     def __init__(self):
         self.parts: list[tuple] = []
         self.size = 0
-
-    def add(self, hashes: np.ndarray, sizes: np.ndarray, docs: np.ndarray, info: list) -> None:
-        self.parts.append((hashes, sizes, docs, info))
-        self.size += len(hashes)
+        self.known: dict[int, bytes] = {}
+
+    def add(self, words: Words, first: np.ndarray, sizes: np.ndarray, docs: np.ndarray, info: list) -> None:
+        """Runs of words: the places of their first ones, and how many they are."""
+        at = ragged(first, sizes)
+        self.parts.append((words.hashes[at], sizes, docs, info, self._named(words, at)))
+        self.size += len(at)
+
+    def _named(self, words: Words, at: np.ndarray) -> np.ndarray:
+        """Names of the words, equal in the whole shard for the same bytes only."""
+        names = words.names[at]
+        different, some = np.unique(names, return_index=True)
+        for name, k in zip(different.tolist(), at[some].tolist(), strict=True):
+            raw = words.data[words.starts[k] : words.ends[k]].tobytes()
+            own = name
+            while self.known.setdefault(own, raw) != raw:
+                own = (own + 1) % (1 << 64)
+            if own != name:
+                names = np.where(words.names[at] == np.uint64(name), np.uint64(own), names)
+        return names
 
     def search(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
         """Place of every window, its run, whether an earlier document has it; and what was given for the runs."""
-        hashes, sizes, docs = (np.concatenate(x) for x in list(zip(*self.parts, strict=True))[:3])
-        info = [x for p in self.parts for x in p[3]]
-        index = FMIndex(hashes, sizes, docs, WINDOW)
+        _, sizes, docs, info, names = zip(*self.parts, strict=True)
+        sizes, docs, names = (np.concatenate(x) for x in (sizes, docs, names))
+        info = [x for part in info for x in part]
+        index = FMIndex(names, sizes, docs, WINDOW)
         starts = np.cumsum(sizes) - sizes
         windows = np.maximum(sizes - WINDOW + 1, 0)
         pieces = -(-windows // PIECE)
         run = np.repeat(np.arange(len(sizes)), pieces)
         nth = np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         size = np.minimum(windows[run] - nth * PIECE, PIECE) + WINDOW - 1
-        place, owner = index.earliest(hashes, starts[run] + nth * PIECE, size)
+        place, owner = index.earliest(names, starts[run] + nth * PIECE, size)
         order = np.argsort(place)
         place, owner = place[order], owner[order]
         of = np.searchsorted(starts, place, side="right") - 1
@@ -260,7 +288,7 @@ def repeated(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
         """Settle what an earlier document of this task has; send the rest to the shards, by key."""
         shard = Shard()
         for table in gathered(batches, "text", CHUNK):
-            words = Words(one(table.column("text")))
+            words = Words(one(table.column("text")), named=True)
             doc, tag, start, windows = (one(table.column(c)).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark", "start", "windows"))
             ok = np.ones(int(windows.sum()), bool)
             before = np.cumsum(windows) - windows
@@ -279,7 +307,7 @@ def repeated(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
             first = words.before[run] + place
             sizes = many + WINDOW - 1
             info = [(int(doc[r]), int(tag[r]), int(start[r] + p), words.starts[f : f + n], words.ends[f : f + n], words.data) for r, p, f, n in zip(run, place, first, sizes, strict=True)]
-            shard.add(words.hashes[ragged(first, sizes)], sizes, doc[run], info)
+            shard.add(words, first, sizes, doc[run], info)
             if shard.size >= most:
                 yield from _out(settled(shard))
                 shard = Shard()
@@ -310,7 +338,7 @@ def repeated(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
         """All runs of a key meet here; an index holds whole keys."""
         shard, last = Shard(), None
         for table in gathered(batches, "text", CHUNK):
-            words = Words(one(table.column("text")))
+            words = Words(one(table.column("text")), named=True)
             doc, tag, start, key = (one(table.column(c)).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark", "start", "key"))
             edges = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]).tolist()
             for a, b in zip(edges, edges[1:], strict=False):
@@ -318,8 +346,7 @@ def repeated(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
                     yield from _out(searched(shard))
                     shard = Shard()
                 last = key[a]
-                low, high = words.before[a], words.before[b]
-                shard.add(words.hashes[low:high], words.sizes[a:b], doc[a:b], list(zip(doc[a:b].tolist(), tag[a:b].tolist(), start[a:b].tolist(), strict=True)))
+                shard.add(words, words.before[a:b], words.sizes[a:b], doc[a:b], list(zip(doc[a:b].tolist(), tag[a:b].tolist(), start[a:b].tolist(), strict=True)))
         if shard.size:
             yield from _out(searched(shard))
 

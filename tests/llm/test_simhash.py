@@ -40,7 +40,7 @@ def test_hashes_match_the_library():
     data = np.frombuffer(b"".join(spans), np.uint8)
     ends = np.cumsum([len(s) for s in spans])
     starts = ends - np.array([len(s) for s in spans])
-    got = simhash.xxh64(data, starts, ends)
+    got = simhash.xxh64(data, starts, ends, 42)
     assert got.tolist() == [xxhash.xxh64_intdigest(s, 42) for s in spans]
 
 
