@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
+import itertools
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewright.operators.ranked import MAX_GROUP_VALUES, group_medians, reliable, running_total
+from pricewright.operators.search import Encoding, TreeModel, boost_predictions, coded, fit_boost, fit_forest, forest_predictions, scores
 
 SKU, LABEL, FOLD = "sku_pk", "quantity", "fold"
 
@@ -28,9 +25,6 @@ FOLDS, FOLD_SEED, MODEL_SEED = 5, 42, 17
 FOREST_GRID = {"trees": [50, 100], "depth": [10, 20, 35, None], "leaf": [5, 7, 10, 15, 20, 25]}
 BOOST_GRID = {"trees": [50, 100], "depth": [10, 20, 35], "rate": [0.01, 0.1, 0.2], "subsample": [0.8, 1.0]}
 
-# Spark's deepest tree; deeper or unlimited settings map to it.
-DEEPEST = 30
-
 
 def sku_codes(df: DataFrame, key: str = SKU) -> DataFrame:
     """(key, code): dense codes from 0 in sorted order, -1 for null.
@@ -109,102 +103,31 @@ class ForecastEvaluator(Evaluator):
         return self.metric != "smape"
 
 
-def fit_preparation(df: DataFrame, categorical_only: bool = False) -> PipelineModel:
-    """Encode categories (unseen ones are all zeros) and append the numeric columns."""
-    indexed = [f"_i_{c}" for c in CATEGORICAL]
-    hot = [f"_o_{c}" for c in CATEGORICAL]
-    stages, inputs, data = [], list(hot), df
-    steps = [
-        StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
-    ]
-    if not categorical_only:
-        filled = [f"_f_{c}" for c in NUMERIC]
-        steps.append(Imputer(inputCols=NUMERIC, outputCols=filled))
-        inputs += filled
-    for step in steps:
-        stages.append(step.fit(data))
-        data = stages[-1].transform(data)
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    return PipelineModel(stages)
-
-
-def _depths(values: list) -> list[int]:
-    return sorted({min(DEEPEST, v or DEEPEST) for v in values})
-
-
-def forest_grid(grid: dict = FOREST_GRID):
-    model = RandomForestRegressor(labelCol=LABEL, featureSubsetStrategy="all", seed=MODEL_SEED)
-    params = (
-        ParamGridBuilder()
-        .addGrid(model.numTrees, grid["trees"])
-        .addGrid(model.maxDepth, _depths(grid["depth"]))
-        .addGrid(model.minInstancesPerNode, grid["leaf"])
-    )
-    return model, params.build()
+def _search(df: DataFrame, grid: dict, names: list[str], predictions, refit, folds: int, categorical_only: bool) -> tuple[TreeModel, list[dict]]:
+    """(model refitted on all rows with the best SMAPE, mean scores per grid point)."""
+    encoding = Encoding.fit(df, CATEGORICAL, [] if categorical_only else NUMERIC)
+    rows = coded(df, encoding, LABEL, FOLD)
+    predicted = reliable(predictions(rows, encoding.features, grid, folds, MODEL_SEED))
+    found = scores(rows, predicted, PREDICTORS)
+    report = []
+    for k, values in enumerate(itertools.product(*[grid[n] for n in names])):
+        smapes, r2 = zip(*[fold[k] for fold in found], strict=True)
+        adjusted = sum(r2) / len(r2) if all(v is not None for v in r2) else None
+        report.append({**dict(zip(names, values, strict=True)), "smape": sum(smapes) / len(smapes), "adjusted_r2": adjusted})
+    best = min(report, key=lambda r: r["smape"])
+    base, trees = refit(rows, encoding.features, *[best[n] for n in names], MODEL_SEED)
+    return TreeModel(encoding, trees, base), report
 
 
-def boost_grid(grid: dict = BOOST_GRID):
-    model = GBTRegressor(labelCol=LABEL, seed=MODEL_SEED)
-    params = (
-        ParamGridBuilder()
-        .addGrid(model.maxIter, grid["trees"])
-        .addGrid(model.maxDepth, _depths(grid["depth"]))
-        .addGrid(model.stepSize, grid["rate"])
-        .addGrid(model.subsamplingRate, grid["subsample"])
-    )
-    return model, params.build()
+def rf_tune(df: DataFrame, grid: dict = FOREST_GRID, folds: int = FOLDS, categorical_only: bool = True) -> tuple[TreeModel, list[dict]]:
+    """Forests: bootstrapped rows, all features at every split, the mean of a leaf's rows."""
+    fit = lambda *args: (0.0, fit_forest(*args))
+    return _search(df, grid, ["trees", "depth", "leaf"], forest_predictions, fit, folds, categorical_only)
 
 
-def grid_search(
-    model, grid: list, df: DataFrame, folds: int = FOLDS, categorical_only: bool = False, parallelism: int = 4
-) -> tuple[PipelineModel, list[dict]]:
-    """(model refitted on all rows with the best SMAPE, mean scores per grid point).
-
-    The folds are frozen first. Categories are encoded once per fold on its training rows;
-    every grid point then fits on the same cached vectors, several at a time.
-    """
-    numeric = reliable(df.withColumn(LABEL, F.col(LABEL).cast("double")))
-    scores = [[] for _ in grid]
-    for fold in range(folds):
-        train, held = numeric.where(F.col(FOLD) != fold), numeric.where(F.col(FOLD) == fold)
-        prep = fit_preparation(train, categorical_only)
-        train = prep.transform(train).select("features", LABEL).persist()
-        held = prep.transform(held).select("features", LABEL).persist()
-
-        def score(i: int):
-            predicted = model.fit(train, grid[i]).transform(held)
-            row = predicted.agg(
-                smape_expr(LABEL, "prediction").alias("smape"),
-                adjusted_r2_expr(LABEL, "prediction").alias("adjusted_r2"),
-            ).first()
-            scores[i].append(row)
-
-        with ThreadPool(min(parallelism, len(grid))) as pool:
-            pool.map(score, range(len(grid)))
-        train.unpersist()
-        held.unpersist()
-    report = [
-        {
-            **{p.name: v for p, v in point.items()},
-            "smape": sum(r.smape for r in rows) / folds,
-            "adjusted_r2": sum(r.adjusted_r2 for r in rows) / folds
-            if all(r.adjusted_r2 is not None for r in rows) else None,
-        }
-        for point, rows in zip(grid, scores)
-    ]
-    best = min(range(len(grid)), key=lambda i: report[i]["smape"])
-    prep = fit_preparation(numeric, categorical_only)
-    fitted = model.fit(prep.transform(numeric).select("features", LABEL), grid[best])
-    return PipelineModel([*prep.stages, fitted]), report
-
-
-def rf_tune(df: DataFrame, grid: dict = FOREST_GRID, **options) -> tuple[PipelineModel, list[dict]]:
-    return grid_search(*forest_grid(grid), df, **options)
-
-
-def boost_tune(df: DataFrame, grid: dict = BOOST_GRID, **options) -> tuple[PipelineModel, list[dict]]:
-    return grid_search(*boost_grid(grid), df, **options)
+def boost_tune(df: DataFrame, grid: dict = BOOST_GRID, folds: int = FOLDS, categorical_only: bool = True) -> tuple[TreeModel, list[dict]]:
+    """Second-order boosting from the mean label, with L2 and a least weight of 1 in a leaf."""
+    return _search(df, grid, ["trees", "depth", "rate", "subsample"], boost_predictions, fit_boost, folds, categorical_only)
 
 
 def sku_scenario(df: DataFrame, new_prices: DataFrame, max_rows: int = MAX_GROUP_VALUES, stored: bool = False) -> DataFrame:
@@ -255,7 +178,7 @@ def _scenario_by_value(known: DataFrame, mean: list[Column], max_values: int) ->
     )
 
 
-def forecast(model: PipelineModel, scenario: DataFrame) -> DataFrame:
+def forecast(model: TreeModel, scenario: DataFrame) -> DataFrame:
     """Scenario rows with the predicted quantity; null for a SKU without a planned price.
 
     The price is a predictor, and filling a missing one with the mean price of all SKUs would

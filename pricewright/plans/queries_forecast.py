@@ -8,13 +8,10 @@ from pricewright.operators import dedup, forecast
 from pricewright.operators.forecast import CATEGORICAL, MEAN_COLUMNS, MEDIAN_COLUMNS
 from pricewright.operators.hygiene import null_default
 from pricewright.operators.ranked import reliable
+from pricewright.operators.search import Encoding, TreeModel, coded, fit_boost
 from pricewright.plans.registry import query
 from pricewright.plans.sample import model_input, read, text
 
-# Smaller than the documented grids (48 and 36 points), which take hours here; the search itself is the same.
-SMALL_FOREST = {"trees": [5, 10], "depth": [4, 6], "leaf": [10]}
-SMALL_BOOST = {"trees": [4, 8], "depth": [3], "rate": [0.1, 0.2], "subsample": [0.8]}
-
 INPUT_SQL = """input AS (
   SELECT CAST(l_partkey AS VARCHAR) AS sku_pk, p_type AS sku_cat, p_brand AS prod_cd,
     coalesce(nullif(o_orderstatus, 'P'), 'Other') AS proj_type, l_extendedprice AS price,
@@ -168,31 +165,121 @@ def adjusted_r2(spark, sf_dir):
     return out.withColumn("adjusted_r2", F.round("adjusted_r2", 6))
 
 
-FORECAST_SQL = """
-WITH known AS (SELECT min(l_quantity) AS least, max(l_quantity) AS most FROM lineitem)
-SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS sku_pk, p_type <> 'PROMO' AS priced, true AS plausible
-FROM lineitem JOIN part ON l_partkey = p_partkey, known"""
+CELLS_SQL = f"""{INPUT_SQL}, base AS (SELECT avg(quantity) AS mean FROM input),
+cells AS (SELECT {", ".join(CATEGORICAL)}, count(*)::DOUBLE AS h, sum(quantity) AS s FROM input GROUP BY ALL)"""
+LONG_CELLS = " UNION ALL ".join(f"SELECT {{keep}}, {k} AS j, {c} AS v, h, g FROM {{cells}}" for k, c in enumerate(CATEGORICAL))
+VALUE_OF = "CASE best.j " + " ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(CATEGORICAL)) + " END IS NOT DISTINCT FROM best.v"
+
+
+def _best_sql(name, cells, keep, least):
+    """The best split of every node (column ``keep``) of cells with h and g: the largest gain, then the first column."""
+    return f"""{name}_long AS ({LONG_CELLS.format(keep=keep, cells=cells)}),
+{name}_all AS (SELECT {keep}, sum(h) AS hh, sum(g) AS gg FROM {cells} GROUP BY {keep}),
+{name} AS (SELECT {keep}, j, v FROM (
+    SELECT {keep}, j, v, round(gl ** 2 / (hl + 1) + (gg - gl) ** 2 / (hh - hl + 1) - gg ** 2 / (hh + 1), 4) AS gain
+    FROM (SELECT {keep}, j, v, sum(h) AS hl, sum(g) AS gl FROM {name}_long WHERE v IS NOT NULL GROUP BY ALL) JOIN {name}_all USING ({keep})
+    WHERE hl >= {least} AND hh - hl >= {least})
+  WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY {keep} ORDER BY gain DESC, j, v) = 1)"""
+
+
+def _leaf_sql(sums):
+    return f"round(-{sums}.gg / ({sums}.hh + 1), 6)"
+
+
+def _coded(spark, sf_dir):
+    data = model_input(spark, sf_dir).withColumn(forecast.FOLD, F.lit(0))
+    encoding = Encoding.fit(data, CATEGORICAL, [])
+    return data, encoding, coded(data, encoding, forecast.LABEL, forecast.FOLD)
+
+
+@query("boost_first_round", f"""
+WITH {CELLS_SQL}, c0 AS (SELECT cells.*, h * mean - s AS g, 0 AS node FROM cells, base), {_best_sql("best0", "c0", "node", 1)},
+c1 AS (SELECT c0.* REPLACE (CASE WHEN {VALUE_OF} THEN 1 ELSE 2 END AS node) FROM c0, best0 AS best), {_best_sql("best1", "c1", "node", 1)},
+c2 AS (SELECT c1.* REPLACE (CASE WHEN {VALUE_OF} THEN 1 + 2 * c1.node ELSE 2 + 2 * c1.node END AS node) FROM c1 JOIN best1 AS best USING (node)),
+best2_all AS (SELECT node, sum(h) AS hh, sum(g) AS gg FROM c2 GROUP BY node),
+nodes AS (SELECT node, j, v, {_leaf_sql("best0_all")} AS value FROM best0_all LEFT JOIN best0 USING (node)
+  UNION ALL SELECT node, j, v, {_leaf_sql("best1_all")} FROM best1_all LEFT JOIN best1 USING (node)
+  UNION ALL SELECT node, NULL, NULL, {_leaf_sql("best2_all")} FROM best2_all)
+SELECT node, {CATEGORICAL!r}[j + 1] AS split, v AS category, value FROM nodes""")
+def boost_first_round(spark, sf_dir):
+    """The first tree of boosting, two levels deep: what its nodes split on, and their values."""
+    _, encoding, rows = _coded(spark, sf_dir)
+    _, (tree,) = fit_boost(rows, encoding.features, 1, 2, 1.0, 1.0, forecast.MODEL_SEED)
+    nodes = []
+    for k, (j, code, value) in enumerate(zip(tree.feature.tolist(), tree.code.tolist(), tree.value.tolist(), strict=True)):
+        split = CATEGORICAL[j] if j >= 0 else None
+        nodes.append((k, split, encoding.values[split][code - 1] if split else None, value))
+    found = spark.createDataFrame(nodes, "node int, split string, category string, value double")
+    return found.withColumn("value", F.round("value", 6))
+
+
+ROUNDS, RATE = 3, 0.5
+
+
+def _stumps_sql():
+    parts = ["c0 AS (SELECT cells.*, mean AS p, 0 AS node FROM cells, base)", "f0 AS (SELECT modes.*, mean AS p FROM modes, base)"]
+    for r in range(ROUNDS):
+        parts.append(f"g{r} AS (SELECT *, h * p - s AS g FROM c{r})")
+        parts.append(_best_sql(f"b{r}", f"g{r}", "node", 1))
+        side = f"sum(g) FILTER ({{}}{VALUE_OF}) / (sum(h) FILTER ({{}}{VALUE_OF}) + 1)"
+        parts.append(f"w{r} AS (SELECT best.j, best.v, {side.format('', '')} AS yes, {side.format('NOT ', 'NOT ')} AS no FROM g{r}, b{r} AS best GROUP BY best.j, best.v)")
+        moved = f"p - {RATE}::DOUBLE * CASE WHEN {VALUE_OF} THEN yes ELSE no END"
+        parts.append(f"c{r + 1} AS (SELECT c{r}.* REPLACE ({moved} AS p) FROM c{r}, w{r} AS best)")
+        parts.append(f"f{r + 1} AS (SELECT f{r}.* REPLACE ({moved} AS p) FROM f{r}, w{r} AS best)")
+    joined = " ".join(f"JOIN m_{c} USING (sku_pk)" for c in CATEGORICAL[1:])
+    return f"""
+WITH {CELLS_SQL}, {_modes_sql()}, modes AS (SELECT * FROM m_{CATEGORICAL[0]} {joined}), {", ".join(parts)}
+SELECT sku_pk, CASE WHEN p_type <> 'PROMO' THEN round(p, 6) END AS forecast_quantity
+FROM f{ROUNDS} JOIN part ON sku_pk = CAST(p_partkey AS VARCHAR)"""
+
+
+@query("boost_stumps", _stumps_sql())
+def boost_stumps(spark, sf_dir):
+    """The forecast of every SKU at its planned price, from three rounds of one split each."""
+    data, encoding, rows = _coded(spark, sf_dir)
+    base, trees = fit_boost(rows, encoding.features, ROUNDS, 1, RATE, 1.0, forecast.MODEL_SEED)
+    scenario = forecast.sku_scenario(data, planned_prices(spark, sf_dir))
+    found = forecast.forecast(TreeModel(encoding, trees, base), scenario)
+    return found.select("sku_pk", F.round("forecast_quantity", 6).alias("forecast_quantity"))
 
 
-def _forecast(spark, sf_dir, tune, grid, slack):
-    """One row per SKU; a forecast only at a planned price, between the quantities seen (trees average them)."""
+def _folded(spark, sf_dir):
     data = reliable(with_ids(model_input(spark, sf_dir)))
-    folded = forecast.stratified_folds(data, forecast.SKU, IDS).drop(*IDS)
-    model, report = tune(folded, grid, folds=forecast.FOLDS)
-    assert len(report) == len({tuple(sorted((k, v) for k, v in r.items() if k not in ("smape", "adjusted_r2"))) for r in report}) > 1
+    return data, forecast.stratified_folds(data, forecast.SKU, IDS).drop(*IDS)
+
+
+def _forecast(spark, sf_dir, tune):
+    """One row per SKU: the planned price and the forecast of the model that the whole search picks."""
+    data, folded = _folded(spark, sf_dir)
+    model, _ = tune(folded)
     scenario = forecast.sku_scenario(data, planned_prices(spark, sf_dir), stored=True)
-    least, most = data.agg(F.min("quantity"), F.max("quantity")).first()
-    room = (most - least) * slack
-    priced = F.col("price").isNotNull()
-    plausible = F.when(priced, F.col("forecast_quantity").between(least - room, most + room)).otherwise(F.col("forecast_quantity").isNull())
-    return forecast.forecast(model, scenario).select("sku_pk", priced.alias("priced"), plausible.alias("plausible"))
+    return forecast.forecast(model, scenario).select("sku_pk", "price", "forecast_quantity")
 
 
-@query("rf_forecast", FORECAST_SQL)
+def _report(spark, sf_dir, tune):
+    _, report = tune(_folded(spark, sf_dir)[1])
+    rows = [{**r, "depth": None if r["depth"] is None else int(r["depth"])} for r in report]
+    kinds = {"trees": "int", "depth": "int", "leaf": "int"}
+    return spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{k} {kinds.get(k, 'double')}" for k in rows[0]))
+
+
+@query("rf_forecast")
 def rf_forecast(spark, sf_dir):
-    return _forecast(spark, sf_dir, forecast.rf_tune, SMALL_FOREST, 0)
+    return _forecast(spark, sf_dir, forecast.rf_tune)
 
 
-@query("boost_forecast", FORECAST_SQL)
+@query("boost_forecast")
 def boost_forecast(spark, sf_dir):
-    return _forecast(spark, sf_dir, forecast.boost_tune, SMALL_BOOST, 0.1)
+    return _forecast(spark, sf_dir, forecast.boost_tune)
+
+
+@query("rf_search")
+def rf_search(spark, sf_dir):
+    """The scores of all 48 points."""
+    return _report(spark, sf_dir, forecast.rf_tune)
+
+
+@query("boost_search")
+def boost_search(spark, sf_dir):
+    """The scores of all 36 points."""
+    return _report(spark, sf_dir, forecast.boost_tune)

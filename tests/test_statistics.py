@@ -129,9 +129,6 @@ def test_scores(spark):
     assert got == pytest.approx(1 - (1 - r2) * 49 / (50 - 22 - 1))
 
 
-def test_unlimited_depth_maps_to_the_deepest():
-    assert forecast._depths([10, 20, 35, None]) == [10, 20, 30]
-
 
 def test_scenario_of_large_groups_is_the_same(spark):
     rng = random.Random(4)
