@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricewright.functions.stats import Z_95, t_rows, weight_rows
-from pricewright.operators import clusters, features, profile
+from pricewright.operators import batched, features, profile
 from pricewright.operators.clusters import LABEL
 from pricewright.operators.features import metric_columns, slug
 from pricewright.operators.ranked import reliable
@@ -155,6 +157,49 @@ def normality_test(spark, sf_dir):
     return nudged(profile.normality_test(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS))
 
 
+def _below_sql(z):
+    """Standard normal distribution, by its series."""
+    step = f"lambda s, k: {{{{'t': s.t * {z} ** 2 / (2 * k.t + 1), 's': s.s + s.t * {z} ** 2 / (2 * k.t + 1)}}}}".replace("{{", "{").replace("}}", "}")
+    terms = "list_transform(range(1, 91), lambda i: {'t': i::DOUBLE, 's': 0::DOUBLE})"
+    return f"(0.5 + exp(-({z}) ** 2 / 2) / sqrt(2 * pi()) * list_reduce([{{'t': {z}, 's': {z}}}] || {terms}, {step}).s)"
+
+
+# A quantile of the normal distribution by a rational approximation and one step of Halley's method.
+QUANTILE_SQL = f"""sizes AS (SELECT unnest(range(10, 100)) AS n), places AS (SELECT n, unnest(range(1, n + 1)) AS pos FROM sizes),
+shares AS (SELECT n, pos, (pos - 0.375::DOUBLE) / (n + 0.25::DOUBLE) AS q FROM places),
+sides AS (SELECT *, least(q, 1 - q) AS low FROM shares), roots AS (SELECT *, sqrt(-2 * ln(low)) AS r, low - 0.5 AS c FROM sides),
+rough AS (SELECT *, CASE WHEN low < 0.02425 THEN
+  (((((-7.784894002430293e-03 * r - 3.223964580411365e-01) * r - 2.400758277161838) * r - 2.549732539343734) * r + 4.374664141464968) * r
+    + 2.938163982698783) / ((((7.784695709041462e-03 * r + 3.224671290700398e-01) * r + 2.445134137142996) * r + 3.754408661907416) * r + 1)
+  ELSE (((((-3.969683028665376e+01 * c * c + 2.209460984245205e+02) * c * c - 2.759285104469687e+02) * c * c + 1.383577518672690e+02) * c * c
+    - 3.066479806614716e+01) * c * c + 2.506628277459239) * c / (((((-5.447609879822406e+01 * c * c + 1.615858368580409e+02) * c * c
+    - 1.556989798598866e+02) * c * c + 6.680131188771972e+01) * c * c - 1.328068155288572e+01) * c * c + 1) END AS z FROM roots),
+off AS (SELECT *, ({_below_sql("z")} - low) * sqrt(2 * pi()) * exp(z * z / 2) AS e FROM rough),
+scores AS (SELECT n, pos, CASE WHEN q > 0.5 THEN -1 ELSE 1 END * (z - e / (1 + z * e / 2)) AS m FROM off),
+ends AS (SELECT n, sum(m * m) AS ss, max(m) AS m1, max(m) FILTER (pos = n - 1) AS m2, 1 / sqrt(n) AS u FROM scores GROUP BY n),
+outer_weights AS (SELECT *, m1 / sqrt(ss) + 0.221157 * u - 0.147981 * u ** 2 - 2.071190 * u ** 3 + 4.434685 * u ** 4 - 2.706056 * u ** 5 AS a1,
+  m2 / sqrt(ss) + 0.042981 * u - 0.293762 * u ** 2 - 1.752461 * u ** 3 + 5.682633 * u ** 4 - 3.582633 * u ** 5 AS a2 FROM ends),
+own_weights AS (SELECT n, pos, CASE pos WHEN 1 THEN -a1 WHEN 2 THEN -a2 WHEN n THEN a1 WHEN n - 1 THEN a2
+  ELSE m / sqrt((ss - 2 * m1 ** 2 - 2 * m2 ** 2) / (1 - 2 * a1 ** 2 - 2 * a2 ** 2)) END AS a FROM scores JOIN outer_weights USING (n))"""
+
+
+@query("normality_p_values", f"""
+WITH {FEATURES_SQL}, {LONG_SQL.format(group=BOTH)}, {QUANTILE_SQL},
+placed AS (SELECT *, row_number() OVER (PARTITION BY grp, metric ORDER BY v) AS pos, count(*) OVER (PARTITION BY grp, metric) AS n FROM long),
+shape AS (SELECT grp, metric, n, coalesce(sum(a * v) ** 2 / nullif(var_pop(v) * n, 0), 1) AS w
+  FROM placed JOIN own_weights USING (n, pos) GROUP BY grp, metric, n),
+scored AS (SELECT *, ln(n) AS x, ln(CASE WHEN w < 1 THEN 1 - w END) AS away FROM shape),
+z AS (SELECT *, CASE WHEN n < 12 THEN (-ln(-2.273 + 0.459 * n - away) - (0.5440 - 0.39978 * n + 0.025054 * n ** 2 - 0.0006714 * n ** 3))
+    / exp(1.3822 - 0.77857 * n + 0.062767 * n ** 2 - 0.0020322 * n ** 3)
+  ELSE (away - (-1.5861 - 0.31082 * x - 0.083751 * x ** 2 + 0.0038915 * x ** 3)) / exp(-0.4803 - 0.082676 * x + 0.0030302 * x ** 2) END AS z
+  FROM scored),
+near AS (SELECT *, greatest(least(z, 7), -7) AS zz FROM z)
+SELECT grp, metric, n, round(w + 1e-9, 6) AS w, round(CASE WHEN w >= 1 THEN 1 ELSE 1 - {_below_sql("zz")} END, 6) AS p FROM near""")
+def normality_p_values(spark, sf_dir):
+    found = profile.normality_p_values(_grouped(spark, sf_dir, small=True), "grp", SHOWN_METRICS)
+    return found.select("grp", "metric", "n", F.round(F.col("w") + NUDGE, 6).alias("w"), F.round("p", 6).alias("p"))
+
+
 @query("category_share", """
 SELECT n_name, coalesce(seg, 'None') || ' category %' AS category,
   CAST(CAST(round_even(count(*) / sum(count(*)) OVER (PARTITION BY n_name) * 100, 1) AS DECIMAL(30, 1)) AS VARCHAR) || '%'
@@ -254,63 +299,94 @@ def apply_tier_names(spark, sf_dir):
     return named.select("customer", F.col("grp").alias("tier"))
 
 
+START, ROUNDS = 4, 2  # clusters that begin with the first customers by name, and rounds
+
+
+def _lloyd_sql():
+    """Standardized metrics in long form; centers c0, c1, ... and the labels by each."""
+    long = " UNION ALL ".join(f"SELECT customer, {k} AS m, CASE WHEN s_{m} = 0 THEN 0 ELSE ({m} - m_{m}) / s_{m} END AS v FROM feats, stats" for k, m in enumerate(METRICS))
+    parts = [
+        "stats AS (SELECT " + ", ".join(f"avg({m}) AS m_{m}, stddev_pop({m}) AS s_{m}" for m in METRICS) + " FROM feats)",
+        f"pts AS ({long})",
+        f"first AS (SELECT customer, row_number() OVER (ORDER BY customer) - 1 AS c FROM feats ORDER BY customer LIMIT {START})",
+        "c0 AS (SELECT c, m, v FROM first JOIN pts USING (customer))",
+    ]
+    for r in range(ROUNDS + 1):
+        parts.append(f"d{r} AS (SELECT customer, c, sum((pts.v - c{r}.v) ** 2) AS d FROM pts JOIN c{r} USING (m) GROUP BY customer, c)")
+        parts.append(f"l{r} AS (SELECT customer, arg_min(c, (round(d, 9), c)) AS label, min(d) AS d FROM d{r} GROUP BY customer)")
+        parts.append(f"c{r + 1} AS (SELECT label AS c, m, avg(v) AS v FROM pts JOIN l{r} USING (customer) GROUP BY label, m)")
+    return f"WITH {FEATURES_SQL}, {', '.join(parts)} SELECT customer, label, round(d, 6) AS distance FROM l{ROUNDS}"
+
+
+def _points(spark, sf_dir):
+    """customer, x (standardized metrics), h, cust_cat."""
+    scaled = features.standardize(customer_inputs(spark, sf_dir), METRICS)
+    return reliable(scaled.select("customer", F.array(*METRICS).alias("x"), F.xxhash64("customer").alias("h"), "cust_cat"))
+
+
+@query("kmeans_rounds", _lloyd_sql())
+def kmeans_rounds(spark, sf_dir):
+    """Labels, and squared distances to the centers, after two rounds from stated centers."""
+    points = _points(spark, sf_dir)
+    centers = np.array([r.x for r in points.orderBy("customer").select("x").limit(START).collect()])
+    (fit,) = batched.lloyd(points, [batched.Fit(START, 0, centers)], 0, ROUNDS)
+    found = batched.labelled(points, [fit]).withColumn("label", F.col("labels")[0].cast("long"))
+    at = F.element_at(F.array(*[F.array(*map(F.lit, c)) for c in fit.centers.tolist()]), F.col("labels")[0] + 1)
+    apart = F.aggregate(F.zip_with("x", at, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
+    return found.select("customer", "label", F.round(apart, 6).alias("distance"))
+
+
+@query("silhouettes", f"""
+WITH {FEATURES_SQL}, stats AS (SELECT {", ".join(f"avg({m}) AS m_{m}, stddev_pop({m}) AS s_{m}" for m in METRICS)} FROM feats),
+pts AS (SELECT customer, [{", ".join(f"({m} - m_{m}) / s_{m}" for m in METRICS)}] AS x, cust_cat, day_tenure > m_day_tenure AS old FROM feats, stats),
+pairs AS (SELECT a.customer, a.cust_cat AS cat, b.cust_cat AS other_cat, a.old, b.old AS other_old, list_distance(a.x, b.x) AS d FROM pts a, pts b),
+lab AS (SELECT 'category' AS grouping, customer, cat::VARCHAR AS own, other_cat::VARCHAR AS other, sum(d) AS s, count(*) AS n FROM pairs GROUP BY ALL
+  UNION ALL SELECT 'tenure', customer, old::VARCHAR, other_old::VARCHAR, sum(d), count(*) FROM pairs GROUP BY ALL),
+ab AS (SELECT grouping, customer, max(s / greatest(n - 1, 1)) FILTER (own = other) AS a, max(n) FILTER (own = other) AS size,
+  min(s / n) FILTER (own <> other) AS b FROM lab GROUP BY grouping, customer)
+SELECT grouping, round(avg(CASE WHEN size > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) + 1e-9, 6) AS score FROM ab GROUP BY grouping""")
+def silhouettes(spark, sf_dir):
+    """Euclidean silhouettes of two given groupings: by category, and by a tenure above the mean."""
+    points = _points(spark, sf_dir)
+    rank = F.dense_rank().over(Window.orderBy("cust_cat")) - 1
+    places = points.select("cust_cat").distinct().withColumn("rank", rank)
+    of = F.array(F.col("rank"), (F.col("x")[0] > 0).cast("int"))
+    labelled = reliable(points.join(F.broadcast(places), "cust_cat").select("customer", "x", of.alias("labels")))
+    scores = batched.silhouettes(labelled, [places.count(), 2])
+    found = spark.createDataFrame(list(zip(["category", "tenure"], scores, strict=True)), "grouping string, score double")
+    return found.withColumn("score", F.round(F.col("score") + NUDGE, 6))
+
+
 def _tiers(result):
     return result.customers.select("customer", F.col(f"`{LABEL}`").alias("tier"), "cust_cat", "day_tenure")
 
 
 # The documented search: k from 3 to 10, 17 restarts of each.
-CHECKED = """SELECT count(DISTINCT o_custkey) AS customers, true AS once, true AS k_in_range, true AS large_enough,
-  true AS names_follow_the_rule, true AS lookup_whole FROM orders JOIN lineitem ON l_orderkey = o_orderkey"""
-
-
-def checked(result: segmentation.Segmentation, least: int):
-    """What holds for any fit: every customer once, k in range, no cluster too small, tiers named by the rule."""
-    people = reliable(result.customers)
-    metrics = metric_columns(people.drop(LABEL))
-    sizes = people.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
-    profiled = result.profile.select(F.col("CustTier").alias("tier")).distinct()
-    stray = people.join(profiled, F.col(f"`{LABEL}`") == F.col("tier"), "left_anti")
-    lookup = clusters.assignment_lookup(people)
-    return people.agg(F.count(F.lit(1)).alias("customers"), (F.count(F.lit(1)) == F.countDistinct("customer")).alias("once")).select(
-        "*",
-        F.lit(3 <= result.k <= 10 and len(metrics) > 2).alias("k_in_range"),
-        F.lit(sizes.agg(F.min("n")).first()[0] >= least).alias("large_enough"),
-        F.lit(stray.isEmpty() and profiled.count() <= 4).alias("names_follow_the_rule"),
-        F.lit(lookup.count() == people.count()).alias("lookup_whole"),
-    )
-
-
-@query("kmeans_tiers", CHECKED)
+@query("kmeans_tiers")
 def kmeans_tiers(spark, sf_dir):
-    return checked(segmentation.segment_kmeans(customer_inputs(spark, sf_dir)), clusters.MIN_SIZE)
+    return _tiers(segmentation.segment_kmeans(customer_inputs(spark, sf_dir)))
 
 
 @query("kmeans_profile")
 def kmeans_profile(spark, sf_dir):
-    """The statistics per cluster; every k, with two restarts."""
-    return segmentation.segment_kmeans(customer_inputs(spark, sf_dir), restarts=2).profile
+    """The statistics per cluster."""
+    return segmentation.segment_kmeans(customer_inputs(spark, sf_dir)).profile
 
 
-@query("gmm_tiers", CHECKED)
+@query("gmm_tiers")
 def gmm_tiers(spark, sf_dir):
-    """Every k, with two restarts of each: a mixture takes several times as long to fit."""
-    return checked(segmentation.segment_gmm(customer_inputs(spark, sf_dir), restarts=2), 1)
+    return _tiers(segmentation.segment_gmm(customer_inputs(spark, sf_dir)))
 
 
-@query("segmentation_job", """
-WITH n AS (SELECT count(DISTINCT o_custkey) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
-SELECT 'kMeans_custTier_output' AS name, n AS customers, true AS whole FROM n
-UNION ALL SELECT 'kMeans_custTier_profile_statistics', n, true FROM n
-UNION ALL SELECT 'gmm_custTier_output', n, true FROM n UNION ALL SELECT 'gmm_custTier_profile_statistics', n, true FROM n""")
+@query("segmentation_job")
 def segmentation_job(spark, sf_dir):
-    """All four tables, from a search over two k with two restarts; the whole search is in the queries above."""
-    few = {"ks": [3, 4], "restarts": 2}
-    out = segmentation.segmentation_job(customer_inputs(spark, sf_dir), kmeans=few, gmm=few)
+    """The customers of both output tables, with their tiers, and the mean of a metric from the profiles beside them."""
+    out = segmentation.segmentation_job(customer_inputs(spark, sf_dir))
     rows = None
-    for name, table in out.items():
-        people = out[name.split("_")[0] + "_custTier_output"]
-        tiers = people.select(F.col(f"`{LABEL}`").alias("t")).distinct() if name.endswith("output") else table.select(F.col("CustTier").alias("t"))
-        known = tiers.agg((F.count(F.lit(1)).between(1, 4) & (F.count_if(~F.col("t").isin(profile.TIERS)) == 0)).alias("whole"))
-        one = people.agg(F.count(F.lit(1)).alias("customers")).join(known, F.lit(True)).select(F.lit(name).alias("name"), "customers", "whole")
+    for name in ("kMeans", "gmm"):
+        people, profiled = out[f"{name}_custTier_output"], out[f"{name}_custTier_profile_statistics"]
+        tiers = profiled.groupBy("CustTier").agg(F.count(F.lit(1)).alias("clusters"), F.avg("`day_tenure (mue)`").alias("tenure"))
+        one = people.join(F.broadcast(tiers), F.col(f"`{LABEL}`") == F.col("CustTier"))
+        one = one.select(F.lit(name).alias("model"), "customer", F.col("CustTier").alias("tier"), "clusters", "tenure")
         rows = one if rows is None else rows.unionByName(one)
     return rows

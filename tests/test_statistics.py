@@ -149,8 +149,8 @@ def test_scenario_of_large_groups_is_the_same(spark):
 
 def test_unsettled_clusters_are_reported(spark):
     points = features.prepare_features(blobs(spark, [14, 3]))
-    with pytest.warns(UserWarning, match="still moves"):
-        clusters.kmeans_min_size(points, 3, size_min=5, restarts=1, rounds=1)
+    with pytest.warns(UserWarning, match="still move"):
+        clusters.kmeans_min_size(points, 3, size_min=5, restarts=1, iterations=1)
 
 
 def test_standardize_with_a_constant(spark):
