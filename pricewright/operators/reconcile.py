@@ -3,7 +3,8 @@
 The stored table is assumed to be far larger than the batch. Every operator first narrows
 the table to the batch's keys with an inner or semi join in which the batch is the build
 side, so a small batch is broadcast (by runtime size) and the table is scanned without a
-shuffle of its rows. Only matched keys travel on.
+shuffle of its rows. Only matched keys travel on. A batch that is too large to broadcast goes
+ahead as a Bloom filter of its keys, so that the table's other rows drop out at the scan.
 
 ``nullable`` names the key columns that can hold nulls: those compare null-safe, the
 others with plain equality, which lets the joins share one hash partitioning.
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.operators.hygiene import with_load_ts
+from pricewright.operators.probe import flagged, narrowed, needed
 
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
@@ -33,9 +35,12 @@ def _target_keys(target: DataFrame, keys: list[str], *more: Column) -> DataFrame
     return target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], *more)
 
 
-def new_rows_only(source: DataFrame, target: DataFrame, keys: list[str], nullable: list[str] | None = None) -> DataFrame:
-    """Source rows whose key the target does not hold."""
+def new_rows_only(
+    source: DataFrame, target: DataFrame, keys: list[str], nullable: list[str] | None = None, probe: bool | None = None
+) -> DataFrame:
+    """Source rows whose key the target does not hold. ``probe``: see ``probe.narrowed``."""
     cond = _match(keys, nullable)
+    target = narrowed(target, source, keys, probe)
     known = _target_keys(target, keys).join(source.select(*keys), cond, "left_semi").distinct()
     return source.join(known, cond, "left_anti")
 
@@ -58,6 +63,7 @@ def upsert_split(
     tracked: str,
     guard: str,
     nullable: list[str] | None = None,
+    probe: bool | None = None,
 ) -> DataFrame:
     """Source rows with an ``action``: insert (new key), update (tracked value moved), unchanged.
 
@@ -68,6 +74,7 @@ def upsert_split(
     if guard not in ("source", "target"):
         raise ValueError(f"guard must be 'source' or 'target', not {guard!r}")
     cond = _match(keys, nullable)
+    target = narrowed(target, source, keys, probe)
     stored = _target_keys(target, keys, F.col(tracked).alias("_old"))
     batch = source.select(*keys, F.col(tracked).alias("_new"))
     moved = ~F.col("_new").eqNullSafe(F.col("_old")) & F.col("_new" if guard == "source" else "_old").isNotNull()
@@ -105,7 +112,7 @@ def upsert_files(
     steps = source.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(batch, *columns))).alias("_steps"))
     # A struct keeps a null value, which collect_set alone would skip.
     values = (
-        _target_keys(target, keys, F.struct(F.col(tracked).alias("v")).alias("_old"))
+        _target_keys(narrowed(target, source, keys), keys, F.struct(F.col(tracked).alias("v")).alias("_old"))
         .join(source.select(*keys).distinct(), cond, "inner")
         .groupBy(*[f"_t_{k}" for k in keys])
         .agg(F.collect_set("_old").alias("_olds"))
@@ -138,11 +145,18 @@ def upsert_files(
     return folded.select(*rows.values(), F.col("_end.action").alias("action"))
 
 
-def apply_updates(target: DataFrame, updates: DataFrame, keys: list[str], set_columns: list[str]) -> DataFrame:
+def apply_updates(
+    target: DataFrame, updates: DataFrame, keys: list[str], set_columns: list[str], probe: bool | None = None
+) -> DataFrame:
     """Set columns where the key matches; plain equality, so null keys never match.
 
-    ``updates`` must hold one row per key.
+    ``updates`` must hold one row per key. Where they are too many to broadcast, only the rows whose
+    key they may hold are joined; the others pass as they are, from a scan of their own.
     """
+    if needed(updates) if probe is None else probe:
+        parts = flagged(target, updates, keys)
+        joined = apply_updates(parts.where("_may").drop("_may"), updates, keys, set_columns, probe=False)
+        return joined.unionByName(parts.where("not _may").drop("_may"))
     new = updates.select(
         *[F.col(k).alias(f"_t_{k}") for k in keys],
         *[F.col(c).alias(f"_n_{c}") for c in set_columns],

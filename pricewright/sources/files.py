@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pricewright.operators.hygiene import period_bounds
+from pricewright.sources.quoted import read_quoted
 
 FORMATS = ("csv", "parquet", "json", "orc")
 
@@ -18,8 +19,9 @@ FORMATS = ("csv", "parquet", "json", "orc")
 FILE_ORDER = ["_file", "_block", "_row"]
 
 
-# Cells may hold quoted newlines and doubled quotes. Such a file is read by one task;
-# multiLine="false" splits large files whose cells are known to have no newlines. A cell that
+# Cells may hold quoted newlines and doubled quotes. Such a file is read by one task, unless
+# it is read with ``split``; multiLine="false" splits large files whose cells are known to have no
+# newlines. A cell that
 # is no number where one is declared, or a row of another width, fails the read instead of
 # becoming nulls; rows are split whole, so that their width shows whatever is selected.
 CSV = {
@@ -70,12 +72,15 @@ def read_flat(
     now: datetime | None = None,
     tz: str = "UTC",
     glob: str | None = None,
+    split: bool = False,
     **options,
 ) -> DataFrame:
     """Rows of a file (or folder) under a declared schema, with their position.
 
     A missing path, a stale file or an unknown format gives no rows. The freshness gate and
     the glob act on the file listing, before anything is opened. CSV settings: see ``CSV``.
+    ``split`` reads a large CSV file in many tasks although its cells hold line ends; quotes
+    must then stand around whole cells.
     """
     if fmt not in FORMATS:
         return _empty(spark, schema)
@@ -83,6 +88,8 @@ def read_flat(
     if glob:
         settings["pathGlobFilter"] = glob
     try:
+        if split and fmt == "csv":
+            return read_quoted(spark, path, schema, settings, settings["header"] == "true")
         df = spark.read.format(fmt).schema(schema).options(**settings).load(path)
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pricewright.operators import dedup, hygiene, pricing
+from pricewright.operators import dedup, hygiene, pricing, probe, reconcile
+from pricewright.operators.ranked import reliable
 from pricewright.plans.catalog import QUERIES
 from pricewright.plans.sample import read
 from pricewright.schemas import SALES
@@ -107,3 +108,66 @@ def test_a_sales_file_reads_only_its_months(spark):
     assert "PartitionFilters: [isnotnull(_part" in text
     assert read_table(spark, "sales_p", table=SALES, parts=("2024-02", "2024-02")).count() == 1
     spark.sql("DROP TABLE sales_p")
+
+
+@pytest.fixture
+def never_broadcast(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+
+
+def shuffled_rows(df):
+    """Rows that each exchange of the executed plan wrote, the exchanges of broadcasts left out."""
+    df.write.format("noop").mode("overwrite").save()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "Exchange":
+            found.append(int(node.metrics().apply("shuffleRecordsWritten").value()))
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    df.collect()
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_a_large_batch_does_not_shuffle_the_stored_table(spark, never_broadcast):
+    stored = reliable(spark.range(100_000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("s"), F.lit(1).alias("v")))
+    batch = reliable(spark.range(0, 200_000, 100).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("s"), F.lit(2).alias("v")))
+    split = reconcile.upsert_split(batch, stored, ["k", "s"], "v", "source")
+    assert {r.action: r.n for r in split.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()} == {"insert": 1000, "update": 1000}
+    assert "BroadcastHashJoin" in plan(split) and max(shuffled_rows(split)) < 5_000
+    new = reconcile.new_rows_only(batch, stored, ["k", "s"])
+    assert new.count() == 1000 and max(shuffled_rows(new)) < 5_000
+    state = reconcile.apply_updates(stored, batch, ["k", "s"], ["v"])
+    assert state.groupBy().agg(F.count(F.lit(1)), F.sum("v")).first()[:] == (100_000, 101_000)
+    assert max(shuffled_rows(state)) < 5_000
+    plain = reconcile.apply_updates(stored, batch, ["k", "s"], ["v"], probe=False)
+    assert max(shuffled_rows(plain)) >= 100_000
+
+
+def test_a_small_batch_is_not_probed(spark):
+    stored, batch = reliable(spark.range(1000).withColumnRenamed("id", "k")), reliable(spark.range(10).withColumnRenamed("id", "k"))
+    assert not probe.needed(batch) and "xxhash64" not in plan(reconcile.new_rows_only(batch, stored, ["k"]))
+
+
+def test_a_filter_never_loses_a_key(spark):
+    rows = [(None if k % 7 == 0 else k, None if k % 5 == 0 else f"s{k}", float(k)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "k long, s string, f double")
+    batch = df.where("k % 3 = 0 or k is null")
+    may = probe.narrowed(df, batch, ["k", "s", "f"], probe=True)
+    kept = {tuple(r) for r in may.collect()}
+    assert {tuple(r) for r in batch.collect()} <= kept and len(kept) < 1700
+    other = batch.withColumn("k", F.col("k").cast("string"))
+    assert probe.narrowed(df, other, ["k"], probe=True).count() == 3000
+    assert probe.narrowed(df, batch.limit(0), ["k"], probe=True).count() == 0

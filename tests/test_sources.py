@@ -1,4 +1,6 @@
+import csv
 import os
+import random
 from datetime import date, datetime, timezone
 
 import pytest
@@ -42,6 +44,55 @@ def test_quoted_newlines_and_doubled_quotes(spark, tmp_path):
     assert rows == [("x\ny", 1), ('say "hi"', 2), ("a,b", 3), (None, 4)]
 
 
+@pytest.fixture
+def small_blocks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def cells(seed, n):
+    """Cells with line ends, quotes and commas; some longer than several blocks."""
+    rng = random.Random(seed)
+    for i in range(n):
+        text = "".join(rng.choice(["a", "é", "\n", '"', ",", " ", '""', "\n\n"]) for _ in range(rng.randrange(12)))
+        yield (text * (400 if i % 97 == 5 else 1) or None, i)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_split_files_give_the_rows_of_whole_ones(spark, tmp_path, small_blocks, seed):
+    for name, n in (("a.csv", 400), ("b.csv", 3), ("c.csv", 0)):
+        with open(tmp_path / name, "w", newline="") as f:
+            out = csv.writer(f, lineterminator="\n")
+            out.writerow(["k", "v"])
+            out.writerows(cells(seed, n))
+            f.write("\n" * (seed == 1))
+    whole = files.read_flat(spark, str(tmp_path), SCHEMA)
+    split = files.read_flat(spark, str(tmp_path), SCHEMA, split=True)
+    show = lambda df: sorted((r._file, r.v, r.k) for r in df.collect())
+    assert show(split) == show(whole) and split.count() == 403
+    placed = sorted(split.where("_file = 'a.csv'").collect(), key=lambda r: [r[c] for c in files.FILE_ORDER])
+    assert [r.v for r in placed] == list(range(400))
+    assert len({r._block for r in placed}) > 10
+    last = {r.k: r.v for r in keep_last(split.where("_file = 'a.csv'"), ["k"], files.FILE_ORDER).collect()}
+    assert last == {k: v for k, v in cells(seed, 400)}
+
+
+def test_split_files_with_carriage_returns_and_without_a_header(spark, tmp_path, small_blocks):
+    (tmp_path / "a.csv").write_bytes(b"".join(b'"x %d ""y""",%d\r\n' % (i, i) for i in range(200)))
+    split = files.read_flat(spark, str(tmp_path), SCHEMA, split=True, header="false")
+    assert sorted((r.v, r.k) for r in split.collect()) == [(i, f'x {i} "y"') for i in range(200)]
+
+
+@pytest.mark.parametrize("line", ["x,one", "x", "x,1,2", 'x 12" y,1'])
+def test_malformed_rows_fail_a_split_read(spark, tmp_path, line):
+    write(tmp_path / "a.csv", f"k,v\ny,1\n{line}\nz,2\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        files.read_flat(spark, str(tmp_path / "a.csv"), SCHEMA, split=True).collect()
+
+
 @pytest.mark.parametrize("line", ["x,one", "x", "x,1,2"])
 def test_malformed_rows_fail_the_read(spark, tmp_path, line):
     write(tmp_path / "a.csv", f"k,v\ny,1\n{line}\n")
