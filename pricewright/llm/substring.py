@@ -28,6 +28,7 @@ CHUNK = 4_000_000
 SHARD = 1_500_000  # words in an index, or one key's
 HOT = 64  # documents that make a key hot; any number gives the same result
 PIECE = 256  # windows of a run that are searched in one go
+PACKED, OWNED = 100_000, 500_000  # windows in a row that asks, and with an owner
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -104,19 +105,17 @@ def _told(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return at, asks, np.concatenate([np.repeat(number, size)[twice], number])
 
 
-def _answers(told: DataFrame, hot: int | None = None) -> DataFrame:
-    """key, owner, place of everything that occurs more than once; with ``hot``, whether that many owners have it.
+def _answers(told: DataFrame, hot: int) -> DataFrame:
+    """key, owner of everything that occurs more than once, and whether ``hot`` owners have it.
 
     A key has one asking row for each task.
     """
-    asks = told.where("asks").groupBy("key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("owner", "place")).alias("of"))
-    many, known = asks.where("n > 1"), told.where("not asks").select("key", "owner", "place")
-    if hot is None:
-        return many.select("key", F.explode("of").alias("x")).select("key", "x.owner", "x.place").unionAll(known)
+    asks = told.where("asks").groupBy("key").agg(F.sum("n").alias("n"), F.collect_list("owner").alias("of"))
+    many, known = asks.where("n > 1"), told.where("not asks").select("key", "owner")
     many = stored(many.withColumn("hot", F.col("n") >= hot))
-    answered = many.select("key", "hot", F.explode("of").alias("x")).select("key", "x.owner", "x.place", "hot")
+    answered = many.select("key", F.explode("of").alias("owner"), "hot")
     flagged = known.join(many.where("hot").select("key", "hot"), "key", "left")
-    return answered.unionAll(flagged.select("key", "owner", "place", F.coalesce("hot", F.lit(False)).alias("hot")))
+    return answered.unionAll(flagged.select("key", "owner", F.coalesce("hot", F.lit(False)).alias("hot")))
 
 
 def suspect_keys(rows: DataFrame, hot: int = HOT) -> DataFrame:
@@ -140,7 +139,7 @@ def suspect_keys(rows: DataFrame, hot: int = HOT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[k].view(np.int64)), pa.array(owners[k]), pa.array(asks[z]), pa.array(n[z].astype(np.int32))], ["key", "owner", "asks", "n"])
 
     told = stored(rows.select("doc_id", "text").mapInArrow(run, "key long, owner long, asks boolean, n int"))
-    found = _answers(told.withColumn("place", F.lit(0)), hot)
+    found = _answers(told, hot)
     of_hot = F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot")
     return found.groupBy(F.col("owner").alias("doc_id")).agg(F.collect_set("key").alias("keys"), of_hot)
 
@@ -156,7 +155,8 @@ def _among(key: np.ndarray, row: np.ndarray, lists: pa.ListArray) -> np.ndarray:
 
 def runs(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Runs of windows with a suspect key: run (unique), doc_id, mark, start, windows, text, doubt (where hot keys begin
-    and end). And rows that ask for the windows under hot keys: run, place, key, asks, n."""
+    and end). And what a task has to say of the windows under hot keys, in few rows: for each run the places of
+    windows that the task has twice (sure), and lists of its different windows with run and place (ask)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 36
@@ -178,7 +178,7 @@ def runs(rows: DataFrame, keys: DataFrame) -> DataFrame:
             doc, tag = (one(table.column(c)).to_numpy(zero_copy_only=False)[words.row[first]] for c in ("doc_id", "mark"))
             which, place = np.repeat(np.arange(len(first)), windows)[hot], (at - np.repeat(first, windows))[hot]
             if len(which):
-                asked.append((_grams(words.hashes, WINDOW)[at[hot]], run[which], place, doc[which]))
+                asked.append((_grams(words.hashes, WINDOW)[at[hot]], run[which], place))
             of, low, many = _spans(place, which)
             ends = np.stack([low, low + many], axis=1).ravel().astype(np.int32)
             doubt = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(2 * np.bincount(of, minlength=len(first)))), pa.int32()), pa.array(ends))
@@ -187,11 +187,16 @@ def runs(rows: DataFrame, keys: DataFrame) -> DataFrame:
             columns = {"run": run, "doc_id": doc, "mark": tag, "start": start, "windows": windows}
             yield _row("run", {k: pa.array(v) for k, v in columns.items()} | {"text": pa.array(texts, pa.binary()).cast(pa.string()), "doubt": doubt})
         if asked:
-            hashes, run, place, doc = (np.concatenate(x) for x in zip(*asked, strict=True))
-            at, asks, n = _told(hashes, doc)
-            for a in range(0, len(at), 50_000):
-                k, z = at[a : a + 50_000], slice(a, a + 50_000)
-                yield _row("ask", {"run": pa.array(run[k]), "key": pa.array(hashes[k].view(np.int64)), "place": pa.array(place[k].astype(np.int32)), "asks": pa.array(asks[z]), "n": pa.array(n[z].astype(np.int32))})
+            hashes, run, place = (np.concatenate(x) for x in zip(*asked, strict=True))
+            order = np.argsort(hashes, kind="stable")
+            hashes, run, place = hashes[order], run[order], place[order]
+            first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+            many = np.diff(np.append(first, len(hashes)))
+            twice = np.repeat(many > 1, many)
+            for part in _by_run(run[twice], place[twice]):
+                yield _row("sure", part)
+            run = np.where(many > 1, -1, run[first])  # settled here, but others must hear of it
+            yield from (_row("ask", part) for part in _packed(hashes[first].view(np.int64), run, place[first]))
 
     joined = rows.join(keys, "doc_id").select("doc_id", "mark", "text", "keys", "hot")
     return joined.mapInArrow(find, ", ".join(f"{k} {v}" for k, v, _ in _RUN))
@@ -199,17 +204,70 @@ def runs(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 _RUN = [
     ("kind", "string", pa.string()), ("run", "long", pa.int64()), ("doc_id", "long", pa.int64()), ("mark", "long", pa.int64()), ("start", "long", pa.int64()),
-    ("windows", "long", pa.int64()), ("text", "string", pa.string()), ("doubt", "array<int>", pa.list_(pa.int32())), ("key", "long", pa.int64()),
-    ("place", "int", pa.int32()), ("asks", "boolean", pa.bool_()), ("n", "int", pa.int32()),
+    ("windows", "long", pa.int64()), ("text", "string", pa.string()), ("doubt", "array<int>", pa.list_(pa.int32())),
+    ("keys", "array<long>", pa.list_(pa.int64())), ("runs", "array<long>", pa.list_(pa.int64())), ("places", "array<int>", pa.list_(pa.int32())),
 ]
 
 
 def _row(kind: str, columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    n = len(columns["run"])
+    n = len(next(iter(columns.values())))
     given = columns | {"kind": pa.array([kind] * n, pa.string())}
     return pa.RecordBatch.from_arrays([given[k] if k in given else pa.nulls(n, t) for k, _, t in _RUN], [k for k, _, _ in _RUN])
 
 
+def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values, kind))
+
+
+def _by_run(run: np.ndarray, place: np.ndarray) -> Iterator[dict[str, pa.Array]]:
+    """A row for each run, with its places."""
+    order = np.argsort(run, kind="stable")
+    run, place = run[order], place[order]
+    first = np.flatnonzero(np.append(True, run[1:] != run[:-1])) if len(run) else run
+    if len(first):
+        yield {"run": pa.array(run[first]), "places": _lists(place, np.diff(np.append(first, len(run))), pa.int32())}
+
+
+def _packed(keys: np.ndarray, runs: np.ndarray, places: np.ndarray) -> Iterator[dict[str, pa.Array]]:
+    """Rows of up to PACKED windows."""
+    for a in range(0, len(keys), PACKED):
+        z, n = slice(a, a + PACKED), np.array([min(PACKED, len(keys) - a)])
+        yield {"keys": _lists(keys[z], n, pa.int64()), "runs": _lists(runs[z], n, pa.int64()), "places": _lists(places[z], n, pa.int32())}
+
+
+def shared_windows(asks: DataFrame, owned: int) -> DataFrame:
+    """run, places: the windows, of packed lists in which a task has each different one once, that another task has too.
+
+    The lists are cut by owner, and an owner has about ``owned`` windows, so there are never more rows than windows.
+    """
+    total = asks.agg(F.sum(F.size("keys"))).first()[0] or 0
+    owners = max(1, -(-total // owned))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                keys, runs, places = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in ("keys", "runs", "places"))
+                owner = (mix(keys.view(np.uint64)) % np.uint64(owners)).astype(np.int64)
+                order = np.argsort(owner, kind="stable")
+                sizes = np.bincount(owner, minlength=owners)
+                some = np.flatnonzero(sizes)
+                lists = [_lists(x[order], sizes[some], t) for x, t in ((keys, pa.int64()), (runs, pa.int64()), (places, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([pa.array(some), *lists], ["owner", "keys", "runs", "places"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        keys, runs, places = (one(table.column(c)).flatten().to_numpy(zero_copy_only=False) for c in ("keys", "runs", "places"))
+        order = np.argsort(keys)
+        same = keys[order][1:] == keys[order][:-1]
+        shared = np.zeros(len(keys), bool)
+        shared[order] = np.append(False, same) | np.append(same, False)
+        shared &= runs >= 0
+        rows = next(_by_run(runs[shared], places[shared]), {"run": pa.array([], pa.int64()), "places": pa.array([], pa.list_(pa.int32()))})
+        return pa.table(rows)
+
+    dealt = asks.select("keys", "runs", "places").mapInArrow(deal, "owner long, keys array<long>, runs array<long>, places array<int>")
+    return dealt.groupBy("owner").applyInArrow(answer, "run long, places array<int>")
+
+
 class Shard:
     """Runs of words that are indexed together and searched for windows of earlier documents."""
 
@@ -280,8 +338,8 @@ def repeated(docs: DataFrame, hot: int = HOT, most: int = SHARD) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole()).where("doc_id is not null")
     rows = rows.select("doc_id", "text", mark())
     found = stored(runs(rows, suspect_keys(rows, hot)))
-    told = found.where("kind = 'ask'").select("key", F.col("run").alias("owner"), "place", "asks", "n")
-    sure = _answers(told).groupBy(F.col("owner").alias("run")).agg(F.collect_set("place").alias("places"))
+    sure = found.where("kind = 'sure'").select("run", "places").unionAll(shared_windows(found.where("kind = 'ask'"), OWNED))
+    sure = sure.groupBy("run").agg(F.flatten(F.collect_list("places")).alias("places"))
     sure = found.where("kind = 'run'").select("run", "doc_id", "mark", "start", "windows", "text", "doubt").join(sure, "run", "left")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

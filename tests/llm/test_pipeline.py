@@ -64,5 +64,5 @@ def test_queries_with_sql(spark):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert BYTE_BPE
