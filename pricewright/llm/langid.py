@@ -112,15 +112,16 @@ def train(words: list[list[str]], labels: list[int], n_labels: int, lexicon: np.
     ids, counts, _ = features(names, lexicon)
     owner = np.repeat(np.arange(len(names)), counts)
     t = min(LENGTH, len(at))
-    b = len(at) // t
-    at, target = at[: b * t].reshape(b, t), target[: b * t].reshape(b, t)
+    b = -(-len(at) // t)
+    total = len(at)
+    on = (np.arange(b * t) < total).reshape(b, t)  # the last sequence ends where the words end
+    at, target = (np.append(x, np.zeros(b * t - total, np.int64)).reshape(b, t) for x in (at, target))
     seen = np.zeros((n_labels, n_labels))
-    np.add.at(seen, (target[:, :-1].ravel(), target[:, 1:].ravel()), 1.0)
+    np.add.at(seen, (target[:, :-1][on[:, 1:]], target[:, 1:][on[:, 1:]]), 1.0)
     gold = np.zeros((len(names), n_labels))
-    np.add.at(gold, (at.ravel(), target.ravel()), 1.0)
+    np.add.at(gold, (at[on], target[on]), 1.0)
     weights, moves = weights.astype(float), moves.astype(float)
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, moves)]
-    total = b * t
     for step in range(1, steps + 1):
         score = emissions(ids, counts, weights)
         psi = np.exp(score - score.max(axis=1, keepdims=True))[at]
@@ -134,12 +135,12 @@ def train(words: list[list[str]], labels: list[int], n_labels: int, lexicon: np.
         pairs = np.zeros_like(moves)
         for k in range(t - 1, 0, -1):
             x = psi[:, k] * g[:, k]
-            both = (f[:, k - 1].T @ (x / ((f[:, k - 1] @ jump) * x).sum(axis=1, keepdims=True))) * jump
-            pairs += both
-            y = x @ jump.T
+            both = x / ((f[:, k - 1] @ jump) * x).sum(axis=1, keepdims=True) * on[:, k, None]
+            pairs += (f[:, k - 1].T @ both) * jump
+            y = np.where(on[:, k, None], x @ jump.T, 1.0)
             g[:, k - 1] = y / y.sum(axis=1, keepdims=True)
         share = f * g
-        share /= share.sum(axis=2, keepdims=True)
+        share *= on[:, :, None] / share.sum(axis=2, keepdims=True)
         over = -gold
         np.add.at(over, at.ravel(), share.reshape(-1, n_labels))
         slope = np.stack([np.bincount(ids, over[owner, y], len(weights)) for y in range(n_labels)], axis=1)

@@ -2,6 +2,7 @@ import glob
 import gzip
 import hashlib
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -39,6 +40,43 @@ def test_gradient_steps_raise_the_likelihood():
     assert moves[0, 0] > moves[0, 1] and moves[1, 1] > moves[1, 0]
 
 
+def test_training_follows_the_likelihood_of_all_words(monkeypatch):
+    """One step from weights of zero: 0.2 against the sign of the slope, found by trying all labellings of all sequences,
+    the short last one included."""
+    monkeypatch.setattr(langid, "LENGTH", 4)
+    words = [["aa", "bb", "aa", "cc", "aa", "bb", "cc"], ["bb", "dd", "dd", "cc", "tail", "dd", "dd"]]
+    none, zero = np.zeros(0, np.uint64), np.zeros((langid.BUCKETS, 2))
+    weights, moves = langid.train(words, [0, 1], 2, none, zero, np.zeros((2, 2)), 1)
+    runs = [(w[k : k + langid.RUN], y) for w, y in zip(words, [0, 1], strict=True) for k in range(0, len(w), langid.RUN)]
+    flat = [(w, y) for k in np.random.default_rng(7).permutation(len(runs)) for w in runs[k][0] for y in [runs[k][1]]]
+    parts = [flat[k : k + 4] for k in range(0, len(flat), 4)]
+    assert len(parts[-1]) == 2
+    names = sorted({w for w, _ in flat})
+    ids, counts, _ = langid.features(names, none)
+    of = dict(zip(names, np.split(ids, np.cumsum(counts)[:-1]), strict=True))
+
+    def likelihood(w, m):
+        total = 0.0
+        for part in parts:
+            score = lambda path, part=part: sum(w[of[x], y].sum() for (x, _), y in zip(part, path, strict=True)) + sum(m[a, b] for a, b in itertools.pairwise(path))
+            total += score([y for _, y in part]) - math.log(sum(math.exp(score(p)) for p in itertools.product(range(2), repeat=len(part))))
+        return total / len(flat)
+
+    for a, b in itertools.product(range(2), repeat=2):
+        step = np.zeros((2, 2))
+        step[a, b] = 1e-4
+        slope = (likelihood(zero, step) - likelihood(zero, -step)) / 2e-4
+        assert moves[a, b] == pytest.approx(0.2 * np.sign(slope) if abs(slope) > 1e-6 else 0, abs=1e-3)
+    for name in names:
+        for y in range(2):
+            step = np.zeros_like(zero)
+            step[of[name][0], y] = 1e-4
+            slope = (likelihood(step, np.zeros((2, 2))) - likelihood(-step, np.zeros((2, 2)))) / 2e-4
+            if abs(slope) > 1e-5:
+                assert weights[of[name][0], y] == pytest.approx(0.2 * np.sign(slope), abs=1e-3)
+    assert np.abs(weights[of["tail"]]).max() > 0.1
+
+
 def test_features_are_letters_only():
     ids, counts, named = langid.features(["Word", "word,", "12", "wo-rd"], np.zeros(0, np.uint64))
     assert counts[0] == counts[1] == counts[3] > counts[2] == 0
