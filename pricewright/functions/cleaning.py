@@ -200,6 +200,8 @@ def category_rollup(c: Column) -> Column:
     return out.otherwise(CATEGORY_OTHER)
 
 
+DATE_RULES = (date_text, date_from_text)
+
 # Rules applied by column name, in this order, after the key columns are cleaned.
 COLUMN_RULES = [
     ("comp_sku", after_colon),
@@ -238,10 +240,12 @@ def apply_rules(df: DataFrame, rules) -> DataFrame:
 
     A column's second rule starts a new projection instead of nesting the first one into
     it: rules mention their input several times, and nested they would compute it as often.
+    What is a date already is not written as text to be parsed again.
     """
     layer = {}
+    dates = {f.name for f in df.schema.fields if f.dataType.simpleString() == "date"}
     for name, rule in rules:
-        if name not in df.columns:
+        if name not in df.columns or (name in dates and rule in DATE_RULES):
             continue
         if name in layer:
             df, layer = df.withColumns(layer), {}

@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.operators.ranked import MAX_GROUP_VALUES, group_medians, reliable, running_total
+from pricewright.operators.ranked import MAX_GROUP_VALUES, group_medians, numbered, reliable, running_total
 from pricewright.operators.search import Encoding, TreeModel, boost_predictions, coded, fit_boost, fit_forest, forest_predictions, scores
 
 SKU, LABEL, FOLD = "sku_pk", "quantity", "fold"
@@ -62,8 +62,7 @@ def stratified_folds(df: DataFrame, label: str, ids: list[str], n: int = FOLDS,
     rows are cut, and no label meets in one task.
     """
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids], F.lit(str(seed)))
-    shuffled = df.withColumn("_h", F.md5(text)).withColumn("_one", F.lit(1))
-    placed = running_total(shuffled, [label], ["_h", *ids], "_one", "_place")
+    placed = numbered(df.withColumn("_h", F.md5(text)), [label], ["_h", *ids], "_place")
     return placed.select(*df.columns, F.pmod(F.col("_place") - 1, F.lit(n)).cast("int").alias(FOLD))
 
 

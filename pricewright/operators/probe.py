@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 
 from pricewright.operators.ranked import reliable
 
-BITS_PER_KEY = 16
-MOST_WORDS = 1 << 20  # 16 MB; a batch of more than 4 million keys lets more rows through
+WORDS = 1 << 20  # 16 MB at most; a batch of more than 4 million keys lets more rows through
 INEXACT = ("float", "double")  # equal values may hash differently
 
 
-def _spot(columns: list[Column], words: int) -> tuple[Column, Column]:
+def _spot(columns: list[Column]) -> tuple[Column, Column]:
     """The word of a key, and its bits there."""
     h = F.xxhash64(F.lit(1), *columns)
     bits = None
@@ -26,7 +25,7 @@ def _spot(columns: list[Column], words: int) -> tuple[Column, Column]:
         place = F.shiftrightunsigned(h, 6 * k).bitwiseAND(F.lit(63)).cast("int")
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
         bits = bit if bits is None else bits.bitwiseOR(bit)
-    return F.pmod(F.xxhash64(F.lit(2), *columns), F.lit(words)), bits
+    return F.pmod(F.xxhash64(F.lit(2), *columns), F.lit(WORDS)), bits
 
 
 def _usable(target: DataFrame, batch: DataFrame, keys: list[str]) -> list[str]:
@@ -52,13 +51,11 @@ def needed(batch: DataFrame) -> bool:
     return planned_size(batch) > broadcast_limit(batch.sparkSession)
 
 
-def filter_words(batch: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
-    """_word, _bits of the batch's keys, and how many words there may be."""
-    wanted = max(1, batch.count() * BITS_PER_KEY // 64)
-    words = min(MOST_WORDS, 1 << (wanted - 1).bit_length())
-    word, bits = _spot([F.col(k) for k in keys], words)
+def filter_words(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """_word, _bits of the batch's keys: as many rows as there are keys, and no more than WORDS."""
+    word, bits = _spot([F.col(f"`{k}`") for k in keys])
     found = batch.select(word.alias("_word"), bits.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
-    return reliable(found), words
+    return reliable(found)
 
 
 def flagged(target: DataFrame, batch: DataFrame, keys: list[str], name: str = "_may") -> DataFrame:
@@ -66,18 +63,17 @@ def flagged(target: DataFrame, batch: DataFrame, keys: list[str], name: str = "_
     usable = _usable(target, batch, keys)
     if not usable:
         return target.withColumn(name, F.lit(True))
-    found, words = filter_words(batch, usable)
-    word, bits = _spot([F.col(f"`{k}`") for k in usable], words)
+    found = filter_words(batch, usable)
+    word, bits = _spot([F.col(f"`{k}`") for k in usable])
     probed = target.withColumns({"_spot": word, "_own": bits}).join(F.broadcast(found), F.col("_spot") == F.col("_word"), "left")
     may = F.coalesce(F.col("_bits").bitwiseAND(F.col("_own")) == F.col("_own"), F.lit(False))
     return probed.select(*[F.col(f"`{c}`") for c in target.columns], may.alias(name))
 
 
-def narrowed(target: DataFrame, batch: DataFrame, keys: list[str], probe: bool | None = None) -> DataFrame:
-    """The rows of the target whose keys the batch may hold; all of them if the batch is small enough to broadcast.
-
-    ``probe`` forces or forbids the filter. The batch is read once more: pass a stored one.
-    """
-    if not (needed(batch) if probe is None else probe):
-        return target
-    return flagged(target, batch, keys).where("_may").drop("_may")
+def narrowed(source: DataFrame, target: DataFrame, keys: list[str], probe: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """The source, stored, and the rows of the target whose keys it may hold; both as they are if the source is small
+    enough to broadcast. ``probe`` forces or forbids the filter."""
+    if not (needed(source) if probe is None else probe):
+        return source, target
+    source = reliable(source)
+    return source, flagged(target, source, keys).where("_may").drop("_may")

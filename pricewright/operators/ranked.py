@@ -12,7 +12,11 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A group with more distinct values than this is ranked in slices instead of one buffer.
@@ -94,6 +98,68 @@ def running_total(df: DataFrame, group: list[str], order: list[str], weight: str
     )
 
 
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Add the place of a row, from 1, in its group under ``order``.
+
+    One shuffle, in ranges of (group, order): a task numbers the sorted rows as they pass. A range holds the end of a
+    group that began in earlier ranges at most once, at its start, so what has to be added comes from a table of one
+    row for each range.
+    """
+    columns, keys = df.columns, [f"_k{i}" for i in range(len(group))]
+    width = len(keys)
+    keyed = df.select("*", *[F.col(f"`{g}`").alias(k) for g, k in zip(group, keys, strict=True)])
+    cut = keyed.repartitionByRange(*[F.col(c) for c in [*keys, *order]]).sortWithinPartitions(*keys, *order)
+    schema = cut.drop(*keys).withColumns({"_slice": F.lit(0), "_at": F.lit(0).cast("long")}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, last, seen = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            for c in batch.columns[-width:] if width else ():
+                a, b = c.slice(0, n - 1), c.slice(1)
+                same = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False)
+                new[1:] |= ~(same | (a.is_null().to_numpy(zero_copy_only=False) & b.is_null().to_numpy(zero_copy_only=False)))
+            first = [c[0].as_py() for c in batch.columns[-width:]] if width else []
+            if first != last:
+                seen = 0
+            starts = np.flatnonzero(new)
+            at = np.arange(1, n + 1) + seen
+            if len(starts):
+                at -= np.repeat(np.append(0, starts + seen), np.diff(np.append(np.append(0, starts), n)))
+            last, seen = [c[-1].as_py() for c in batch.columns[-width:]] if width else [], int(at[-1])
+            arrays = [*batch.columns[: len(columns)], pa.array(np.full(n, here), pa.int32()), pa.array(at, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, [*columns, "_slice", "_at"])
+
+    sliced = reliable(cut.mapInArrow(run, schema))
+    # Of each range its last group, how many rows of it the range has, and whether it is the first group as well.
+    ends = sliced.groupBy("_slice").agg(
+        F.max_by(F.struct(*[F.col(f"`{g}`").alias(k) for g, k in zip(group, keys, strict=True)], F.col("_at").alias("n")), F.struct(*_sorting(group, order))).alias("last"),
+        F.min_by(F.struct(F.lit(True).alias("any"), *[F.col(f"`{g}`").alias(k) for g, k in zip(group, keys, strict=True)]), F.struct(*_sorting(group, order))).alias("first"),
+    )
+    before, carried, held = {}, 0, None
+    for r in ends.orderBy("_slice").collect():  # a row for each range
+        own = [r["last"][k] for k in keys]
+        begins = [r["first"][k] for k in keys]
+        before[r["_slice"]] = (begins, carried if held == begins else 0)
+        carried = r["last"]["n"] + (carried if held == begins and own == begins else 0)
+        held = own
+    rows = [(s, n, *b) for s, (b, n) in before.items() if n]
+    kinds = [sliced.schema[g].dataType.simpleString() for g in group]
+    carry = df.sparkSession.createDataFrame(rows, ", ".join(["_s int, _n long", *[f"{k} {t}" for k, t in zip(keys, kinds, strict=True)]]))
+    same = F.col("_slice") == F.col("_s")
+    for g, k in zip(group, keys, strict=True):
+        same = same & F.col(f"`{g}`").eqNullSafe(F.col(k))
+    found = sliced.join(F.broadcast(carry), same, "left")
+    return found.select(*[F.col(f"`{c}`") for c in columns], (F.col("_at") + F.coalesce("_n", F.lit(0))).alias(name))
+
+
+def _sorting(group: list[str], order: list[str]) -> list[Column]:
+    return [c for name in [*group, *order] for c in (F.col(f"`{name}`").isNotNull(), F.col(f"`{name}`"))]
+
+
 def group_medians(
     counts: DataFrame, group: list[str], value: str, freq: str, max_values: int = MAX_GROUP_VALUES
 ) -> DataFrame:

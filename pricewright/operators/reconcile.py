@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pricewright.operators.hygiene import with_load_ts
 from pricewright.operators.probe import flagged, narrowed, needed
+from pricewright.operators.ranked import reliable
 
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
@@ -40,7 +41,7 @@ def new_rows_only(
 ) -> DataFrame:
     """Source rows whose key the target does not hold. ``probe``: see ``probe.narrowed``."""
     cond = _match(keys, nullable)
-    target = narrowed(target, source, keys, probe)
+    source, target = narrowed(source, target, keys, probe)
     known = _target_keys(target, keys).join(source.select(*keys), cond, "left_semi").distinct()
     return source.join(known, cond, "left_anti")
 
@@ -74,7 +75,7 @@ def upsert_split(
     if guard not in ("source", "target"):
         raise ValueError(f"guard must be 'source' or 'target', not {guard!r}")
     cond = _match(keys, nullable)
-    target = narrowed(target, source, keys, probe)
+    source, target = narrowed(source, target, keys, probe)
     stored = _target_keys(target, keys, F.col(tracked).alias("_old"))
     batch = source.select(*keys, F.col(tracked).alias("_new"))
     moved = ~F.col("_new").eqNullSafe(F.col("_old")) & F.col("_new" if guard == "source" else "_old").isNotNull()
@@ -108,11 +109,12 @@ def upsert_files(
     if guard not in ("source", "target"):
         raise ValueError(f"guard must be 'source' or 'target', not {guard!r}")
     cond = _match(keys, nullable)
+    source, target = narrowed(source, target, keys)
     columns = [c for c in source.columns if c not in {*keys, batch}]
     steps = source.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(batch, *columns))).alias("_steps"))
     # A struct keeps a null value, which collect_set alone would skip.
     values = (
-        _target_keys(narrowed(target, source, keys), keys, F.struct(F.col(tracked).alias("v")).alias("_old"))
+        _target_keys(target, keys, F.struct(F.col(tracked).alias("v")).alias("_old"))
         .join(source.select(*keys).distinct(), cond, "inner")
         .groupBy(*[f"_t_{k}" for k in keys])
         .agg(F.collect_set("_old").alias("_olds"))
@@ -154,6 +156,7 @@ def apply_updates(
     key they may hold are joined; the others pass as they are, from a scan of their own.
     """
     if needed(updates) if probe is None else probe:
+        updates = reliable(updates)
         parts = flagged(target, updates, keys)
         joined = apply_updates(parts.where("_may").drop("_may"), updates, keys, set_columns, probe=False)
         return joined.unionByName(parts.where("not _may").drop("_may"))
@@ -180,6 +183,7 @@ def merge_tables(
     set_columns: list[str],
     load_column: str,
     load_ts: Column | None = None,
+    probe: bool | None = None,
 ) -> DataFrame:
     """New state of the target: updates applied, inserts added, both stamped."""
     stamped = with_load_ts(actions, load_column, load_ts)
@@ -187,7 +191,7 @@ def merge_tables(
     inserts = stamped.where(F.col("action") == INSERT).drop("action")
     types = {f.name: f.dataType for f in target.schema.fields}
     inserts = inserts.select(*[F.col(c).cast(types[c]).alias(c) for c in inserts.columns if c in types])
-    return union_all(apply_updates(target, updates, keys, [*set_columns, load_column]), inserts)
+    return union_all(apply_updates(target, updates, keys, [*set_columns, load_column], probe), inserts)
 
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,6 +50,32 @@ def read_folder(spark, sf_dir):
     return back.select(*NOTES.names, F.regexp_extract(F.input_file_name(), r"(part=\d+)/", 1).alias("file"))
 
 
+@query("read_flat_split", f"SELECT c_custkey, {NOTE_SQL}, c_acctbal FROM customer")
+def read_flat_split(spark, sf_dir):
+    """One file whose cells hold line ends, read by as many tasks as it has blocks."""
+    path = folder(spark)
+    notes(spark, sf_dir).coalesce(1).write.option("header", "true").option("escape", '"').csv(path)
+    return files.read_flat(spark, path, NOTES, split=True).select(*NOTES.names)
+
+
+@query("freshness_gate", f"SELECT c_custkey, {NOTE_SQL}, c_acctbal FROM customer WHERE c_nationkey % 3 = 0")
+def freshness_gate(spark, sf_dir):
+    """Of three files only that of this month is read; the others are as old as forty days and a year."""
+    path, now = folder(spark), time.time()
+    part = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), (F.col("c_nationkey") % 3).alias("part"))
+    rows = notes(spark, sf_dir).join(part, F.col("c_custkey") == F.col("k")).drop("k")
+    rows.write.partitionBy("part").option("header", "true").option("escape", '"').csv(path)
+    age = {"part=0": 0, "part=1": 40, "part=2": 400}
+    home = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name, days in age.items():
+        for file in store.listStatus(spark._jvm.org.apache.hadoop.fs.Path(home, name)):
+            store.setTimes(file.getPath(), int(1000 * (now - days * 86_400)), -1)
+    today = datetime.fromtimestamp(now, timezone.utc)
+    back = files.read_folder(spark, path, NOTES, level="month", now=today, recursiveFileLookup="true")
+    return back.select(*NOTES.names)
+
+
 @query("append_table", """
 SELECT CAST(p_partkey AS VARCHAR) AS sku, p_brand AS color, p_retailprice AS socal, n AS times
 FROM part, (VALUES (1), (2)) AS t(n)""")
@@ -84,6 +112,15 @@ def report_extract(spark, sf_dir):
     return files.read_flat(spark, f"{root}/{written[0]}", NOTES).select(*NOTES.names)
 
 
+@query("report_file", f"SELECT c_custkey, {NOTE_SQL}, c_acctbal FROM customer WHERE c_acctbal < 0")
+def report_file(spark, sf_dir):
+    """A report as one file."""
+    root = folder(spark)
+    low = notes(spark, sf_dir).where(F.col("c_acctbal") < 0)
+    (name,) = sinks.report_extract({"low": low, "none": low.limit(0)}, root, one_file=True)
+    return files.read_flat(spark, f"{root}/{name}.csv", NOTES).select(*NOTES.names)
+
+
 @query("merge_partitions", f"""
 WITH {QUOTE_SQL}
 SELECT s.model_no, s.quote_num, s.price_model, CASE WHEN u.moved THEN b.row_stat ELSE s.row_stat END AS row_stat,

@@ -39,10 +39,20 @@ def batch(df):
     return dedup.keep_last(df, KEYS, ORDER)
 
 
-@query("new_rows_only", f"""
+NEW_SQL = f"""
 WITH {QUOTES_SQL}
 SELECT l_partkey, l_suppkey, price, status FROM batch b
-WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.l_partkey = b.l_partkey AND s.l_suppkey = b.l_suppkey)""")
+WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.l_partkey = b.l_partkey AND s.l_suppkey = b.l_suppkey)"""
+
+
+@query("new_rows_probed", NEW_SQL)
+def new_rows_probed(spark, sf_dir):
+    """By way of the Bloom filter, as for a batch that is too large to broadcast."""
+    df = quotes(spark, sf_dir)
+    return reconcile.new_rows_only(batch(df), stored(df), KEYS, nullable=[], probe=True).select(*KEYS, "price", "status")
+
+
+@query("new_rows_only", NEW_SQL)
 def new_rows_only(spark, sf_dir):
     df = quotes(spark, sf_dir)
     return reconcile.new_rows_only(batch(df), stored(df), KEYS, nullable=[]).select(*KEYS, "price", "status")
@@ -97,7 +107,7 @@ def upsert_split_target_guard(spark, sf_dir):
     return out.select(*KEYS, "status", "action")
 
 
-@query("merge_tables", f"""
+MERGE_SQL = f"""
 WITH {QUOTES_SQL},
 old AS (SELECT * FROM stored QUALIFY row_number() OVER (PARTITION BY l_partkey, l_suppkey
   ORDER BY l_shipdate DESC, l_linenumber DESC, l_extendedprice DESC, l_orderkey DESC) = 1),
@@ -110,13 +120,26 @@ joined AS (
 SELECT l_partkey, l_suppkey, CASE WHEN fresh OR moved THEN new_price ELSE old_price END AS price,
   CASE WHEN fresh THEN new_line ELSE old_line END AS l_linestatus,
   CASE WHEN fresh OR moved THEN '2025-01-02' ELSE '2025-01-01' END AS load_dt
-FROM joined""")
-def merge_tables(spark, sf_dir):
+FROM joined"""
+
+
+def _merged(spark, sf_dir, probe):
     df = quotes(spark, sf_dir)
     columns = [*KEYS, "price", "l_linestatus"]
     table = batch(stored(df)).select(*columns).withColumn("load_dt", F.lit("2025-01-01"))
-    actions = reconcile.upsert_split(batch(df).select(*columns), table, KEYS, "price", "source", nullable=[])
-    return reconcile.merge_tables(table, actions, KEYS, ["price"], "load_dt", F.lit("2025-01-02"))
+    actions = reconcile.upsert_split(batch(df).select(*columns), table, KEYS, "price", "source", nullable=[], probe=probe)
+    return reconcile.merge_tables(table, actions, KEYS, ["price"], "load_dt", F.lit("2025-01-02"), probe=probe)
+
+
+@query("merge_tables", MERGE_SQL)
+def merge_tables(spark, sf_dir):
+    return _merged(spark, sf_dir, None)
+
+
+@query("merge_tables_probed", MERGE_SQL)
+def merge_tables_probed(spark, sf_dir):
+    """By way of the Bloom filter; rows that the batch cannot hold pass without an exchange."""
+    return _merged(spark, sf_dir, True)
 
 
 @query("read_table", "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem")

@@ -12,7 +12,8 @@ class Table:
     """A stored table; its last column is the load timestamp, which input files lack.
 
     ``dated``: a date or time column that no update sets, by whose month the stored files are
-    parted. ``parted``: a key column by whose values they are.
+    parted. ``parted``: a key column by whose hash they are, in ``parts`` parts, so that a batch of few keys
+    touches few of them.
     """
 
     ddl: str
@@ -22,6 +23,7 @@ class Table:
     set_columns: tuple[str, ...] = ()
     dated: str | None = None
     parted: str | None = None
+    parts: int = 256
 
     @property
     def schema(self) -> StructType:
@@ -88,7 +90,7 @@ PRICE_MASTER = Table(
     tracked="src_updt_dt",
     guard="target",
     set_columns=("src_updt_dt", "descript", "prod_cd", "unit_cost", "unit_price"),
-    parted="price_model",
+    parted="model_no",
 )
 PROMO_HISTORY = Table(
     """month_st date, month_ed date, sku string, promo_reason string, category string,

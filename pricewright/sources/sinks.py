@@ -16,8 +16,11 @@ PART = "_part"  # the column by which stored files are parted
 
 
 def part_of(table: Table) -> Column:
-    """Partition of a row: the month of its date or its key column's value, as text."""
-    value = F.date_format(table.dated, "yyyy-MM") if table.dated else F.col(table.parted)
+    """Partition of a row: the month of its date, or the number of its key's part, as text."""
+    if table.dated:
+        value = F.date_format(table.dated, "yyyy-MM")
+    else:
+        value = F.lpad(F.pmod(F.xxhash64(table.parted), F.lit(table.parts)).cast("string"), 5, "0")
     return F.coalesce(value, F.lit("none")).alias(PART)
 
 
@@ -98,12 +101,47 @@ def _versions(spark: SparkSession, home: str) -> list[str]:
     return [path for _, path in sorted(dated, reverse=True)]
 
 
-def report_extract(reports: dict[str, DataFrame], root: str) -> list[str]:
-    """One CSV directory per non-empty report; returns the names written."""
+def report_extract(reports: dict[str, DataFrame], root: str, one_file: bool = False) -> list[str]:
+    """One CSV directory per non-empty report, or one file ``<name>.csv``; returns the names written."""
     written = []
     for name, df in reports.items():
         if df.isEmpty():
             continue
-        df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(f"{root.rstrip('/')}/{name}")
+        path = f"{root.rstrip('/')}/{name}"
+        if one_file:
+            write_file(df, f"{path}.csv")
+        else:
+            df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
         written.append(name)
     return written
+
+
+def write_file(df: DataFrame, path: str) -> None:
+    """One CSV file with a header line. The parts are written by their tasks, in the rows' order, and then joined byte by
+    byte under another name, which becomes the file's when it is whole: readers never see a part of it."""
+    spark = df.sparkSession
+    beside = f"{path}.{uuid.uuid4().hex}"
+    df.write.option("header", "false").option("escape", '"').csv(f"{beside}.parts")
+    names = spark.createDataFrame([tuple(df.columns)], [f"c{k}" for k in range(len(df.columns))])
+    names.coalesce(1).write.option("escape", '"').csv(f"{beside}.head")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    home = jvm.org.apache.hadoop.fs.Path(path)
+    store = home.getFileSystem(conf)
+    whole = jvm.org.apache.hadoop.fs.Path(f"{beside}.whole")
+    out = store.create(whole)
+    try:
+        for folder in (f"{beside}.head", f"{beside}.parts"):
+            files = [f.getPath() for f in store.listStatus(jvm.org.apache.hadoop.fs.Path(folder))]
+            for part in sorted((f for f in files if f.getName().startswith("part-")), key=lambda f: f.getName()):
+                source = store.open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+                finally:
+                    source.close()
+    finally:
+        out.close()
+    store.delete(home, False)
+    if not store.rename(whole, home):
+        raise OSError(f"{path} could not be written")
+    for folder in (f"{beside}.head", f"{beside}.parts"):
+        delete(spark, folder)

@@ -165,9 +165,9 @@ def test_a_filter_never_loses_a_key(spark):
     rows = [(None if k % 7 == 0 else k, None if k % 5 == 0 else f"s{k}", float(k)) for k in range(3000)]
     df = spark.createDataFrame(rows, "k long, s string, f double")
     batch = df.where("k % 3 = 0 or k is null")
-    may = probe.narrowed(df, batch, ["k", "s", "f"], probe=True)
+    may = probe.narrowed(batch, df, ["k", "s", "f"], probe=True)[1]
     kept = {tuple(r) for r in may.collect()}
     assert {tuple(r) for r in batch.collect()} <= kept and len(kept) < 1700
     other = batch.withColumn("k", F.col("k").cast("string"))
-    assert probe.narrowed(df, other, ["k"], probe=True).count() == 3000
-    assert probe.narrowed(df, batch.limit(0), ["k"], probe=True).count() == 0
+    assert probe.narrowed(other, df, ["k"], probe=True)[1].count() == 3000
+    assert probe.narrowed(batch.limit(0), df, ["k"], probe=True)[1].count() == 0

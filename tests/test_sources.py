@@ -156,6 +156,23 @@ def test_reports_skip_empty_frames(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "full")).first().k == "a"
 
 
+def test_a_report_is_one_file_in_the_rows_order(spark, tmp_path):
+    rows = [(f'x "{i}"\n,', i) for i in range(500)]
+    df = spark.createDataFrame(rows, "`k 1` string, v int").repartitionByRange(7, "v").sortWithinPartitions("v")
+    for _ in range(2):  # the second replaces the first
+        assert sinks.report_extract({"full": df, "empty": df.limit(0)}, str(tmp_path), one_file=True) == ["full"]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["full.csv"]
+    with open(tmp_path / "full.csv", newline="") as f:
+        assert list(csv.reader(f)) == [["k 1", "v"]] + [[k, str(v)] for k, v in rows]
+
+
+def test_price_parts_follow_the_model(spark):
+    models = spark.range(1000).select(F.format_string("m%d", "id").alias("model_no"))
+    parts = models.select("model_no", sinks.part_of(PRICE_MASTER))
+    assert 200 < parts.select(sinks.PART).distinct().count() <= PRICE_MASTER.parts
+    assert parts.where("model_no = 'm5'").first()[sinks.PART] == parts.where("model_no = 'm5'").first()[sinks.PART]
+
+
 SALES_HEADER = ",".join(SALES.input_columns)
 
 
