@@ -159,9 +159,10 @@ def normality_test(spark, sf_dir):
 
 def _below_sql(z):
     """Standard normal distribution, by its series."""
-    step = f"lambda s, k: {{{{'t': s.t * {z} ** 2 / (2 * k.t + 1), 's': s.s + s.t * {z} ** 2 / (2 * k.t + 1)}}}}".replace("{{", "{").replace("}}", "}")
+    term = f"s.t * {z} * {z} / (2 * k.t + 1)"
+    step = f"lambda s, k: {{'t': {term}, 's': s.s + {term}}}"
     terms = "list_transform(range(1, 91), lambda i: {'t': i::DOUBLE, 's': 0::DOUBLE})"
-    return f"(0.5 + exp(-({z}) ** 2 / 2) / sqrt(2 * pi()) * list_reduce([{{'t': {z}, 's': {z}}}] || {terms}, {step}).s)"
+    return f"(0.5 + exp(-({z} * {z}) / 2) / sqrt(2 * pi()) * list_reduce([{{'t': {z}, 's': {z}}}] || {terms}, {step}).s)"
 
 
 # A quantile of the normal distribution by a rational approximation and one step of Halley's method.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewright.operators.hygiene import rename_positional, with_load_ts
-from pricewright.operators.ranked import delete, reliable
+from pricewright.operators.ranked import delete
 from pricewright.operators.reconcile import INSERT, UNCHANGED
 from pricewright.schemas import Table
 
@@ -39,8 +39,8 @@ def merge_partitions(state: DataFrame, actions: DataFrame, name: str, table: Tab
 
     ``state`` is the table's new state, ``actions`` the batch with its actions, stored already.
     Only the touched partitions of the state are computed: their filter reaches the scan of the
-    table the state comes from. They are written beside the table first, so that a failure
-    leaves the old files in place, and the old files go with the switch.
+    table the state comes from. They are written to a folder of their own, and each partition is then pointed at its
+    new files, so that a failure leaves it whole, old or new. The old files go last.
     """
     spark = state.sparkSession
     parted = state.select("*", part_of(table))
@@ -57,15 +57,31 @@ def merge_partitions(state: DataFrame, actions: DataFrame, name: str, table: Tab
     stored = spark.table(name).join(moved, same, "left_semi").select(PART)
     touched = sorted(r[PART] for r in own.unionAll(stored).distinct().collect())  # names of partitions
     if touched:
-        rows = reliable(parted.where(F.col(PART).isin(touched)))
-        about = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART)
-        writer.parquet(about["data_type"])
-        spark.catalog.recoverPartitions(name)
+        home = _location(spark, name)
+        fresh = f"{home}/_merge-{uuid.uuid4().hex}"  # hidden from readers of the table's folder
+        parted.where(F.col(PART).isin(touched)).write.partitionBy(PART).parquet(fresh)
+        known = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        old = []
+        for part in touched:
+            spec = f"PARTITION ({PART} = '{part}')"
+            if part in known:
+                old.append(_location(spark, f"{name} {spec}"))
+                spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{fresh}/{PART}={part}'")
+            else:
+                spark.sql(f"ALTER TABLE {name} ADD {spec} LOCATION '{fresh}/{PART}={part}'")
         spark.catalog.refreshTable(name)
+        for path in old:
+            if path.startswith(f"{home}/") and path.endswith(f"/{PART}={path.rsplit('=', 1)[-1]}"):
+                delete(spark, path)
     return touched
 
 
+def _location(spark: SparkSession, what: str) -> str:
+    """Folder of a table, or of one of its partitions, which is told before the table's."""
+    about = spark.sql(f"DESCRIBE EXTENDED {what}").where("col_name = 'Location'").collect()
+    return about[0]["data_type"].rstrip("/")
+
+
 def replace_table(df: DataFrame, name: str, root: str, keep: int = 1) -> str:
     """Write a new version beside the old one, then point the table at it.
 

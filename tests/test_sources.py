@@ -231,6 +231,14 @@ def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
     got = sorted((r.en_sku, r.mnf_stk_price) for r in spark.table("comp_p").collect())
     assert got == [("a", 9.0), ("b", 2.0), ("c", 3.0), ("n", 4.0)]
     assert len(before & files_of()) == 2 and spark.table("comp_p").columns == [*columns, sinks.PART]
+    again = spark.createDataFrame([row("2025-01-01", "a", 8.0)], COMPETITOR.schema)  # a partition that was moved before
+    with scratch(spark):
+        merged = jobs._merge(again.drop("sys_dt"), tables.read_table(spark, "comp_p", table=COMPETITOR), COMPETITOR, ["release_dt"], None)
+        assert sinks.merge_partitions(merged.table, merged.actions, "comp_p", COMPETITOR) == ["2025-01"]
+    spark.catalog.refreshTable("comp_p")
+    got = sorted((r.en_sku, r.mnf_stk_price) for r in spark.table("comp_p").collect())
+    assert got == [("a", 8.0), ("b", 2.0), ("c", 3.0), ("n", 4.0)]
+    assert len(tables.read_table(spark, "comp_p", table=COMPETITOR, parts=("2025-01", "2025-01")).collect()) == 1
     spark.sql("DROP TABLE comp_p")
 
 
