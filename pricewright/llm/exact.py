@@ -2,9 +2,9 @@
 
 Parts of the table send their distinct fingerprints, sorted and Golomb-coded, to the owners of the value
 ranges. An owner merges the lists and returns one bit for each fingerprint: whether another part, or another
-row of the same part, has it too. Rows whose bit is set are suspects; only their texts are compared byte by
-byte. A part sends a fingerprint once however many rows have it, and copies are combined before the
-exchange, so a group of any size stays small.
+row of the same part, has it too. Rows whose bit is set are suspects; only their texts are exchanged, to be compared
+byte by byte, and all other rows are answered by their part. A part sends a fingerprint once however many rows
+have it, and copies are combined before the exchange, so a group of any size stays small.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.llm.common import lowered, mark, only, partitions, pieces, stored, text_bytes, whole
+from pricewright.operators.probe import flagged
 
 BITS = 48  # of a fingerprint; more only make fewer false suspects
 ROWS = 2_000_000  # in a part, and fingerprints with an owner, at most on average
@@ -70,7 +71,7 @@ def hashed_rows(docs: DataFrame) -> DataFrame:
 
 
 def suspects(rows: DataFrame, bits: int = BITS, fingerprints: int = ROWS) -> DataFrame:
-    """Of rows with sha and part, those whose fingerprint another row has too."""
+    """The rows with their part's answer: whether another row has their fingerprint too."""
     owners = max(partitions(rows.sparkSession), -(-rows.count() // fingerprints))
 
     def owned(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -97,16 +98,18 @@ def suspects(rows: DataFrame, bits: int = BITS, fingerprints: int = ROWS) -> Dat
 
     def receive(table: pa.Table, maps: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return table.select(["doc_id", "sha"])
+            return table.append_column("suspect", pa.array([], pa.bool_())).select(columns)
         found = prints(table.column("sha").combine_chunks(), bits)
         values, at = np.unique(found, return_inverse=True)
         bitmap = dict(zip(maps.column("owner").to_pylist(), maps.column("bitmap").to_pylist(), strict=True))
         bit = np.concatenate([np.unpackbits(np.frombuffer(bitmap[o], np.uint8))[: b - a] for o, a, b in owned(values)])
-        return table.select(["doc_id", "sha"]).filter(pa.array(bit[at] > 0))
+        return table.append_column("suspect", pa.array(bit[at] > 0)).select(columns)
 
+    columns = ["doc_id", "mark", "sha", "task", "nth", "suspect"]
     sent = rows.select("part", "sha").groupBy("part").applyInArrow(send, "part long, owner long, codes binary, many binary")
     maps = sent.groupBy("owner").applyInArrow(answer, "part long, owner long, bitmap binary")
-    return rows.select("part", "doc_id", "sha").groupBy("part").cogroup(maps.groupBy("part")).applyInArrow(receive, "doc_id long, sha binary")
+    held = rows.select("part", *columns[:-1]).groupBy("part").cogroup(maps.groupBy("part"))
+    return held.applyInArrow(receive, "doc_id long, mark long, sha binary, task long, nth long, suspect boolean")
 
 
 def groups(docs: DataFrame, bits: int = BITS, rows_per_part: int = ROWS) -> DataFrame:
@@ -119,18 +122,25 @@ def groups(docs: DataFrame, bits: int = BITS, rows_per_part: int = ROWS) -> Data
     spark = docs.sparkSession
     rows = stored(hashed_rows(docs))
     parts = max(partitions(spark), -(-rows.count() // rows_per_part))
-    rows = rows.withColumn("part", F.col("task") % parts).withColumn("place", F.struct("task", "nth"))
-    likely = suspects(rows, bits, rows_per_part).select(F.col("doc_id").alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.translate(whole(), UPPER, LOWER).alias("norm"))
+    marked = stored(suspects(rows.withColumn("part", F.col("task") % parts), bits, rows_per_part))
+    alone = marked.where("not suspect").select(
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "mark"
+    )
+    rows = marked.where("suspect").withColumn("place", F.struct("task", "nth"))
+    likely = stored(rows.select("doc_id", "mark").distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(), F.translate(whole(), UPPER, LOWER).alias("norm"))
+    # Texts that are no suspects' drop out where they are read, but for what a filter of bounded size lets through.
+    texts = flagged(texts, likely, ["doc_id", "mark"], "may").where("may")
+    own = likely.select(F.col("doc_id").alias("id"), F.col("mark").alias("own"))
     # Equal bytes, not equal hashes, make a group. Copies are combined before they are exchanged.
-    same = texts.join(likely, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").groupBy("norm")
+    same = texts.join(own, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("own")), "left_semi").groupBy("norm")
     verified = same.agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     verified = verified.select(F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "group_size")
     stays = rows.groupBy("sha").agg(F.max(F.struct("doc_id", "place")).alias("stays"))
     # Stored, so that the join deals both sides anew and can split the rows of a very large group.
     joined = rows.join(stored(stays.join(verified, "sha", "left")), "sha")
     size = F.coalesce("group_size", F.lit(1))
-    return joined.select(
+    found = joined.select(
         "doc_id",
         F.when(size > 1, F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
         size.cast("long").alias("group_size"),
@@ -138,6 +148,7 @@ def groups(docs: DataFrame, bits: int = BITS, rows_per_part: int = ROWS) -> Data
         F.lower(F.hex("sha")).alias("text_sha256"),
         "mark",
     )
+    return alone.unionAll(found)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
