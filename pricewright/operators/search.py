@@ -171,6 +171,11 @@ def _blocks(counts: list[int]) -> list[tuple[int, int]]:
     return [(a, min(a + BLOCK, high)) for low, high in itertools.pairwise(edges) for a in range(low, high, BLOCK)]
 
 
+def _dealt(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """Dealt to enough partitions that few share one: what a task computes is large, however small its rows are."""
+    return rows.repartition(4 * n, key)
+
+
 def _in_blocks(rows: DataFrame, counts: list[int], seed: int) -> DataFrame:
     """Drawn and plain cells with their block."""
     blocks = _blocks(counts)
@@ -201,7 +206,7 @@ def forest_predictions(rows: DataFrame, features: list[Feature], grid: dict, fol
         return pa.concat_tables(out)
 
     kind = "fold int, codes array<int>, block int, p array<double>"
-    found = _in_blocks(rows, counts, seed).groupBy("block").applyInArrow(fit, kind)
+    found = _dealt(_in_blocks(rows, counts, seed), "block", len(blocks)).groupBy("block").applyInArrow(fit, kind)
     parts = found.groupBy("fold", "codes").agg(F.sort_array(F.collect_list(F.struct("block", "p"))).alias("parts"))
     add = lambda a, b: F.zip_with(a, b["p"], lambda x, y: x + y)
     none = F.array_repeat(F.lit(0.0), len(depths) * len(leaves))
@@ -267,7 +272,8 @@ def fit_forest(rows: DataFrame, features: list[Feature], trees: int, depth: int
 
     rows = rows.withColumn("fold", F.lit(0))
     if small(rows):
-        return _collected(_in_blocks(rows, [trees], seed).groupBy("block").applyInArrow(fit, _NODES))
+        dealt = _dealt(_in_blocks(rows, [trees], seed), "block", len(_blocks([trees])))
+        return _collected(dealt.groupBy("block").applyInArrow(fit, _NODES))
     model = grow_spread(arrays(drawn_cells(rows, trees, seed), trees), features, trees, 0.0, np.repeat(least, trees), np.repeat(deep, trees))
     model.value = model.value / trees
     return [model]
@@ -319,7 +325,7 @@ def boost_predictions(rows: DataFrame, features: list[Feature], grid: dict, fold
     for part in parts[1:]:
         dealt = dealt.unionByName(part)
     kind = "fold int, codes array<int>, rate int, share int, p array<double>"
-    found = dealt.groupBy("task").applyInArrow(fit, kind)
+    found = _dealt(dealt, "task", len(tasks)).groupBy("task").applyInArrow(fit, kind)
     of = F.map_from_entries(F.collect_list(F.struct(F.col("rate") * len(shares) + F.col("share"), "p")))
     by_cell = found.groupBy("fold", "codes").agg(of.alias("of"))
     points = itertools.product(range(len(grid["trees"])), range(len(depths)), range(len(grid["rate"])), range(len(shares)))
