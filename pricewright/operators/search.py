@@ -122,15 +122,22 @@ def drawn_cells(rows: DataFrame, trees: int, seed: int, share: float | None = No
     return seen.groupBy("codes", "fold", "t").agg(F.sum("w").cast("double").alias("h"), F.sum(F.col("w") * F.col("y")).alias("s"))
 
 
+def packed(cells: DataFrame, *more: str) -> DataFrame:
+    """A row for each cell, with lists of what the trees see of it, which are as long as there are trees."""
+    rows = cells.groupBy("codes", "fold", *more).agg(F.collect_list(F.struct("t", "h", "s")).alias("of"))
+    return rows.select("codes", "fold", *more, *[F.col(f"of.{c}").alias(c) for c in ("t", "h", "s")])
+
+
 class Cells:
     """Cells of a task's rows, as arrays: h and s are [fold, tree, cell], where tree 0 has all rows."""
 
     def __init__(self, table: pa.Table, folds: int):
-        flat = table.column("codes").combine_chunks().to_numpy(zero_copy_only=False)
-        codes = np.vstack(flat).astype(np.int64) if len(flat) else np.zeros((0, 1), np.int64)
+        codes = _matrix(table.column("codes").combine_chunks()).astype(np.int64)
         self.codes, cell = np.unique(codes, axis=0, return_inverse=True)
-        cell = cell.ravel()
-        t, fold, h, s = (table.column(c).to_numpy() for c in ("t", "fold", "h", "s"))
+        lists = table.column("t").combine_chunks()
+        sizes = np.diff(np.asarray(lists.offsets))
+        cell, fold = np.repeat(cell.ravel(), sizes), np.repeat(table.column("fold").to_numpy(), sizes)
+        t, h, s = (np.asarray(table.column(c).combine_chunks().flatten()) for c in ("t", "h", "s"))
         self.trees, which = np.unique(np.append(t, -1), return_inverse=True)
         which = which[:-1]
         shape = (max(folds, int(fold.max(initial=0)) + 1), len(self.trees), len(self.codes))  # further folds only train
@@ -180,8 +187,8 @@ def _in_blocks(rows: DataFrame, counts: list[int], seed: int) -> DataFrame:
     """Drawn and plain cells with their block."""
     blocks = _blocks(counts)
     block = F.coalesce(*[F.when(F.col("t") < high, F.lit(k)) for k, (_, high) in enumerate(blocks)])
-    drawn = drawn_cells(rows, max(counts), seed).withColumn("block", block)
-    plain = plain_cells(rows).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))))
+    drawn = packed(drawn_cells(rows, max(counts), seed).withColumn("block", block), "block")
+    plain = packed(plain_cells(rows)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))))
     return drawn.unionByName(plain)
 
 
@@ -320,7 +327,7 @@ def boost_predictions(rows: DataFrame, features: list[Feature], grid: dict, fold
         cells = plain_cells(rows)
         if share < 1:
             cells = cells.unionByName(drawn_cells(rows, max(stages), seed, share))
-        parts.append(reliable(cells).withColumn("task", F.explode(F.array(*map(F.lit, own)))))
+        parts.append(reliable(packed(cells)).withColumn("task", F.explode(F.array(*map(F.lit, own)))))
     dealt = parts[0]
     for part in parts[1:]:
         dealt = dealt.unionByName(part)
@@ -379,7 +386,7 @@ def fit_boost(rows: DataFrame, features: list[Feature], trees: int, depth: int |
         _, rounds = boost(cells.codes, features, h[seen][:, None], s[seen][:, None], base, np.array([rate]), L2, LEAST_WEIGHT, np.array([deep]), [trees])
         return pa.concat_tables([_nodes(k, t, t.value) for k, t in enumerate(rounds)])
 
-    return base, _collected(cells.groupBy(F.lit(0).alias("all")).applyInArrow(fit, _NODES))
+    return base, _collected(packed(cells).groupBy(F.lit(0).alias("all")).applyInArrow(fit, _NODES))
 
 
 def scores(rows: DataFrame, predicted: DataFrame, predictors: int) -> list[list]:
