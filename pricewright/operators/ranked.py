@@ -34,7 +34,7 @@ def reliable(df: DataFrame) -> DataFrame:
     planner sees its size and can prune its columns. ``scratch`` deletes what a job wrote.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -58,7 +58,7 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a local master without it gets one of this process."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -70,6 +70,9 @@ def _shared_folder(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+_shared_folder = shared_folder
+
+
 def running_total(df: DataFrame, group: list[str], order: list[str], weight: str, name: str) -> DataFrame:
     """Add the sum of ``weight`` over the group's rows up to and including this one.
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.operators.ranked import reliable
-from pricewright.operators.trees import DEEPEST, Feature, Trees, _matrix, boost, boost_spread, grow, grow_spread
+from pricewright.operators.trees import DEEPEST, Feature, Trees, matrix, boost, boost_spread, grow, grow_spread
 
 BINS = 32  # of a numeric column
 BLOCK = 5  # trees of a forest in a task
@@ -86,7 +86,7 @@ class TreeModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = _matrix(batch.column("_codes")) if batch.num_rows else np.zeros((0, len(features)), int)
+                rows = matrix(batch.column("_codes")) if batch.num_rows else np.zeros((0, len(features)), int)
                 total = np.full(batch.num_rows, base)
                 for t in trees.value:
                     total += t.staged(rows, features, [DEEPEST])[0].sum(axis=0)
@@ -132,7 +132,7 @@ class Cells:
     """Cells of a task's rows, as arrays: h and s are [fold, tree, cell], where tree 0 has all rows."""
 
     def __init__(self, table: pa.Table, folds: int):
-        codes = _matrix(table.column("codes").combine_chunks()).astype(np.int64)
+        codes = matrix(table.column("codes").combine_chunks()).astype(np.int64)
         self.codes, cell = np.unique(codes, axis=0, return_inverse=True)
         lists = table.column("t").combine_chunks()
         sizes = np.diff(np.asarray(lists.offsets))
@@ -251,7 +251,7 @@ def _held_out(rows: DataFrame, fold: int, models: list, predict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                codes = _matrix(batch.column("codes"))
+                codes = matrix(batch.column("codes"))
                 yield from _rows(fold, codes, predict(codes, known.value)).to_batches()
 
     cells = rows.where(F.col("fold") == fold).select("codes").distinct()

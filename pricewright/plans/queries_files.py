@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pricewright.operators.ranked import _shared_folder
+from pricewright.operators.ranked import shared_folder
 from pricewright.plans import jobs
 from pricewright.plans.queries_pricing import QUOTE_SQL, loaded, quote_landing
 from pricewright.plans.registry import query
@@ -22,7 +22,7 @@ NOTES = StructType().add("c_custkey", "long").add("note", "string").add("c_acctb
 
 
 def folder(spark) -> str:
-    return f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def notes(spark, sf_dir):
