@@ -15,14 +15,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewright.operators.ranked import _shared_folder
+from pricewright.operators.ranked import shared_folder
 
 _FOLDERS: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
     """A new folder under the shared one that the session names; nothing else uses it."""
-    _FOLDERS.append(path := f"{_shared_folder(spark)}/llm-{uuid.uuid4().hex}")
+    _FOLDERS.append(path := f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}")
     return path
 
 
