@@ -70,9 +70,6 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
-_shared_folder = shared_folder
-
-
 def running_total(df: DataFrame, group: list[str], order: list[str], weight: str, name: str) -> DataFrame:
     """Add the sum of ``weight`` over the group's rows up to and including this one.
 
