@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.functions.cleaning import SALES_RULES, apply_rules, clean_landing, to_date_lenient
+from pricewright.functions.cleaning import SALES_RULES, apply_rules, clean_key, clean_landing, strip, to_date_lenient
+from pricewright.functions.price_columns import ID_COLUMNS
 from pricewright.operators.dedup import consolidate, first_file, keep_last
 from pricewright.operators.hygiene import (
     drop_zero_quantity,
@@ -109,8 +110,14 @@ def competitor_price_job(
 
 
 def price_master_rows(raw: DataFrame, order: list[str], cascade_socal: bool = False) -> DataFrame:
-    """Wide price list -> one cleaned row per (model, price model, bucket)."""
-    cascaded = pallet_cascade(raw, cascade_socal)
+    """Wide price list -> one cleaned row per (model, price model, bucket).
+
+    All rows have the same price columns, so of a model's rows the last one settles every key: the others go while a row
+    is still wide, before each becomes as many rows as there are price columns.
+    """
+    model = ID_COLUMNS[PRICE_MASTER.input_columns.index("model_no")]
+    cleaned = raw.where(F.col(f"`{model}`").isNotNull()).withColumn("_model", strip(clean_key(F.col(f"`{model}`").cast("string"))))
+    cascaded = pallet_cascade(keep_last(cleaned, ["_model"], order).drop("_model"), cascade_socal)
     dated = cascaded.withColumn("src_updt_dt", to_date_lenient(F.col("src_updt_dt")))
     names = [*PRICE_MASTER.input_columns[:9], *order]
     tall = unpivot_prices(dated, carry=order)

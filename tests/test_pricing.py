@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions import price_columns as pc
 from pricewright.operators import pricing
+from pricewright.plans import jobs
 
 
 @pytest.mark.parametrize(
@@ -105,3 +106,22 @@ def test_alerts_at_the_threshold(spark):
     assert out.columns[2:7] == ["Competitor Model No", "Manufacturer", "EN Price", "Competitor Price", "Price Variance Ratio"]
     got = sorted((r["Competitor Price"], r["Price Variance Ratio"]) for r in out.collect())
     assert got == [(9.0, "10.0%"), (11.25, "12.5%")]
+
+
+def test_rows_of_a_model_go_before_they_are_unpivoted(spark, monkeypatch):
+    """The last row of a model settles all its keys; rows that another one replaces are not multiplied by the price columns."""
+    ids = [f"`{c}` string" for c in pc.ID_COLUMNS]
+    schema = ", ".join([*ids, "`Pallet Quantity` double", "`Standard Price` double", "`CED Price` double", "_o int"])
+    row = lambda model, price, o: ("2025-02-01", model, *["t"] * 5, "1.5", "t", None, price, price and price + 1, o)
+    rows = [row("a", 1.0, 1), row("a\u00a0", 2.0, 3), row(" a", 3.0, 2), row("b", None, 4), row(None, 9.0, 5), row("b", 7.0, 1)]
+    unpivoted, real = [], jobs.unpivot_prices
+
+    def seen(df, carry):
+        unpivoted.append(df)
+        return real(df, carry)
+
+    monkeypatch.setattr(jobs, "unpivot_prices", seen)
+    out = jobs.price_master_rows(spark.createDataFrame(rows, schema), ["_o"])
+    found = {(r.model_no, r.price_model): r.unit_price for r in out.collect()}
+    assert found == {("a", "Standard Price"): 2.0, ("a", "CED"): 3.0, ("b", "Standard Price"): None, ("b", "CED"): None}
+    assert unpivoted[0].count() == 2
