@@ -4,6 +4,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pricewright.operators import dedup, reconcile as r
+from pricewright.plans import jobs
+from pricewright.schemas import SALES
 
 KEY = st.sampled_from(["a", "b", "c", None])
 VALUE = st.sampled_from([1.0, 2.0, None])
@@ -99,3 +101,15 @@ def test_files_meet_what_earlier_files_stored(spark):
         actions = r.upsert_files(files, table, ["k"], "stat", guard, ["stat", "q"], "file", [])
         at_once = r.merge_tables(table.withColumn("ts", F.lit("old")), actions, ["k"], ["stat", "q"], "ts", F.lit("new"))
         assert sorted(map(tuple, at_once.collect())) == sorted(map(tuple, state.collect()))
+
+
+def test_last_row_of_the_first_file_takes_one_exchange(spark):
+    rows = [("a", 2, 9, "late"), ("a", 1, 1, "low"), ("a", 1, 5, "kept"), ("b", None, 1, "none"), ("b", 1, 7, "one"), (None, 3, 2, "null")]
+    df = spark.createDataFrame(rows, "k string, file int, o int, v string")
+    found = dedup.last_in_first_file(df, ["k"], ["o"], "file")
+    apart = dedup.first_file(dedup.keep_last(df, ["k", "file"], ["o"]), ["k"], "file")
+    assert sorted(r.v for r in found.collect()) == sorted(r.v for r in apart.collect()) == ["kept", "none", "null"]
+    assert "file" not in found.columns
+    lines = spark.createDataFrame([], ", ".join([*[f"`{c}` {'double' if c in ('quantity', 'amt', 'discount') else 'string'}" for c in SALES.input_columns], "o int, file int"]))
+    steps = jobs.sales_rows(lines, ["o"], "file")._jdf.queryExecution().optimizedPlan().toString()
+    assert steps.count("Window [") == 1
