@@ -165,6 +165,28 @@ def test_forest_leaves_are_means_of_drawn_rows(spark):
     assert 230 < seen < 330
 
 
+@pytest.mark.parametrize("share", [None, 0.7])
+def test_drawn_cells_are_sums_of_what_each_row_draws(spark, monkeypatch, share):
+    """Spark's own hash decides what a tree sees of a row; tasks add that up and send no row for each row and tree."""
+    monkeypatch.setattr(search, "DRAWN", 50)
+    monkeypatch.setattr(search, "HELD", 100)
+    rows = spark.range(-40, 400, 1, 3).select(F.array((F.col("id") % 3).cast("int"), F.lit(7)).alias("codes"), F.when(F.col("id") % 7 > 0, (F.col("id") % 2).cast("int")).alias("fold"), (F.col("id") % 11).cast("double").alias("y"), "id")
+    found = search.drawn_cells(rows, 4, 17, share)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    each = rows.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    u = F.xxhash64("id", F.lit(17), "t").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
+    w = (u < share).cast("int") if share else sum([(u >= float(p)).cast("int") for p in search.POISSON], F.lit(0))
+    want = each.withColumn("w", w).where("w > 0").groupBy("codes", "fold", "t").agg(F.sum("w").cast("double").alias("h"), F.sum(F.col("w") * F.col("y")).alias("s"))
+    show = lambda df: sorted((r.codes, r.fold if r.fold is not None else -1, r.t, r.h, r.s) for r in df.collect())
+    assert show(found) == show(want)
+
+
+def test_distinct_codes_of_many_columns():
+    codes = np.array([[k % 3 * 2**30, *([k % 5] * 40)] for k in range(60)])
+    cells, which = search._distinct(codes)
+    assert len(cells) == 15 and np.array_equal(cells[which], codes)
+
+
 def test_unknown_categories_and_nulls_take_the_other_side(spark):
     df = sales(spark)
     encoding = search.Encoding.fit(df, ["sku_cat", "proj_type"], ["price"])
