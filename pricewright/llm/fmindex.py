@@ -1,8 +1,8 @@
 """A compressed FM-index over words, searched backwards for many patterns at once.
 
 Suffixes are sorted by their first ``depth`` words, which is all that patterns of at most that many words need. The
-Burrows-Wheeler transform lies in a wavelet matrix: one bit vector for each bit of a word's number, with counts for
-every 64 bits.
+Burrows-Wheeler transform lies in a wavelet matrix: a level for each four bits of a word's number, one bit vector for
+each bit, with counts of the level's 16 digits for every 64 places.
 """
 
 from __future__ import annotations
@@ -10,42 +10,50 @@ from __future__ import annotations
 import numpy as np
 
 ONE = np.uint64(1)
+# Of each digit and bit, what turns the bits that agree into ones.
+FLIPS = np.array([[0 if d >> k & 1 else (1 << 64) - 1 for k in range(4)] for d in range(16)], np.uint64)
 
 
-class Bits:
-    """A bit vector with rank."""
+class Digits:
+    """A sequence of numbers below 16 with rank: a bit vector for each of their four bits."""
 
-    def __init__(self, bits: np.ndarray):
-        padded = np.zeros((len(bits) // 64 + 1) * 64, np.uint8)
-        padded[: len(bits)] = bits
-        self.words = np.packbits(padded, bitorder="little").view(np.uint64)
-        counts = np.bitwise_count(self.words).astype(np.int64)
-        self.before = (np.cumsum(counts) - counts).astype(np.int32 if len(bits) < 1 << 31 else np.int64)
+    def __init__(self, digits: np.ndarray):
+        padded = np.zeros((len(digits) // 64 + 1) * 64, np.uint8)
+        padded[: len(digits)] = digits
+        self.words = np.stack([np.packbits((padded >> k) & 1, bitorder="little").view(np.uint64) for k in range(4)], axis=1)
+        counts = np.stack([np.bitwise_count(self._where(self.words, d)) for d in range(16)], axis=1).astype(np.int64)
+        self.before = (np.cumsum(counts, axis=0) - counts).astype(np.int32 if len(digits) < 1 << 31 else np.int64).ravel()
 
-    def rank(self, i: np.ndarray) -> np.ndarray:
-        """Set bits before place i."""
+    @staticmethod
+    def _where(words: np.ndarray, digit: int | np.ndarray) -> np.ndarray:
+        """A bit for each place, set where the digit stands."""
+        like = words ^ FLIPS.take(digit, axis=0)
+        return like[:, 0] & like[:, 1] & like[:, 2] & like[:, 3]
+
+    def rank(self, digit: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Places before i with the digit."""
         word = i >> 6
         low = (ONE << (i & 63).astype(np.uint64)) - ONE
-        return self.before[word] + np.bitwise_count(self.words[word] & low)
+        return self.before.take((word << 4) + digit) + np.bitwise_count(self._where(self.words.take(word, axis=0), digit) & low)
 
 
 class Wavelets:
     """Occurrences of a symbol before a place, for a sequence of small integers."""
 
     def __init__(self, values: np.ndarray, symbols: int):
-        self.levels, self.zeros = [], []
-        for shift in range(max(1, int(symbols - 1).bit_length()) - 1, -1, -1):
-            bit = (values >> shift) & 1
-            self.levels.append((shift, Bits(bit)))
-            self.zeros.append(len(values) - int(bit.sum()))
-            values = np.concatenate([values[bit == 0], values[bit == 1]])
+        self.levels = []
+        for shift in range((max(1, int(symbols - 1).bit_length()) - 1) // 4 * 4, -1, -4):
+            digit = ((values >> shift) & 15).astype(np.uint8)
+            sizes = np.bincount(digit, minlength=16)
+            self.levels.append((shift, Digits(digit), np.cumsum(sizes) - sizes))
+            values = values[np.argsort(digit, kind="stable")]
         all_symbols = np.arange(symbols)
         self.start = self._down(all_symbols, np.zeros(symbols, np.int64))
 
     def _down(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        for (shift, bits), zeros in zip(self.levels, self.zeros, strict=True):
-            ones = bits.rank(at)
-            at = np.where((symbol >> shift) & 1, zeros + ones, at - ones)
+        for shift, digits, smaller in self.levels:
+            digit = (symbol >> shift) & 15
+            at = smaller[digit] + digits.rank(digit, at)
         return at
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -64,22 +72,22 @@ class FMIndex:
         inside = np.ones(len(text), bool)
         inside[ends - 1] = False
         text[inside] = number + 1
-        # Ranks by the first 1, 2, 4, ... words, and from two of them by depth - 1 and by depth.
+        # Ranks by the first 1, 2, 4, ... words; two of them tell suffixes apart by depth words, and by depth - 1.
         rank, reach = text, 1
         while reach * 2 < depth:
             rank, reach = self._joined(rank, rank, reach), reach * 2
-        shorter = self._joined(rank, rank, depth - 1 - reach)
-        full = self._joined(rank, rank, depth - reach)
-        suffixes = np.argsort(full, kind="stable")
-        full, shorter = full[suffixes], shorter[suffixes]
-        self.block = full  # equal for suffixes that share depth words; dense, so it numbers the blocks
-        first = np.flatnonzero(np.diff(full, prepend=-1))
+        suffixes = np.argsort(self._paired(rank, rank, depth - reach), kind="stable")
+        own, nth = rank[suffixes], np.arange(len(text))
+        begins = lambda shift: np.diff(own, prepend=-1).astype(bool) | np.diff(self._behind(rank, shift)[suffixes], prepend=-1).astype(bool)
+        first = np.flatnonzero(begins(depth - reach))
+        self.block = np.repeat(nth[: len(first)], np.diff(np.append(first, len(text))))  # of suffixes that share depth words
         owner = np.repeat(owners, sizes + 1)[suffixes]
         self.least = np.minimum.reduceat(owner, first) if len(first) else owner
         # The interval of all suffixes that share depth - 1 words.
-        edges = np.append(np.flatnonzero(np.diff(shorter, prepend=-1)), len(text))
+        edges = np.append(np.flatnonzero(begins(depth - 1 - reach)), len(text))
         which = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
         self.low, self.high = edges[which], edges[which + 1] if len(which) else which
+        del rank, own, begins  # before the wavelets need room
         transform = text[suffixes - 1] if len(text) else text  # before the first text stands the last end
         self.symbols = len(self.names) + 1
         counts = np.bincount(text, minlength=self.symbols)
@@ -88,11 +96,19 @@ class FMIndex:
         self.waves = Wavelets(transform, self.symbols)
 
     @staticmethod
-    def _joined(left: np.ndarray, right: np.ndarray, shift: int) -> np.ndarray:
-        """Dense ranks of pairs: a suffix's own rank, then that of the suffix ``shift`` words on."""
-        other = np.zeros(len(right), np.int64)
-        other[: len(right) - shift] = right[shift:]
-        return np.unique(left * (len(left) + 1) + other, return_inverse=True)[1]
+    def _behind(rank: np.ndarray, shift: int) -> np.ndarray:
+        """The rank of the suffix ``shift`` words on, 0 if there is none."""
+        other = np.zeros(len(rank), np.int64)
+        other[: len(rank) - shift] = rank[shift:]
+        return other
+
+    def _paired(self, left: np.ndarray, right: np.ndarray, shift: int) -> np.ndarray:
+        """A suffix's own rank, then that of the suffix ``shift`` words on, as one number."""
+        return left * (len(left) + 1) + self._behind(right, shift)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray, shift: int) -> np.ndarray:
+        """Dense ranks of pairs."""
+        return np.unique(self._paired(left, right, shift), return_inverse=True)[1]
 
     def step(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the patterns with one more word in front."""

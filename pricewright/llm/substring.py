@@ -127,9 +127,11 @@ def suspect_keys(rows: DataFrame, hot: int = HOT) -> DataFrame:
             words = Words(one(table.column("text")))
             at, key = words.windows()
             row = words.row[at]
+            new = _changes(key, row)
+            row, key = row[new], key[new]
             order = np.lexsort((key, row))
             row, key = row[order], key[order]
-            new = np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])) if len(key) else np.zeros(0, bool)
+            new = _changes(key, row)
             keys.append(key[new])
             owners.append(one(table.column("doc_id")).to_numpy(zero_copy_only=False)[row[new]])
         keys, owners = np.concatenate(keys), np.concatenate(owners)
@@ -144,13 +146,20 @@ def suspect_keys(rows: DataFrame, hot: int = HOT) -> DataFrame:
     return found.groupBy(F.col("owner").alias("doc_id")).agg(F.collect_set("key").alias("keys"), of_hot)
 
 
+def _changes(key: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Where another key or row begins; windows in a row mostly share their key."""
+    return np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))) if len(key) else np.zeros(0, np.int64)
+
+
 def _among(key: np.ndarray, row: np.ndarray, lists: pa.ListArray) -> np.ndarray:
     """Whether each key is in its row's list."""
     size = np.diff(np.asarray(lists.offsets))
     flat = np.asarray(lists.flatten()).view(np.uint64)
+    first = _changes(key, row)
     with np.errstate(over="ignore"):  # (row, key) as one number
         have = mix(flat + np.repeat(np.arange(len(size)), size).astype(np.uint64) * _ODD)
-        return np.isin(mix(key + row.astype(np.uint64) * _ODD), have)
+        found = np.isin(mix(key[first] + row[first].astype(np.uint64) * _ODD), have)
+    return np.repeat(found, np.diff(np.append(first, len(key))))
 
 
 def runs(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -274,31 +283,32 @@ class Shard:
     def __init__(self):
         self.parts: list[tuple] = []
         self.size = 0
-        self.known: dict[int, bytes] = {}
 
     def add(self, words: Words, first: np.ndarray, sizes: np.ndarray, docs: np.ndarray, info: list) -> None:
         """Runs of words: the places of their first ones, and how many they are."""
         at = ragged(first, sizes)
-        self.parts.append((words.hashes[at], sizes, docs, info, self._named(words, at)))
+        names, some = np.unique(words.names[at], return_index=True)
+        some = at[some]
+        long = words.ends[some] - words.starts[some]
+        different = (names, words.hashes[some], long, words.data[ragged(words.starts[some], long)])
+        self.parts.append((words.hashes[at], sizes, docs, info, words.names[at], different))
         self.size += len(at)
 
-    def _named(self, words: Words, at: np.ndarray) -> np.ndarray:
+    def _named(self) -> np.ndarray:
         """Names of the words, equal in the whole shard for the same bytes only."""
-        names = words.names[at]
-        different, some = np.unique(names, return_index=True)
-        for name, k in zip(different.tolist(), at[some].tolist(), strict=True):
-            raw = words.data[words.starts[k] : words.ends[k]].tobytes()
-            own = name
-            while self.known.setdefault(own, raw) != raw:
-                own = (own + 1) % (1 << 64)
-            if own != name:
-                names = np.where(words.names[at] == np.uint64(name), np.uint64(own), names)
-        return names
+        hashes, long, data = (np.concatenate(x) for x in list(zip(*[p[5] for p in self.parts], strict=True))[1:])
+        ends = np.cumsum(long)
+        names, out, a = exact(data, ends - long, ends, hashes, np.argsort(hashes)), [], 0
+        for *_, given, (known, *_) in self.parts:
+            new = names[a : a + len(known)]
+            a += len(known)
+            out.append(given if np.array_equal(new, known) else new[np.searchsorted(known, given)])
+        return np.concatenate(out)
 
     def search(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
         """Place of every window, its run, whether an earlier document has it; and what was given for the runs."""
-        _, sizes, docs, info, names = zip(*self.parts, strict=True)
-        sizes, docs, names = (np.concatenate(x) for x in (sizes, docs, names))
+        _, sizes, docs, info, _, _ = zip(*self.parts, strict=True)
+        sizes, docs, names = np.concatenate(sizes), np.concatenate(docs), self._named()
         info = [x for part in info for x in part]
         index = FMIndex(names, sizes, docs, WINDOW)
         starts = np.cumsum(sizes) - sizes

@@ -1,7 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from pricewright.llm import exact, neardup, substring
+from pricewright.llm import exact, fmindex, neardup, substring
 from pricewright.llm.fmindex import FMIndex
 from tests.llm import plain
 
@@ -173,3 +174,21 @@ def test_cleaned_rows_keep_their_columns(spark):
         elif left:
             want.append((d, left, len(left)))
     assert sorted([tuple(r)[:3] for r in cleaned.collect()], key=str) == sorted(want, key=str)
+
+
+def test_wavelets_take_four_bits_a_level():
+    rng = np.random.default_rng(2)
+    for n, symbols in ((0, 1), (1, 1), (300, 2), (1000, 17), (3000, 5000)):
+        values = rng.integers(0, symbols, n)
+        waves, at, symbol = fmindex.Wavelets(values, symbols), rng.integers(0, n + 1, 200), rng.integers(0, symbols, 200)
+        assert len(waves.levels) == max(1, -(-int(symbols - 1).bit_length() // 4))
+        assert waves.rank(symbol, at).tolist() == [int((values[:i] == c).sum()) for c, i in zip(symbol, at, strict=True)]
+
+
+def test_a_key_is_looked_up_once_for_windows_in_a_row(monkeypatch):
+    asked, real = [], np.isin
+    monkeypatch.setattr(substring.np, "isin", lambda a, b: asked.append(len(a)) or real(a, b))
+    key, row = np.repeat(np.array([5, 6, 6, 9], np.uint64), 100), np.repeat([0, 0, 1, 1], 100)
+    lists = pa.array([[5, 9], [6]], pa.list_(pa.int64()))
+    assert substring._among(key, row, lists).tolist() == np.repeat([True, False, True, False], 100).tolist()
+    assert asked == [4]
