@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pricewright.functions.cleaning import parse_erp_ts
 from pricewright.operators import pricing
 from pricewright.operators.hygiene import sheet_date, snapshot_sheet
 from pricewright.operators.ranked import reliable
@@ -332,9 +333,9 @@ def sales_rows(spark, sf_dir):
 WITH {SALES_SQL} SELECT {SALES_SHOWN} FROM sales s WHERE NOT EXISTS (
   SELECT 1 FROM orders o WHERE o.o_orderdate < TIMESTAMP '{LOADED}' AND 'INV' || o.o_orderkey = s.bill_num)""")
 def sales_history_job(spark, sf_dir):
-    raw = sales_landing(spark, sf_dir)
-    earlier = jobs.sales_rows(raw, ORDER)
-    earlier = reliable(earlier.where(F.col("sys_dt") < F.lit(LOADED).cast("timestamp_ntz")))
+    raw = reliable(sales_landing(spark, sf_dir))
+    before = parse_erp_ts(F.col("sys_dt")) < F.lit(LOADED).cast("timestamp_ntz")  # of a key's rows all or none
+    earlier = reliable(jobs.sales_rows(raw.where(before), ORDER))
     return _sales_shown(jobs.sales_history_job(raw, earlier, ORDER))
 
 
