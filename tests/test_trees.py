@@ -1,11 +1,12 @@
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricewright.operators import forecast, search, trees
+from pricewright.operators import forecast, ranked, search, trees
 from pricewright.operators.trees import DEEPEST, Feature
 
 FEATURES = [Feature(4), Feature(3), Feature(6, ordered=True)]
@@ -195,3 +196,33 @@ def test_unknown_categories_and_nulls_take_the_other_side(spark):
     got = [r.codes for r in rows.select(encoding.codes().alias("codes")).collect()]
     top = len(encoding.edges["price"]) + 1
     assert got[0] == [2, 1, top] and got[1][:2] == [0, 0] and got[2] == [1, 0, 1] and 1 < got[1][2] <= top
+
+
+def test_folds_without_ids_store_neither_ids_nor_hashes(spark, monkeypatch):
+    """Nor do they differ from the folds with them."""
+    rows = [(f"s{i % 3}" if i % 7 else None, i, i % 4 or None, float(i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "sku string, a long, b long, y double").repartition(5)
+    want = {r.y: r.fold for r in forecast.stratified_folds(df, "sku", ["a", "b"]).collect()}
+    kept, real = [], ranked.reliable
+    monkeypatch.setattr(ranked, "reliable", lambda frame: kept.append(frame.columns) or real(frame))
+    found = forecast.stratified_folds(df, "sku", ["a", "b"], keep_ids=False)
+    assert found.columns == ["sku", "y", "fold"] and kept == [["sku", "y", "_slice", "_at", "_row"]]
+    assert {r.y: r.fold for r in found.collect()} == want
+
+
+def test_drawn_cells_travel_as_one_row_a_cell(spark):
+    """Not as one for each tree: what is exchanged has lists."""
+    rows = spark.range(300).select(F.array((F.col("id") % 3).cast("int")).alias("codes"), F.pmod("id", F.lit(2)).cast("int").alias("fold"), F.col("id").cast("double").alias("y"), "id").repartition(2)
+    drawn = search.drawn_cells(rows, 10, 1, 0.5)
+    cuts = re.findall(r"hashpartitioning\(([^)]*), \d+\)", drawn._jdf.queryExecution().executedPlan().toString())
+    assert [re.sub(r"#\d+", "", c) for c in cuts] == ["codes, fold"]
+    assert drawn.where("t is null or h <= 0").isEmpty()
+    got = {(tuple(r.codes), r.fold, r.t): (r.h, r.s) for r in drawn.collect()}
+    want = {}
+    ids = np.arange(300)
+    for t in range(10):
+        on = search.uniform(search.row_hashes(ids, 1), t) < 0.5
+        for i in ids[on].tolist():
+            h, s = want.get(((i % 3,), i % 2, t), (0.0, 0.0))
+            want[((i % 3,), i % 2, t)] = (h + 1, s + i)
+    assert got == want
