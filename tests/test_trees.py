@@ -226,3 +226,13 @@ def test_drawn_cells_travel_as_one_row_a_cell(spark):
             h, s = want.get(((i % 3,), i % 2, t), (0.0, 0.0))
             want[((i % 3,), i % 2, t)] = (h + 1, s + i)
     assert got == want
+
+
+def test_folds_make_the_scores_and_scores_choose_the_model(spark, monkeypatch):
+    """No stage of a search is without effect: other folds give other scores, other scores another model."""
+    grid, df = {"trees": [1, 2], "depth": [1], "rate": [0.5], "subsample": [1.0]}, sales(spark, 90)
+    smape = lambda rows: [r["smape"] for r in forecast.boost_tune(rows, grid, folds=3)[1]]
+    assert smape(df) != smape(df.withColumn("fold", (F.col("price") > 1).cast("int")).fillna({"fold": 2}))
+    for better in (0, 1):
+        monkeypatch.setattr(forecast, "scores", lambda *_, better=better: [[(float(k != better), 0.5) for k in range(2)]])
+        assert len(forecast.boost_tune(df, grid, folds=3)[0].trees) == grid["trees"][better]
